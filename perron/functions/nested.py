@@ -14,6 +14,12 @@ def explode_path(documents: DataFrame, column: str, path: str, value: str = "val
     return documents.lateralJoin(elements).select(value)
 
 
+def explode_array(frame: DataFrame, column: str, position: str, value: str) -> DataFrame:
+    """One row per element of a typed array, with its 0-based position; an empty one gives no row."""
+    rest = [name for name in frame.columns if name != column]
+    return frame.select(*rest, F.posexplode(column).alias(position, value))
+
+
 def whole_at(document: Column | str, path: str) -> Column:
     """Whole number at a path, rounded half up; NULL when absent or no number."""
     return F.try_variant_get(document, path, "decimal(38,0)").try_cast("bigint")
