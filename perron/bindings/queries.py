@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from perron.bindings.shapes import Shapes, write_cells, write_documents
 from perron.functions import casts, nested, text
 from perron.model.datasets import Delimited, Document
-from perron.model.tables import CURATED, Field, fields
+from perron.model.tables import CONSUMPTION, CURATED, Field, fields
 from perron.operators import aggregates, keys, projection, quality
 from perron.operators.joins import sized_join, star_join
 from perron.plans import consumption, curated
-from perron.plans.raw import load_delimited, load_features
+from perron.plans.raw import load_dataset
+from perron.plans.refresh import DIMENSIONS, publish_star
 from perron.session import scratch
 from perron.sinks.warehouse import Warehouse
 from perron.sources.delimited import positional_copy
@@ -33,6 +34,11 @@ def query(build: Callable[[Shapes], DataFrame]) -> Callable[[Shapes], DataFrame]
     return build
 
 
+def scratch_warehouse(spark: SparkSession, name: str) -> Warehouse:
+    root = scratch(spark, name)
+    return Warehouse(spark, root, prefix=f"{name}_{root[-32:]}_")
+
+
 # Joins and counts
 
 
@@ -43,26 +49,22 @@ def star_join_revenue(t: Shapes) -> DataFrame:
 
 
 def revenue_by(t: Shapes, *groups: str) -> DataFrame:
-    nations = star_join(
-        t.table("nation").select("n_nationkey", "n_regionkey"),
-        [("n_regionkey", t.table("region"), "r_regionkey")],
-    ).select("n_nationkey", "r_name")
+    regions = t.table("region").select("r_regionkey", "r_name")
+    nations = star_join(t.table("nation").select("n_nationkey", "n_regionkey"), [("n_regionkey", regions, "r_regionkey")])
     customers = star_join(
-        t.table("customer").select("c_custkey", "c_nationkey"), [("c_nationkey", nations, "n_nationkey")]
-    ).select("c_custkey", "r_name")
-    orders = star_join(
-        t.table("orders").select("o_orderkey", "o_custkey"), [("o_custkey", customers, "c_custkey")]
-    ).select("o_orderkey", "r_name")
+        t.table("customer").select("c_custkey", "c_nationkey"),
+        [("c_nationkey", nations.select("n_nationkey", "r_name"), "n_nationkey")],
+    )
     price = F.col("l_extendedprice").cast("decimal(12,2)") * (
         F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
     ).cast("decimal(4,2)")
-    lines = t.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", price.alias("price"))
     flat = star_join(
-        lines,
+        t.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", price.alias("price")),
         [
             ("l_partkey", t.table("part").select("p_partkey", "p_brand"), "p_partkey"),
             ("l_suppkey", t.table("supplier").select("s_suppkey", "s_nationkey"), "s_suppkey"),
-            ("l_orderkey", orders, "o_orderkey"),
+            ("l_orderkey", t.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey"),
+            ("o_custkey", customers.select("c_custkey", "r_name"), "c_custkey"),
         ],
     )
     return flat.groupBy(*groups).agg(
@@ -382,10 +384,10 @@ def accept_rows(t: Shapes) -> DataFrame:
 @query
 def file_pickup(t: Shapes) -> DataFrame:
     """Orders land as files, and a streaming run replaces the table by them."""
-    root = scratch(t.spark, "file-pickup")
+    root = scratch(t.spark, "pickup")
     dataset = Delimited("raw_orders", "daily", _order_columns())
     write_cells(_orders(t), dataset, f"{root}/landing/daily", {})
-    warehouse = Warehouse(t.spark, f"{root}/tables", prefix=f"pickup_{root[-32:]}_")
+    warehouse = scratch_warehouse(t.spark, "pickup")
     schema = ", ".join(f"{f.name} {f.type}" for f in dataset.columns)
     pick_up(warehouse, dataset, f"{root}/landing", f"{root}/state", schema=schema)
     return warehouse.read("raw", dataset.table)
@@ -394,8 +396,7 @@ def file_pickup(t: Shapes) -> DataFrame:
 @query
 def snapshot_replace(t: Shapes) -> DataFrame:
     """A table is written, replaced by a part of itself, and appended to."""
-    root = scratch(t.spark, "snapshot")
-    warehouse = Warehouse(t.spark, f"{root}/tables", prefix=f"snapshot_{root[-32:]}_")
+    warehouse = scratch_warehouse(t.spark, "snapshot")
     schema = "o_orderkey bigint, o_orderpriority string, o_orderstatus string"
     warehouse.replace("curated", "orders", t.table("orders"), schema)
     current = warehouse.read("curated", "orders")
@@ -411,11 +412,11 @@ def _loader(raw_table: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         dataset, landing = Shapes(spark, folder).land(raw_table)
         if isinstance(dataset, Document):
-            documents = read_documents(spark, f"{landing}/{dataset.folder}", "lines")
-            return load_features(accepted(documents), dataset)
+            dataset = replace(dataset, layout="lines")
+        warehouse = scratch_warehouse(spark, "loaded")
+        load_dataset(warehouse, dataset, landing)
         # Ids depend on the files and are left out of the comparison.
-        without_id = replace(dataset, id_column=None)
-        return accepted(load_delimited(spark, without_id, f"{landing}/{dataset.folder}"))
+        return warehouse.read("raw", raw_table).drop("id")
 
     return run
 
@@ -445,21 +446,23 @@ def fact(t: Shapes) -> DataFrame:
     return consumption.transport_fact(curate(t, "curated_transport"))
 
 
-def publish(t: Shapes, table: str) -> DataFrame:
-    if table == "transport_fact":
-        return fact(t)
-    if table == "operators_dim":
-        return consumption.operators_dim(curate(t, "curated_operators"), fact(t))
-    if table == "vehicles_dim":
-        return consumption.vehicles_dim(curate(t, "curated_vehicles"), fact(t))
-    return consumption.plain_dimension(table, curate(t, consumption.PLAIN_DIMENSIONS[table]))
+def published(t: Shapes, *dimensions: str) -> dict[str, DataFrame]:
+    """The fact and some dimensions as tables, which is how they are read in use."""
+    warehouse = scratch_warehouse(t.spark, "star")
+    publish_star(warehouse, lambda table: curate(t, table), dimensions)
+    return {table: warehouse.read("consumption", table) for table in ("transport_fact", *dimensions)}
 
 
 for _table in CURATED:
     QUERIES[_table] = lambda spark, folder, _table=_table: curate(Shapes(spark, folder), _table)
 
-for _table in [*consumption.PLAIN_DIMENSIONS, "operators_dim", "vehicles_dim"]:
-    QUERIES[_table] = lambda spark, folder, _table=_table: publish(Shapes(spark, folder), _table)
+def _dimension(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    t = Shapes(spark, folder)
+    return consumption.dimension(table, lambda name: curate(t, name), fact(t))
+
+
+for _table in DIMENSIONS:
+    QUERIES[_table] = lambda spark, folder, _table=_table: _dimension(spark, folder, _table)
 
 
 @query
@@ -477,18 +480,19 @@ def curated_line_data_deduped(t: Shapes) -> DataFrame:
 
 @query
 def constraint_violations(t: Shapes) -> DataFrame:
-    """All declared keys of the published tables. Of the fact's id see `unique_row_id`."""
-    tables = {table: publish(t, table) for table in consumption.CONSUMPTION}
-    return consumption.violations(tables)
+    """All declared keys of the published tables."""
+    return consumption.violations(published(t, *DIMENSIONS))
 
 
 @query
 def calls_by_surroundings(t: Shapes) -> DataFrame:
     """Stop calls counted by what the dimensions around them say."""
-    names = ("transport_fact", "operators_dim", "business_types_dim", "vehicles_dim", "transport_types_dim",
-             "stops_dim", "municipality_dim", "parking_dim")
+    tables = published(
+        t, "operators_dim", "business_types_dim", "vehicles_dim", "transport_types_dim", "stops_dim",
+        "municipality_dim", "parking_dim",
+    )
     flat = consumption.flat_view(
-        {table: publish(t, table) for table in names},
+        tables,
         {
             "business_types_dim": ["business_type_de"],
             "transport_types_dim": ["international"],

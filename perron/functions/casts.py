@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 def to_flag(text: Column) -> Column:
     """true/t/yes/y/on/1 and false/f/no/n/off/0, in any case."""
     word = F.lower(F.trim(text))
-    return F.when(word == "on", F.lit(True)).when(word == "off", F.lit(False)).otherwise(
-        word.try_cast("boolean")
-    )
+    return F.coalesce(text.try_cast("boolean"), F.when(word == "on", True).when(word == "off", False))
 
 
 def to_decimal(text: Column, precision: int, scale: int) -> Column:
@@ -35,34 +33,29 @@ def to_float(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def _iso_day(text: Column) -> Column:
-    return F.concat_ws(
-        "-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)
-    )
+def _rearranged(text: Column, clock: str) -> Column:
+    """`31.12.2024` and a clock time as ISO text; any other text becomes `--`, which no cast reads.
+
+    The result is cast straight to a zone-free type. A detour over a timestamp with a zone would shift
+    the hour that daylight saving skips, by the zone of the session.
+    """
+    pattern = r"(?s)^(?:(\d{2})\.(\d{2})\.(\d{4})(" + clock + r")|.*)$"
+    return F.regexp_replace(text, pattern, "$3-$2-$1$4")
 
 
 def to_day(text: Column) -> Column:
     """`31.12.2024` to a date."""
-    return F.when(text.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), _iso_day(text).try_cast("date"))
-
-
-def _to_moment(text: Column, clock: str) -> Column:
-    # The text is rearranged and cast straight to a zone-free timestamp. A detour over a timestamp
-    # with a zone would shift the hour that daylight saving skips, by the zone of the session.
-    moment = F.concat_ws(" ", _iso_day(text), F.substring(text, 12, 8))
-    return F.when(
-        text.rlike(r"^\d{2}\.\d{2}\.\d{4} " + clock + "$"), moment.try_cast("timestamp_ntz")
-    )
+    return _rearranged(text, "").try_cast("date")
 
 
 def to_minute(text: Column) -> Column:
     """`31.12.2024 23:59` to a zone-free timestamp."""
-    return _to_moment(text, r"\d{2}:\d{2}")
+    return _rearranged(text, r" \d{2}:\d{2}").try_cast("timestamp_ntz")
 
 
 def to_second(text: Column) -> Column:
     """`31.12.2024 23:59:59` to a zone-free timestamp."""
-    return _to_moment(text, r"\d{2}:\d{2}:\d{2}")
+    return _rearranged(text, r" \d{2}:\d{2}:\d{2}").try_cast("timestamp_ntz")
 
 
 @dataclass(frozen=True)

@@ -34,22 +34,17 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def fits_broadcast(frame: DataFrame, limit: int | None = None) -> bool:
-    """Measures whether the rows stay below `limit` bytes as a hash table.
-
-    The count comes first: it alone rules out a long frame, from file footers for a plain scan.
-    """
+    """Measures whether the rows stay below `limit` bytes as a hash table, in one pass over them."""
     limit = broadcast_limit(frame.sparkSession) if limit is None else limit
     if limit <= 0:
         return False
-    rows = frame.count()
-    fixed = rows * (24 + 8 * len(frame.columns))
-    if fixed > limit:
-        return False
+    fixed = 24 + 8 * len(frame.columns)
     widths = [_width(field) for field in frame.schema if not _is_fixed(field.dataType)]
     if not widths:
-        return True
-    varying = frame.agg(F.sum(sum(widths, F.lit(0)).cast("bigint")).alias("bytes")).first()["bytes"]
-    return fixed + (varying or 0) <= limit
+        # Of a plain scan this reads no more than the file footers.
+        return frame.count() * fixed <= limit
+    width = sum(widths, F.lit(fixed)).cast("bigint")
+    return (frame.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= limit
 
 
 def _is_fixed(kind: T.DataType) -> bool:

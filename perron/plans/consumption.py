@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from perron.model.tables import CONSUMPTION, FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS
@@ -48,6 +50,15 @@ def vehicles_dim(curated_vehicles: DataFrame, fact: DataFrame, hot_rows: int = H
     return conform(counted, CONSUMPTION["vehicles_dim"])
 
 
+def dimension(table: str, curated: Callable[[str], DataFrame], fact: DataFrame) -> DataFrame:
+    """A dimension by name, from curated tables given by name."""
+    if table == "operators_dim":
+        return operators_dim(curated("curated_operators"), fact)
+    if table == "vehicles_dim":
+        return vehicles_dim(curated("curated_vehicles"), fact)
+    return plain_dimension(table, curated(PLAIN_DIMENSIONS[table]))
+
+
 def violations(published: dict[str, DataFrame]) -> DataFrame:
     """Every declared primary, unique and foreign key with what violates it."""
     return constraint_report(published, PRIMARY_KEYS, UNIQUE_KEYS, FOREIGN_KEYS)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from perron.model.datasets import DATASETS
@@ -12,31 +15,49 @@ from perron.plans.raw import ingest
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
 
+DIMENSIONS = [table for table in CONSUMPTION if table != "transport_fact"]
 
-def refresh_curated(warehouse: Warehouse) -> None:
-    """Rebuild every curated table from the raw tables as they are."""
-    for table, (build, sources) in curated.BUILDERS.items():
-        frames = [warehouse.read(layers.RAW, source) for source in sources]
-        warehouse.replace(layers.CURATED, table, build(*frames), CURATED[table])
 
+def at_once(work: Callable[[str], None], tables: Iterable[str], jobs: int = 4) -> None:
+    """Tables that do not depend on each other, a few at a time; the first failure is raised."""
+    with ThreadPoolExecutor(jobs) as pool:
+        list(pool.map(work, tables))
 
-def refresh_consumption(warehouse: Warehouse) -> None:
-    """Publish the fact, then the dimensions; usage counts are those of the new fact."""
 
-    def source(table: str) -> DataFrame:
-        return warehouse.read(layers.CURATED, table)
+def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)) -> None:
+    """Rebuild curated tables from the raw tables as they are."""
 
-    def publish(table: str, frame: DataFrame) -> None:
-        warehouse.replace(layers.CONSUMPTION, table, frame, CONSUMPTION[table])
+    def rebuild(table: str) -> None:
+        build, sources = curated.BUILDERS[table]
+        frame = build(*[warehouse.read(layers.RAW, source) for source in sources])
+        warehouse.replace(layers.CURATED, table, frame, CURATED[table])
+
+    at_once(rebuild, tables)
+
+
+def publish_star(
+    warehouse: Warehouse, source: Callable[[str], DataFrame], dimensions: Iterable[str] = tuple(DIMENSIONS)
+) -> None:
+    """Publish the fact, then dimensions, from curated tables given by name.
 
+    Usage counts are those of the new fact. Its ids go on from the fact that it replaces.
+    """
     known = warehouse.exists(layers.CONSUMPTION, "transport_fact")
     before = warehouse.read(layers.CONSUMPTION, "transport_fact") if known else None
-    publish("transport_fact", consumption.transport_fact(source("curated_transport"), next_id(before, "id")))
-    fact = warehouse.read(layers.CONSUMPTION, "transport_fact")
-    publish("operators_dim", consumption.operators_dim(source("curated_operators"), fact))
-    publish("vehicles_dim", consumption.vehicles_dim(source("curated_vehicles"), fact))
-    for table, curated_table in consumption.PLAIN_DIMENSIONS.items():
-        publish(table, consumption.plain_dimension(table, source(curated_table)))
+    fact = consumption.transport_fact(source("curated_transport"), next_id(before, "id"))
+    warehouse.replace(layers.CONSUMPTION, "transport_fact", fact, CONSUMPTION["transport_fact"])
+    written = warehouse.read(layers.CONSUMPTION, "transport_fact")
+
+    def publish(table: str) -> None:
+        frame = consumption.dimension(table, source, written)
+        warehouse.replace(layers.CONSUMPTION, table, frame, CONSUMPTION[table])
+
+    at_once(publish, dimensions)
+
+
+def refresh_consumption(warehouse: Warehouse) -> None:
+    """Publish everything from the curated tables as they are."""
+    publish_star(warehouse, lambda table: warehouse.read(layers.CURATED, table))
 
 
 def published(warehouse: Warehouse) -> dict[str, DataFrame]:

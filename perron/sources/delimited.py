@@ -53,6 +53,7 @@ def read_delimited(
 
 
 def cell(ordinal: int) -> Column:
+    """The text of a cell, in which a quoted empty one is an empty text."""
     text = F.col(f"c{ordinal}")
     return F.when(text == QUOTED_EMPTY, F.lit("")).otherwise(text)
 
@@ -60,23 +61,22 @@ def cell(ordinal: int) -> Column:
 def positional_copy(cells: DataFrame, columns: list[Field]) -> DataFrame:
     """Typed columns, and for each row whether a typed cell holds text that cannot be read.
 
-    Casts are done once; the verdict compares their results with the cells. Text never fails.
+    Casts are done once; the verdict compares their results with the cells. Text never fails. A typed
+    cell that is empty in quotes is not NULL but no value either, and fails like other text.
     """
-    texts = [cell(f.ordinal).alias(f"__{f.name}") for f in columns]
-    read = cells.select(SOURCE, *texts)
-    typed = read.withColumns({f.name: read_kind(F.col(f"__{f.name}"), f.kind) for f in columns})
-    failed = {
-        f.name: F.col(f"__{f.name}").isNotNull() & F.col(f.name).isNull()
+    typed_columns = [f for f in columns if f.kind != "text"]
+    values = {
+        f.name: cell(f.ordinal) if f.kind == "text" else read_kind(F.col(f"c{f.ordinal}"), f.kind)
         for f in columns
-        if f.kind != "text"
     }
+    read = cells.withColumns(values)
+    failed = {f.name: F.col(f"c{f.ordinal}").isNotNull() & F.col(f.name).isNull() for f in typed_columns}
     rejected = reduce(lambda a, b: a | b, failed.values(), F.lit(False))
-    reasons = F.filter(
-        F.array(*[F.when(test, F.lit(name)) for name, test in failed.items()]).cast("array<string>"),
-        lambda name: name.isNotNull(),
+    reasons = F.array_compact(
+        F.array(*[F.when(test, F.lit(name)) for name, test in failed.items()]).cast("array<string>")
     )
-    originals = F.array(*[F.col(f"__{f.name}") for f in columns])
-    return typed.withColumn(REJECTED, rejected).select(
+    originals = F.array(*[cell(f.ordinal) for f in columns])
+    return read.withColumn(REJECTED, rejected).select(
         *[f.name for f in columns],
         REJECTED,
         F.when(F.col(REJECTED), reasons).alias(REASONS),
