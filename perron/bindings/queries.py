@@ -388,8 +388,7 @@ def file_pickup(t: Shapes) -> DataFrame:
     dataset = Delimited("raw_orders", "daily", _order_columns())
     write_cells(_orders(t), dataset, f"{root}/landing/daily", {})
     warehouse = scratch_warehouse(t.spark, "pickup")
-    schema = ", ".join(f"{f.name} {f.type}" for f in dataset.columns)
-    pick_up(warehouse, dataset, f"{root}/landing", f"{root}/state", schema=schema)
+    pick_up(warehouse, dataset, f"{root}/landing", f"{root}/state")
     return warehouse.read("raw", dataset.table)
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.functions.casts import KINDS
-from perron.model.datasets import Delimited, Document
+from perron.model.datasets import BY_TABLE, Delimited, Document
 from perron.model.tables import RAW
 from perron.operators.projection import conform
-from perron.plans.raw import dataset_of
 from perron.session import scratch
 from perron.sources.delimited import FORMAT
 
@@ -243,7 +242,7 @@ class Shapes:
 
     def land(self, raw_table: str) -> tuple[Delimited | Document, str]:
         """Write a raw table as the files it comes from; its dataset and the folder."""
-        dataset, folder = dataset_of(raw_table), scratch(self.spark, raw_table)
+        dataset, folder = BY_TABLE[raw_table], scratch(self.spark, raw_table)
         if isinstance(dataset, Document):
             write_documents(_FEATURES[raw_table](self), "key", f"{folder}/{dataset.folder}")
         else:

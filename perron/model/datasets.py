@@ -18,6 +18,10 @@ class Delimited:
     id_column: str | None = None
     multi_line: bool | None = None
 
+    @property
+    def schema(self) -> str:
+        return (f"{self.id_column} bigint, " if self.id_column else "") + tables.ddl(self.columns)
+
 
 @dataclass(frozen=True)
 class Document:
@@ -30,6 +34,10 @@ class Document:
     sizes: tuple[str, ...] = ()
     layout: str = "document"
 
+    @property
+    def schema(self) -> str:
+        return ", ".join(f"{name} bigint" for name in self.paths)
+
 
 # The landing folders, grouped by how often their files arrive.
 DATASETS = {

@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 
+# Pieces per fair share of rows: small ones, of which several may meet in a partition by chance.
+PIECES = 4
+
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -69,7 +72,9 @@ def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
     share = F.greatest(
         F.lit(float(hot_rows)), sizes.select(F.sum("rows") / F.lit(partitions)).scalar()
     )
-    hot = sizes.where(F.col("rows") > share).select("key", F.ceil(F.col("rows") / share).alias("cuts"))
+    hot = sizes.where(F.col("rows") > share).select(
+        "key", F.ceil(F.col("rows") / share * PIECES).alias("cuts")
+    )
     return {row["key"]: row["cuts"] for row in hot.collect()}
 
 

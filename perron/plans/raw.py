@@ -2,58 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader
+from pyspark.sql.streaming import DataStreamReader
 
-from perron.model.datasets import BY_TABLE, DATASETS, Delimited, Document
+from perron.model.datasets import Delimited, Document
 from perron.model.tables import RAW
 from perron.operators.keys import next_id, with_row_id
 from perron.operators.projection import conform
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
-from perron.sources.delimited import positional_copy, read_delimited
-from perron.sources.documents import flatten_features, read_documents
-
-
-def copy_cells(cells: DataFrame, dataset: Delimited, start: int = 1) -> DataFrame:
-    """The checked columns of a delimited dataset, with ids where the table has them."""
-    checked = positional_copy(cells, dataset.columns)
-    return with_row_id(checked, dataset.id_column, start) if dataset.id_column else checked
-
-
-def load_delimited(spark: SparkSession, dataset: Delimited, folder: str, start: int = 1) -> DataFrame:
-    return copy_cells(read_delimited(spark, folder, dataset.columns, dataset.multi_line), dataset, start)
-
-
-def load_features(documents: DataFrame, dataset: Document) -> DataFrame:
-    return conform(flatten_features(documents, dataset.paths, dataset.sizes), RAW[dataset.table])
+from perron.sources.delimited import has_broken_lines, positional_copy, read_delimited
+from perron.sources.documents import flatten_features, parse_documents, read_texts
+
+
+def landing_folder(dataset: Delimited | Document, landing: str) -> str:
+    return f"{landing.rstrip('/')}/{dataset.folder}"
+
+
+def open_landing(
+    warehouse: Warehouse, dataset: Delimited | Document, landing: str, reader: DataFrameReader | DataStreamReader
+) -> DataFrame:
+    """The unparsed rows of a dataset, read at once or as a stream."""
+    folder = landing_folder(dataset, landing)
+    if isinstance(dataset, Document):
+        return read_texts(reader, folder, dataset.layout)
+    multi_line = dataset.multi_line
+    if multi_line is None:
+        # One cheap look through the folder, in splits, saves reading it unsplit when it need not be.
+        multi_line = has_broken_lines(warehouse.spark, folder)
+    return read_delimited(reader, folder, dataset.columns, multi_line)
+
+
+def replace_raw(warehouse: Warehouse, dataset: Delimited | Document, landed: DataFrame) -> None:
+    """Replace a raw table by unparsed rows; those that cannot be read go to its rejects."""
+    if isinstance(dataset, Document):
+        documents = parse_documents(landed, dataset.layout)
+        warehouse.replace_checked(layers.RAW, dataset.staging, documents, RAW[dataset.staging])
+        features = flatten_features(warehouse.read(layers.RAW, dataset.staging), dataset.paths, dataset.sizes)
+        warehouse.replace(layers.RAW, dataset.table, conform(features, dataset.schema), dataset.schema)
+        return
+    checked = positional_copy(landed, dataset.columns)
+    if dataset.id_column:
+        checked = with_row_id(checked, dataset.id_column, _first_id(warehouse, dataset))
+    warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema)
 
 
 def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str) -> None:
-    """Replace one raw table by what lies in its landing folder."""
-    spark, folder = warehouse.spark, f"{landing.rstrip('/')}/{dataset.folder}"
-    if isinstance(dataset, Delimited):
-        checked = load_delimited(spark, dataset, folder, start_id(warehouse, dataset))
-        warehouse.replace_checked(layers.RAW, dataset.table, checked, RAW[dataset.table])
-        return
-    documents = read_documents(spark, folder, dataset.layout)
-    warehouse.replace_checked(layers.RAW, dataset.staging, documents, RAW[dataset.staging])
-    features = load_features(warehouse.read(layers.RAW, dataset.staging), dataset)
-    warehouse.replace(layers.RAW, dataset.table, features, RAW[dataset.table])
+    """Replace a raw table by all that lies in its landing folder."""
+    replace_raw(warehouse, dataset, open_landing(warehouse, dataset, landing, warehouse.spark.read))
 
 
-def start_id(warehouse: Warehouse, dataset: Delimited) -> int:
+def _first_id(warehouse: Warehouse, dataset: Delimited) -> int:
     """Ids go on from the rows that a reload replaces."""
-    if not dataset.id_column or not warehouse.exists(layers.RAW, dataset.table):
-        return 1
-    return next_id(warehouse.read(layers.RAW, dataset.table), dataset.id_column)
-
-
-def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
-    """Load every dataset that arrives with a frequency; the names of the tables written."""
-    for dataset in DATASETS[frequency]:
-        load_dataset(warehouse, dataset, landing)
-    return [dataset.table for dataset in DATASETS[frequency]]
-
-
-def dataset_of(table: str) -> Delimited | Document:
-    return BY_TABLE[table]
+    known = warehouse.exists(layers.RAW, dataset.table)
+    return next_id(warehouse.read(layers.RAW, dataset.table) if known else None, dataset.id_column)

@@ -1,4 +1,4 @@
-"""Writing the curated and the consumption layer."""
+"""Writing the three layers."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from perron.model.datasets import DATASETS
 from perron.model.tables import CONSUMPTION, CURATED
 from perron.operators.keys import next_id
 from perron.plans import consumption, curated
-from perron.plans.raw import ingest
+from perron.plans.raw import load_dataset
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
 
@@ -24,6 +24,16 @@ def at_once(work: Callable[[str], None], tables: Iterable[str], jobs: int = 4) -
         list(pool.map(work, tables))
 
 
+def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
+    """Load every dataset of a frequency from its landing folder; the tables written.
+
+    Folders are loaded as they are. `perron.streaming.pickup` loads each file once instead.
+    """
+    datasets = {dataset.table: dataset for dataset in DATASETS[frequency]}
+    at_once(lambda table: load_dataset(warehouse, datasets[table], landing), datasets)
+    return list(datasets)
+
+
 def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)) -> None:
     """Rebuild curated tables from the raw tables as they are."""
 

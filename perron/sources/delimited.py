@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from perron.functions.casts import read_kind
 from perron.model.tables import Field
@@ -39,16 +40,14 @@ def has_broken_lines(spark: SparkSession, folder: str) -> bool:
 
 
 def read_delimited(
-    spark: SparkSession, folder: str, columns: list[Field], multi_line: bool | None = None
+    reader: DataFrameReader | DataStreamReader, folder: str, columns: list[Field], multi_line: bool
 ) -> DataFrame:
     """The cells of a folder as text, with the file each row is from. gzip files are read as such.
 
-    Files whose cells hold line breaks cannot be split, so each becomes one task. By default the
-    folder is therefore looked through first, in splits, and read unsplit only when needed.
+    `multi_line` allows for line breaks in quoted cells. Files are then not split, so each becomes
+    one task.
     """
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, folder)
-    cells = spark.read.schema(cell_schema(columns)).options(**FORMAT, multiLine=multi_line).csv(folder)
+    cells = reader.schema(cell_schema(columns)).options(**FORMAT, multiLine=multi_line).csv(folder)
     return cells.select("*", F.col("_metadata.file_path").alias(SOURCE))
 
 

@@ -2,37 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from perron.functions.nested import explode_path, size_at, whole_at
 from perron.sources.rejects import CELLS, REASONS, REJECTED, SOURCE
 
 
-def read_documents(spark: SparkSession, folder: str, layout: str = "document") -> DataFrame:
+def _parsed(text: Column) -> Column:
+    """The text as an array of one document; empty for empty text, NULL for text that is no JSON.
+
+    The parser stops after a first document. In brackets, whatever follows makes the text invalid.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def read_texts(reader: DataFrameReader | DataStreamReader, folder: str, layout: str = "document") -> DataFrame:
+    """The files of a folder as text: whole with layout `document`, line by line with `lines`.
+
+    Lines let a file be split among tasks.
+    """
+    texts = reader.text(folder, wholetext=layout == "document")
+    return texts.select("value", F.col("_metadata.file_path").alias(SOURCE))
+
+
+def parse_documents(texts: DataFrame, layout: str = "document") -> DataFrame:
     """`json_data` per document; an outer array is unwrapped into its elements.
 
-    With layout `document` a file is one document, over any number of lines, or holds one document
-    per line. With `lines` every line is a document, and files are split among tasks. Text that is
-    no JSON makes a rejected row.
+    With layout `document` a file is one document over any number of lines or, when its first line is
+    a document by itself, one document per line. Text that is no JSON makes a rejected row.
     """
-    if layout == "lines":
-        texts = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias(SOURCE))
-        parsed = texts.where(F.trim("value") != "").withColumn("doc", F.try_parse_json("value"))
-    else:
-        whole = spark.read.text(folder, wholetext=True).select(
-            "value", F.col("_metadata.file_path").alias(SOURCE), F.try_parse_json("value").alias("doc")
-        )
-        nothing = F.array(F.lit(None).cast("string"))
-        lines = F.when(F.col("doc").isNull(), F.split("value", "\n")).otherwise(nothing)
-        parsed = (
-            whole.select(SOURCE, "doc", F.explode(lines).alias("value"))
-            .where(F.col("doc").isNotNull() | (F.trim("value") != ""))
-            .withColumn("doc", F.coalesce("doc", F.try_parse_json("value")))
-        )
-    elements = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
+    if layout == "document":
+        first_line = F.regexp_extract("value", r"^\s*(\S[^\n]*)", 1)
+        lines = F.when(_parsed(first_line).isNotNull(), F.split("value", "\n")).otherwise(F.array("value"))
+        texts = texts.select(SOURCE, F.explode(lines).alias("value"))
+    parsed = texts.withColumn("parsed", _parsed(F.col("value")))
+    documents = parsed.select("value", SOURCE, F.explode(_elements("parsed")).alias("doc"))
     broken = F.col("json_data").isNull()
-    return parsed.select("value", SOURCE, F.explode(elements).alias("json_data")).select(
+    return documents.select("value", SOURCE, F.explode(_elements("doc")).alias("json_data")).select(
         "json_data",
         broken.alias(REJECTED),
         F.when(broken, F.array(F.lit("json_data"))).alias(REASONS),
@@ -41,6 +49,15 @@ def read_documents(spark: SparkSession, folder: str, layout: str = "document") -
     )
 
 
+def read_documents(spark: SparkSession, folder: str, layout: str = "document") -> DataFrame:
+    return parse_documents(read_texts(spark.read, folder, layout), layout)
+
+
+def _elements(document: str) -> Column:
+    """The elements of an array, or the document itself."""
+    return F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+
+
 def flatten_features(documents: DataFrame, paths: dict[str, str], sizes: tuple[str, ...] = ()) -> DataFrame:
     """One row per element of `features`: a whole number per path, array lengths for `sizes`."""
     features = explode_path(documents, "json_data", "$.features", "feature")

@@ -1,52 +1,55 @@
 """Files that arrive in a landing folder replace their raw table.
 
 A run handles all files that have come since the last one as a single batch, which must hold the whole
-snapshot, and then ends. Without new files no batch starts and the table stays as it is.
+snapshot, and then ends. Without new files no batch starts and the table stays as it is. A file that
+was loaded is never loaded again, whether it still lies there or not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from perron.model.datasets import Delimited
-from perron.model.tables import RAW
-from perron.plans.raw import copy_cells, start_id
-from perron.sinks import warehouse as layers
+from perron.model.datasets import DATASETS, Delimited, Document
+from perron.plans.raw import open_landing, replace_raw
 from perron.sinks.warehouse import Warehouse
-from perron.sources.delimited import FORMAT, SOURCE, cell_schema, has_broken_lines
 
 
 def pick_up(
     warehouse: Warehouse,
-    dataset: Delimited,
+    dataset: Delimited | Document,
     landing: str,
     state: str,
     archive: str | None = None,
-    schema: str | None = None,
 ) -> bool:
-    """One run over a landing folder; whether it loaded anything.
+    """One run over the landing folder of a dataset; whether it loaded anything.
 
-    `state` keeps which files are done and must outlive the run. With `archive`, files are moved
-    there once a later run has begun, so a folder is cleared of what was loaded.
+    `state` keeps which files are done and must outlive the run. With `archive`, loaded files are
+    moved there when a later run loads new ones.
     """
-    spark, folder = warehouse.spark, f"{landing.rstrip('/')}/{dataset.folder}"
-    multi_line = has_broken_lines(spark, folder) if dataset.multi_line is None else dataset.multi_line
-    options = {**FORMAT, "multiLine": multi_line}
+    reader = warehouse.spark.readStream
     if archive:
-        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
-    cells = spark.readStream.schema(cell_schema(dataset.columns)).options(**options).csv(folder)
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def replace(batch: DataFrame, _: int) -> None:
-        checked = copy_cells(batch, dataset, start_id(warehouse, dataset))
-        warehouse.replace_checked(layers.RAW, dataset.table, checked, schema or RAW[dataset.table])
+        replace_raw(warehouse, dataset, batch)
 
     query = (
-        cells.select("*", "_metadata.file_path")
-        .withColumnRenamed("file_path", SOURCE)
-        .writeStream.option("checkpointLocation", state)
+        open_landing(warehouse, dataset, landing, reader)
+        .writeStream.option("checkpointLocation", f"{state.rstrip('/')}/{dataset.table}")
         .trigger(availableNow=True)
         .foreachBatch(replace)
         .start()
     )
     query.awaitTermination()
     return any(progress["numInputRows"] > 0 for progress in query.recentProgress)
+
+
+def pick_up_all(
+    warehouse: Warehouse, landing: str, frequency: str, state: str, archive: str | None = None
+) -> list[str]:
+    """Pick up what has come of every dataset of a frequency; the tables that were replaced."""
+    return [
+        dataset.table
+        for dataset in DATASETS[frequency]
+        if pick_up(warehouse, dataset, landing, state, archive)
+    ]

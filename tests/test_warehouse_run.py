@@ -10,8 +10,8 @@ from conftest import rows
 from perron.model.datasets import BY_TABLE
 from perron.model.tables import CONSUMPTION, CURATED, RAW
 from perron.plans.consumption import flat_view, violations
-from perron.plans.raw import ingest, load_dataset
-from perron.plans.refresh import published, refresh_consumption, refresh_curated, run_all
+from perron.plans.raw import load_dataset
+from perron.plans.refresh import ingest, published, refresh_consumption, refresh_curated, run_all
 from perron.sinks.warehouse import Warehouse
 
 
