@@ -73,36 +73,43 @@ def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
         F.lit(float(hot_rows)), sizes.select(F.sum("rows") / F.lit(partitions)).scalar()
     )
     hot = sizes.where(F.col("rows") > share).select(
-        "key", F.ceil(F.col("rows") / share * PIECES).alias("cuts")
+        "key", F.ceil(F.col("rows") / share * PIECES).cast("int").alias("cuts")
     )
     return {row["key"]: row["cuts"] for row in hot.collect()}
 
 
-def _cuts_frame(spark: SparkSession, cuts: dict, kind: T.DataType, prefix: str) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(f"{prefix}key", kind), T.StructField(f"{prefix}cuts", T.LongType())]
-    )
-    return F.broadcast(spark.createDataFrame(list(cuts.items()), schema))
+def _cuts_frame(spark: SparkSession, cuts: dict, kind: T.DataType) -> DataFrame:
+    schema = T.StructType([T.StructField("__hot_key", kind), T.StructField("__cuts", T.IntegerType())])
+    return spark.createDataFrame(list(cuts.items()), schema)
+
+
+def _cut(frame: DataFrame, key: str, cuts: dict, piece: str) -> DataFrame:
+    """Numbers the piece each row belongs to; rows of a key that is not hot are piece 0.
+
+    NULL keys join nothing and may stand anywhere, so they are spread over all partitions.
+    """
+    columns, number = frame.columns, F.lit(0)
+    if cuts:
+        table = _cuts_frame(frame.sparkSession, cuts, frame.schema[key].dataType)
+        frame = frame.join(F.broadcast(table), F.col(key) == F.col("__hot_key"), "left")
+        number = F.coalesce(F.pmod(F.spark_partition_id(), F.col("__cuts")), F.lit(0))
+    number = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(number)
+    return frame.select(*columns, number.alias(piece))
 
 
-def _cut(frame: DataFrame, key: str, own: dict, other: dict, own_piece: str, other_piece: str) -> DataFrame:
-    """Adds the piece a row belongs to, and repeats it for the pieces of the other side."""
-    spark, kind = frame.sparkSession, frame.schema[key].dataType
+def _repeat(frame: DataFrame, key: str, cuts: dict, piece: str, repeated: str) -> DataFrame:
+    """Repeats each row for every piece into which the other side cuts its key."""
     columns = frame.columns
-    piece = F.lit(0)
-    if own:
-        frame = frame.join(_cuts_frame(spark, own, kind, "__own_"), F.col(key) == F.col("__own_key"), "left")
-        piece = F.coalesce(F.pmod(F.spark_partition_id(), F.col("__own_cuts").cast("int")), F.lit(0))
-    # NULL keys join nothing and may stand anywhere, so they are spread over all partitions.
-    piece = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(piece)
-    repeat = F.lit(None).cast("int")
-    if other:
-        table = _cuts_frame(spark, other, kind, "__other_").select(
-            "__other_key", F.explode(F.sequence(F.lit(0), F.col("__other_cuts").cast("int") - 1)).alias("__copy")
-        )
-        frame = frame.join(F.broadcast(table), F.col(key) == F.col("__other_key"), "left")
-        repeat = F.col("__copy")
-    return frame.select(*columns, piece.alias(own_piece), repeat.alias(other_piece))
+    if not cuts:
+        # 0, but not a constant: the optimizer would take a constant out of the join keys.
+        zero = F.pmod(F.spark_partition_id(), F.lit(1))
+        return frame.select(*columns, zero.alias(piece), F.lit(False).alias(repeated))
+    table = _cuts_frame(frame.sparkSession, cuts, frame.schema[key].dataType).select(
+        "__hot_key", F.explode(F.sequence(F.lit(0), F.col("__cuts") - 1)).alias("__copy")
+    )
+    joined = frame.join(F.broadcast(table), F.col(key) == F.col("__hot_key"), "left")
+    copy = F.coalesce("__copy", F.lit(0))
+    return joined.select(*columns, copy.alias(piece), F.col("__copy").isNotNull().alias(repeated))
 
 
 def sized_join(
@@ -115,13 +122,15 @@ def sized_join(
     unique_left: bool = False,
     unique_right: bool = False,
     measure: bool = True,
+    left_like: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on one key; `how` is inner, left, full or left_anti. Gives all columns of both sides.
 
     `unique_left` and `unique_right` say that a side has one row per key and needs no look for hot
     keys. `measure=False` skips the look at the size of the right side, for one that is costly to
-    compute twice. Column names must differ between the sides.
+    compute twice. `left_like` is a cheaper frame in which the left key is spread alike, to look for
+    hot keys in. None of them changes the result. Column names must differ between the sides.
     """
     if how not in ("inner", "left", "full", "left_anti"):
         raise ValueError(f"unknown join: {how}")
@@ -140,33 +149,46 @@ def sized_join(
 
     if how == "left_anti":
         right, unique_right = right.distinct(), True
-    hot_left = {} if unique_left else hot_keys(left, left_key, hot_rows)
+    hot_left = {} if unique_left else hot_keys(left if left_like is None else left_like, left_key, hot_rows)
     hot_right = {} if unique_right else hot_keys(right, right_key, hot_rows)
-    if not hot_left and not hot_right and how != "full":
+    # NULL keys that stay in the result need a place. What stands for the left side may have fewer.
+    cut_left = bool(hot_left) or how == "full" or (how == "left" and left_like is not None)
+    cut_right = bool(hot_right) or how == "full"
+    if not cut_left and not cut_right:
         return left.join(right, on, how)
-    # NULL is spread in any case, see `_cut`.
+
     hot_left.pop(None, None)
     hot_right.pop(None, None)
-
-    # `__i` is the piece by the left side, `__j` by the right; `__copy_*` marks repeated rows.
-    lefts = _cut(left, left_key, hot_left, hot_right, "__i", "__copy_left")
-    rights = _cut(right, right_key, hot_right, hot_left, "__j", "__copy_right")
-    joined = lefts.withColumn("__in_left", F.lit(True)).join(
-        rights.withColumn("__in_right", F.lit(True)),
-        on
-        & (F.col("__i") == F.coalesce("__copy_right", F.lit(0)))
-        & (F.col("__j") == F.coalesce("__copy_left", F.lit(0))),
-        how,
-    )
+    lefts = left.withColumn("__in_left", F.lit(True))
+    rights = right.withColumn("__in_right", F.lit(True))
+    stray = F.lit(False)
+    if cut_left:
+        lefts = _cut(lefts, left_key, hot_left, "__left_piece")
+        rights = _repeat(rights, right_key, hot_left, "__right_copy", "__right_repeated")
+        on &= F.col("__left_piece") == F.col("__right_copy")
+        stray |= F.col("__right_repeated") & F.col("__in_left").isNull()
+    if cut_right:
+        rights = _cut(rights, right_key, hot_right, "__right_piece")
+        lefts = _repeat(lefts, left_key, hot_right, "__left_copy", "__left_repeated")
+        on &= F.col("__left_copy") == F.col("__right_piece")
+        stray |= F.col("__left_repeated") & F.col("__in_right").isNull()
+    joined = lefts.join(rights, on, how)
     if how == "left_anti":
         return joined.select(*left.columns)
-    stray_left = F.col("__copy_left").isNotNull() & F.col("__in_right").isNull()
-    stray_right = F.col("__copy_right").isNotNull() & F.col("__in_left").isNull()
-    return joined.where(~stray_left & ~stray_right).select(*left.columns, *right.columns)
+    # `stray` is NULL where that side is absent altogether, and such rows stay.
+    return joined.where(~F.coalesce(stray, F.lit(False))).select(*left.columns, *right.columns)
 
 
-def star_join(fact: DataFrame, edges: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """The fact left-joined to each dimension; an edge is (fact column, dimension, dimension key)."""
+def star_join(
+    fact: DataFrame, edges: list[tuple[str, DataFrame, str]], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The fact left-joined to each dimension; an edge is (fact column, dimension, dimension key).
+
+    A column that a dimension has brought in can lead on to the next. Hot keys of the fact's own
+    columns are looked for in the fact as it came, not behind the joins before.
+    """
+    joined = fact
     for column, dimension, key in edges:
-        fact = sized_join(fact, dimension, column, key, "left")
-    return fact
+        own = fact if column in fact.columns and joined is not fact else None
+        joined = sized_join(joined, dimension, column, key, "left", left_like=own, hot_rows=hot_rows)
+    return joined

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from perron.session import scratch
 
 _ROW_BITS = 33
+_LAST = 1 << 62
 
 
 def with_row_id(frame: DataFrame, name: str, start: int = 1) -> DataFrame:
@@ -44,6 +45,9 @@ def with_dense_id(frame: DataFrame, name: str, order: list[str], start: int = 1)
 
 
 def next_id(frame: DataFrame | None, name: str) -> int:
-    """One more than the largest id of an earlier load: ids go on growing over reloads."""
+    """One more than the largest id of an earlier load: ids go on growing over reloads.
+
+    Past half of the BIGINT range they begin anew, which a reload that replaces all rows allows.
+    """
     largest = frame.agg(F.max(name)).first()[0] if frame is not None else None
-    return 1 if largest is None else largest + 1
+    return 1 if largest is None or largest >= _LAST else largest + 1

@@ -44,7 +44,9 @@ def accessibility(
         F.col("designation").alias("toilet_designation"),
         F.col("wheelchair_accessibility").alias("toilet_wheelchair_access"),
     )
-    joined = sized_join(merged, toilets, "sloid", "toilet_sloid", "left", hot_rows=hot_rows)
+    joined = sized_join(
+        merged, toilets, "sloid", "toilet_sloid", "left", left_like=raw_accessibility_1, hot_rows=hot_rows
+    )
     return conform(joined, CURATED["curated_accessibility"])
 
 
@@ -138,7 +140,8 @@ def stop_data(
         raw_occupancy_data, F.col("stop_id").alias("occupied_stop_id"), "stop_abbr"
     )
     joined = sized_join(
-        stops.distinct(), abbreviations, "stop_id", "occupied_stop_id", "left", hot_rows=hot_rows
+        stops.distinct(), abbreviations, "stop_id", "occupied_stop_id", "left",
+        left_like=raw_stop_data, hot_rows=hot_rows,
     )
     keyed = joined.withColumn("sloid", prefixed_key(prefix, F.col("stop_id"), offset))
     return conform(keyed, CURATED["curated_stop_data"])
@@ -182,7 +185,7 @@ def parking(
     cars = conform(raw_parking_data, RAW["raw_parking_data"]).distinct()
     joined = sized_join(
         cars, bikes.withColumnRenamed("stop_id", "bike_stop_id"), "stop_id", "bike_stop_id", how,
-        unique_right=True, measure=False, hot_rows=hot_rows,
+        unique_right=True, measure=False, left_like=raw_parking_data, hot_rows=hot_rows,
     )
     return conform(joined, CURATED["curated_parking"])
 

@@ -90,6 +90,28 @@ def test_rows_of_a_hot_key_are_spread(spark, no_broadcast):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_null_keys_are_spread(spark, no_broadcast, how):
+    """Also when no key is hot, and on the right side of a full join."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def some(name, rows):
+            return spark.range(0, rows, 1, 12).select(
+                F.when(F.col("id") % 2 == 0, F.col("id")).alias(name), F.lit(1).alias(name + "_in"))
+
+        left, right = some("l", 6000), some("r", 3000)
+        joined = sized_join(left, right, "l", "r", how, left_like=left if how == "left" else None)
+        places = {
+            name: joined.where(F.col(name).isNull() & F.col(name + "_in").isNotNull())
+            .select(F.spark_partition_id()).distinct().count()
+            for name in ("l", "r")
+        }
+        assert places["l"] >= 3 and (how == "left" or places["r"] >= 3)
+        assert joined.count() == {"left": 6000, "full": 7500}[how]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_hot_keys(spark):
     frame = side(spark, [1] * 10 + [2] * 3 + [None] * 8 + [3], "l")
     assert hot_keys(frame, "l_key", hot_rows=2) == {1: 8, None: 6}
@@ -120,6 +142,28 @@ def test_shared_column_names_are_refused(spark):
         sized_join(spark.range(1), spark.range(1), "id", "id", "cross")
 
 
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_a_frame_that_stands_for_the_left_side(spark, no_broadcast, hot_rows):
+    left = [None] * 6 + [1] * 9 + [2] * 2 + [7]
+    for like in ([1] * 5, [None, 3], [2, 2, 7, 7], []):
+        check(spark, left, [1, 1, 2, 3], "left", hot_rows=hot_rows, left_like=side(spark, like, "l"))
+
+
+def test_star_join_with_hot_keys(spark, no_broadcast):
+    fact = spark.createDataFrame([(i, i % 2 or None, i % 3) for i in range(30)], "f int, a int, b int")
+    first = spark.createDataFrame([(1, 0), (1, 2)], "k int, c int")
+    second = spark.createDataFrame([(0, "x"), (0, "y"), (2, "z")], "n int, d string")
+    third = spark.createDataFrame([(2, "c2")], "m int, e string")
+    got = rows(star_join(fact, [("a", first, "k"), ("b", second, "n"), ("c", third, "m")], hot_rows=1), "f", "c", "d", "e")
+    want = [
+        (f, c, d, "c2" if c == 2 else None)
+        for f in range(30)
+        for c in ((0, 2) if f % 2 else (None,))
+        for d in {0: ("x", "y"), 1: (None,), 2: ("z",)}[f % 3]
+    ]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_star_join(spark):
     fact = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "f long, d string")
     dim = spark.createDataFrame([("a", 7)], "k string, e long")

@@ -90,6 +90,7 @@ def test_unique_ids(spark):
     assert keys.next_id(None, "n") == 1
     assert keys.next_id(spark.range(5), "id") == 5
     assert keys.next_id(spark.range(0), "id") == 1
+    assert keys.next_id(spark.range(1 << 62, (1 << 62) + 1), "id") == 1
 
 
 @pytest.mark.parametrize("limit", ["10485760b", "-1"])
