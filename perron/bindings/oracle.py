@@ -338,6 +338,9 @@ SQL = {
     "snapshot_replace": """
         select o_orderkey, o_orderpriority, o_orderstatus from orders
         where o_orderstatus <> 'P' or o_orderpriority = '1-URGENT'""",
+    "sql_scan": """
+        select o_custkey, max(o_orderdate)::date as last_order from orders where year(o_orderdate) = 1998
+        group by o_custkey""",
     "curated_line_data_deduped": """
         select * replace (trim(final_destination) as final_destination)
         from (select * replace ('L' || (substr(slnid, 12)::bigint // 2) as line_id) from curated_line_data)

@@ -405,6 +405,17 @@ def snapshot_replace(t: Shapes) -> DataFrame:
     return warehouse.read("curated", "orders")
 
 
+@query
+def sql_scan(t: Shapes) -> DataFrame:
+    """A table of the warehouse by name, in SQL."""
+    warehouse = scratch_warehouse(t.spark, "sql")
+    warehouse.replace("curated", "orders", t.table("orders"), "o_orderkey bigint, o_custkey bigint, o_orderdate date")
+    return t.spark.sql(
+        f"select o_custkey, max(o_orderdate) as last_order from {warehouse.name('curated', 'orders')} "
+        "where year(o_orderdate) = '1998' group by o_custkey"
+    )
+
+
 def _loader(raw_table: str) -> Query:
     """A raw table written to landing files, some cells spoilt, and loaded from them."""
 

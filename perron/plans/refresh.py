@@ -4,26 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 
 from perron.model.datasets import DATASETS
-from perron.model.tables import CONSUMPTION, CURATED
+from perron.model.tables import CONSUMPTION, CURATED, RAW
 from perron.operators.keys import next_id
 from perron.plans import consumption, curated
 from perron.plans.raw import load_dataset
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
 
+T = TypeVar("T")
+
 DIMENSIONS = [table for table in CONSUMPTION if table != "transport_fact"]
 
 
-def at_once(work: Callable[[str], None], tables: Iterable[str], jobs: int = 4) -> None:
+def at_once(work: Callable[[T], None], tables: Iterable[T], jobs: int = 4) -> None:
     """Tables that do not depend on each other, a few at a time; the first failure is raised."""
     with ThreadPoolExecutor(jobs) as pool:
         list(pool.map(work, tables))
 
 
+def create_tables(warehouse: Warehouse) -> None:
+    """Empty tables for all that do not exist yet, so that a refresh need not wait for every file."""
+    layouts = {layers.RAW: RAW, layers.CURATED: CURATED, layers.CONSUMPTION: CONSUMPTION}
+    missing = {
+        (layer, table): schema
+        for layer, tables in layouts.items()
+        for table, schema in tables.items()
+        if not warehouse.exists(layer, table)
+    }
+
+    def create(key: tuple[str, str]) -> None:
+        warehouse.replace(*key, warehouse.spark.createDataFrame([], missing[key]), missing[key])
+
+    at_once(create, missing)
+
+
 def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
     """Load every dataset of a frequency from its landing folder; the tables written.
 

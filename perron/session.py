@@ -31,14 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without it; it then gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="perron-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="perron-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -118,6 +118,12 @@ def test_hot_keys(spark):
     assert hot_keys(frame, "l_key", hot_rows=100) == {}
 
 
+def test_hot_keys_of_many_rows(spark):
+    frame = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    found = hot_keys(frame, "k", hot_rows=50_000)
+    assert list(found) == [7] and found[7] in (5, 6)
+
+
 def test_size_check(spark):
     assert broadcast_limit(spark) == 10 << 20
     assert fits_broadcast(spark.range(1000))
@@ -138,6 +144,8 @@ def test_broadcast_is_decided_by_size(spark):
 def test_shared_column_names_are_refused(spark):
     with pytest.raises(ValueError, match="both sides: id"):
         sized_join(spark.range(1), spark.range(1), "id", "id", "inner")
+    with pytest.raises(ValueError, match="from the sides themselves"):
+        check(spark, [1], [1], "full", left_like=side(spark, [2], "l"))
     with pytest.raises(ValueError, match="unknown join"):
         sized_join(spark.range(1), spark.range(1), "id", "id", "cross")
 
@@ -146,7 +154,8 @@ def test_shared_column_names_are_refused(spark):
 def test_a_frame_that_stands_for_the_left_side(spark, no_broadcast, hot_rows):
     left = [None] * 6 + [1] * 9 + [2] * 2 + [7]
     for like in ([1] * 5, [None, 3], [2, 2, 7, 7], []):
-        check(spark, left, [1, 1, 2, 3], "left", hot_rows=hot_rows, left_like=side(spark, like, "l"))
+        for how in ("left", "inner", "left_anti"):
+            check(spark, left, [1, 1, 2, 3], how, hot_rows=hot_rows, left_like=side(spark, like, "l"))
 
 
 def test_star_join_with_hot_keys(spark, no_broadcast):

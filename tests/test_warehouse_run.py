@@ -11,7 +11,7 @@ from perron.model.datasets import BY_TABLE
 from perron.model.tables import CONSUMPTION, CURATED, RAW
 from perron.plans.consumption import flat_view, violations
 from perron.plans.raw import load_dataset
-from perron.plans.refresh import ingest, published, refresh_consumption, refresh_curated, run_all
+from perron.plans.refresh import create_tables, ingest, published, refresh_consumption, refresh_curated, run_all
 from perron.sinks.warehouse import Warehouse
 
 
@@ -193,3 +193,14 @@ def test_ingest_by_frequency(warehouse, tmp_path):
     assert ingest(warehouse, files, "monthly") == [
         "raw_bike_parking_data", "raw_transport_subtypes", "raw_parking_data", "raw_transport_types"]
     assert not warehouse.exists("raw", "raw_transport")
+
+
+def test_refresh_before_every_file_has_come(warehouse, tmp_path):
+    create_tables(warehouse)
+    ingest(warehouse, landing.write(tmp_path / "landing"), "daily")
+    refresh_curated(warehouse)
+    refresh_consumption(warehouse)
+    counts = {table: frame.count() for table, frame in published(warehouse).items()}
+    assert counts.pop("transport_fact") == 10 and set(counts.values()) == {0}
+    create_tables(warehouse)
+    assert warehouse.read("consumption", "transport_fact").count() == 10
