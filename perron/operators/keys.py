@@ -12,7 +12,10 @@ _LAST = 1 << 62
 
 
 def with_row_id(frame: DataFrame, name: str, start: int = 1) -> DataFrame:
-    """Unique ids from `start` up, with gaps, without a shuffle."""
+    """Unique ids from `start` up, with gaps, without a shuffle.
+
+    For rows as they are read from files or tables: a repeated task then gives the same ids.
+    """
     return frame.select((F.monotonically_increasing_id() + F.lit(start)).alias(name), *frame.columns)
 
 

@@ -64,10 +64,9 @@ class Warehouse:
 
     def append(self, layer: str, table: str, frame: DataFrame, schema: str) -> None:
         """Adds rows to the current snapshot, matched to `schema` by name."""
-        snapshots = self._snapshots(layer, table)
-        if not snapshots:
+        if not self.exists(layer, table):
             return self.replace(layer, table, frame, schema)
-        target = f"{self.database(layer)}.{snapshots[-1]}"
+        target = f"{self.database(layer)}.{self._current(layer, table)}"
         rows = conform(frame, schema)
         present = self.spark.table(target).schema
         added = {f.name: F.lit(None) for f in present if f.name not in rows.columns}
@@ -75,6 +74,12 @@ class Warehouse:
             added[REJECTED] = F.lit(False)
         conform(rows.withColumns(added), present).write.insertInto(target)
 
+    def _current(self, layer: str, table: str) -> str:
+        """The snapshot that the view of a table points at."""
+        about = self.spark.sql(f"describe table extended {self.name(layer, table)}")
+        text = about.where(F.col("col_name") == "View Text").first()["data_type"]
+        return re.search(re.escape(table) + r"__\d+", text).group()
+
     def _snapshots(self, layer: str, table: str) -> list[str]:
         database = self.database(layer)
         found = self.spark.sql(f"show tables in {database} like '{table}__*'").collect()

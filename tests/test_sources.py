@@ -154,6 +154,7 @@ def test_failed_load_leaves_the_old_snapshot(spark, warehouse):
 
 def test_append(spark, warehouse):
     warehouse.append("raw", "t", spark.range(3), "id bigint")
+    spark.range(9).write.saveAsTable(warehouse.name("raw", f"t__{10**19}"))  # written, never published
     warehouse.append("raw", "t", spark.range(2), "id bigint")
     assert warehouse.read("raw", "t").count() == 5
 
