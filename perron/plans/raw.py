@@ -2,46 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader
-from pyspark.sql.streaming import DataStreamReader
-
 from perron.model.datasets import Delimited, Document
 from perron.model.tables import RAW
 from perron.operators.keys import next_id, with_row_id
 from perron.operators.projection import conform
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
-from perron.sources.delimited import has_broken_lines, positional_copy, read_delimited
-from perron.sources.documents import flatten_features, parse_documents, read_texts
+from perron.sources.delimited import positional_copy, read_delimited
+from perron.sources.documents import flatten_features, read_documents
 
 
 def landing_folder(dataset: Delimited | Document, landing: str) -> str:
     return f"{landing.rstrip('/')}/{dataset.folder}"
 
 
-def open_landing(
-    warehouse: Warehouse, dataset: Delimited | Document, landing: str, reader: DataFrameReader | DataStreamReader
-) -> DataFrame:
-    """The unparsed rows of a dataset, read at once or as a stream."""
-    folder = landing_folder(dataset, landing)
-    if isinstance(dataset, Document):
-        return read_texts(reader, folder, dataset.layout)
-    multi_line = dataset.multi_line
-    if multi_line is None:
-        # One cheap look through the folder, in splits, saves reading it unsplit when it need not be.
-        multi_line = has_broken_lines(warehouse.spark, folder)
-    return read_delimited(reader, folder, dataset.columns, multi_line)
-
-
-def replace_raw(warehouse: Warehouse, dataset: Delimited | Document, landed: DataFrame) -> None:
-    """Replace a raw table by unparsed rows; those that cannot be read go to its rejects."""
+def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[str]) -> None:
+    """Replace a raw table by files or folders; rows that cannot be read go to its rejects."""
+    spark = warehouse.spark
     if isinstance(dataset, Document):
-        documents = parse_documents(landed, dataset.layout)
+        documents = read_documents(spark, paths, dataset.layout)
         warehouse.replace_checked(layers.RAW, dataset.staging, documents, RAW[dataset.staging])
         features = flatten_features(warehouse.read(layers.RAW, dataset.staging), dataset.paths, dataset.sizes)
         warehouse.replace(layers.RAW, dataset.table, conform(features, dataset.schema), dataset.schema)
         return
-    checked = positional_copy(landed, dataset.columns)
+    cells = read_delimited(spark, paths, dataset.columns, dataset.multi_line)
+    checked = positional_copy(cells, dataset.columns)
     if dataset.id_column:
         checked = with_row_id(checked, dataset.id_column, _first_id(warehouse, dataset))
     warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema)
@@ -49,7 +34,7 @@ def replace_raw(warehouse: Warehouse, dataset: Delimited | Document, landed: Dat
 
 def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str) -> None:
     """Replace a raw table by all that lies in its landing folder."""
-    replace_raw(warehouse, dataset, open_landing(warehouse, dataset, landing, warehouse.spark.read))
+    load_files(warehouse, dataset, [landing_folder(dataset, landing)])
 
 
 def _first_id(warehouse: Warehouse, dataset: Delimited) -> int:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamReader
 
 from perron.functions.casts import read_kind
 from perron.model.tables import Field
+from perron.sources.files import list_files
 from perron.sources.rejects import CELLS, REASONS, REJECTED, SOURCE
 
 # A quoted empty cell is an empty text, an unquoted one is NULL. The reader gives this mark for the
@@ -33,22 +33,35 @@ def cell_schema(columns: list[Field]) -> str:
     return ", ".join(f"c{i} string" for i in range(1, last + 1))
 
 
-def has_broken_lines(spark: SparkSession, folder: str) -> bool:
-    """Whether a quoted cell may hold a line break: only then has a line an odd number of quotes."""
+def broken_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files in which a quoted cell may hold a line break: some line has an odd number of quotes."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(folder).where(quotes % 2 == 1).isEmpty()
+    lines = spark.read.text(paths).where(quotes % 2 == 1)
+    return [row[0] for row in lines.select("_metadata.file_path").distinct().collect()]
+
+
+def _read(spark: SparkSession, paths: list[str], columns: list[Field], multi_line: bool) -> DataFrame:
+    cells = spark.read.schema(cell_schema(columns)).options(**FORMAT, multiLine=multi_line).csv(paths)
+    return cells.select("*", F.col("_metadata.file_path").alias(SOURCE))
 
 
 def read_delimited(
-    reader: DataFrameReader | DataStreamReader, folder: str, columns: list[Field], multi_line: bool
+    spark: SparkSession, paths: list[str], columns: list[Field], multi_line: bool | None = None
 ) -> DataFrame:
-    """The cells of a folder as text, with the file each row is from. gzip files are read as such.
+    """The cells of files or folders as text, with the file each row is from. gzip files are read as such.
 
-    `multi_line` allows for line breaks in quoted cells. Files are then not split, so each becomes
-    one task.
+    A file whose cells hold line breaks cannot be split and becomes one task. By default all files are
+    looked through first, in splits, and only those that need it are read unsplit.
     """
-    cells = reader.schema(cell_schema(columns)).options(**FORMAT, multiLine=multi_line).csv(folder)
-    return cells.select("*", F.col("_metadata.file_path").alias(SOURCE))
+    if multi_line is not None:
+        return _read(spark, paths, columns, multi_line)
+    broken = set(broken_files(spark, paths))
+    if not broken:
+        return _read(spark, paths, columns, False)
+    files = list_files(spark, paths)
+    whole = _read(spark, [path for uri, path in files.items() if uri in broken], columns, True)
+    others = [path for uri, path in files.items() if uri not in broken]
+    return whole.unionByName(_read(spark, others, columns, False)) if others else whole
 
 
 def cell(ordinal: int) -> Column:

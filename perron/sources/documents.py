@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamReader
 
 from perron.functions.nested import explode_path, size_at, whole_at
 from perron.sources.rejects import CELLS, REASONS, REJECTED, SOURCE
@@ -18,15 +17,6 @@ def _parsed(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def read_texts(reader: DataFrameReader | DataStreamReader, folder: str, layout: str = "document") -> DataFrame:
-    """The files of a folder as text: whole with layout `document`, line by line with `lines`.
-
-    Lines let a file be split among tasks.
-    """
-    texts = reader.text(folder, wholetext=layout == "document")
-    return texts.select("value", F.col("_metadata.file_path").alias(SOURCE))
-
-
 def parse_documents(texts: DataFrame, layout: str = "document") -> DataFrame:
     """`json_data` per document; an outer array is unwrapped into its elements.
 
@@ -49,8 +39,13 @@ def parse_documents(texts: DataFrame, layout: str = "document") -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, folder: str, layout: str = "document") -> DataFrame:
-    return parse_documents(read_texts(spark.read, folder, layout), layout)
+def read_documents(spark: SparkSession, paths: str | list[str], layout: str = "document") -> DataFrame:
+    """The documents of files or folders, see `parse_documents`.
+
+    With layout `document` a file is read whole by one task; `lines` lets it be split among tasks.
+    """
+    texts = spark.read.text(paths, wholetext=layout == "document")
+    return parse_documents(texts.select("value", F.col("_metadata.file_path").alias(SOURCE)), layout)
 
 
 def _elements(document: str) -> Column:

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from perron.model.datasets import DATASETS, Delimited, Document
-from perron.plans.raw import open_landing, replace_raw
+from perron.plans.raw import landing_folder, load_files
 from perron.sinks.warehouse import Warehouse
+from perron.sources.files import arriving_files
 
 
 def pick_up(
@@ -24,20 +25,21 @@ def pick_up(
     """One run over the landing folder of a dataset; whether it loaded anything.
 
     `state` keeps which files are done and must outlive the run. With `archive`, loaded files are
-    moved there when a later run loads new ones.
+    moved there when a later run loads new ones. The stream carries the names of the files alone;
+    the load itself is that of a batch.
     """
-    reader = warehouse.spark.readStream
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
 
-    def replace(batch: DataFrame, _: int) -> None:
-        replace_raw(warehouse, dataset, batch)
+    def load(batch: DataFrame, _: int) -> None:
+        paths = [row["path"] for row in batch.collect()]
+        if paths:
+            load_files(warehouse, dataset, paths)
 
     query = (
-        open_landing(warehouse, dataset, landing, reader)
+        arriving_files(warehouse.spark, landing_folder(dataset, landing), **options)
         .writeStream.option("checkpointLocation", f"{state.rstrip('/')}/{dataset.table}")
         .trigger(availableNow=True)
-        .foreachBatch(replace)
+        .foreachBatch(load)
         .start()
     )
     query.awaitTermination()

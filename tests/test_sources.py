@@ -12,7 +12,7 @@ from perron.model.datasets import BY_TABLE, DATASETS, Delimited
 from perron.model.tables import RAW, fields
 from perron.plans.curated import accessibility, line_data, occupancy, parking, stop_data
 from perron.plans.raw import load_dataset
-from perron.sources.delimited import has_broken_lines, positional_copy, read_delimited
+from perron.sources.delimited import broken_files, positional_copy, read_delimited
 from perron.sources.documents import flatten_features, read_documents
 from perron.sources.rejects import accepted, rejects
 from perron.streaming.pickup import pick_up, pick_up_all
@@ -21,9 +21,7 @@ COLUMNS = fields("1 a whole\n3 b text\n4 c flag")
 
 
 def copy(spark, folder, multi_line=None, columns=COLUMNS):
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, str(folder))
-    return positional_copy(read_delimited(spark.read, str(folder), columns, multi_line), columns)
+    return positional_copy(read_delimited(spark, [str(folder)], columns, multi_line), columns)
 
 
 def read(spark, folder, content, multi_line=None):
@@ -50,17 +48,27 @@ def test_empty_quoted_and_null_mark(spark, tmp_path):
 def test_quotes_delimiters_and_line_breaks(spark, tmp_path):
     text = 'h\n1;;"a;b ""c""\nd";1\n2;;plain;0\n'
     got = read(spark, tmp_path, text)
-    assert has_broken_lines(spark, str(tmp_path))
+    assert len(broken_files(spark, [str(tmp_path)])) == 1
     assert rows(accepted(got)) == [(1, 'a;b "c"\nd', True), (2, "plain", False)]
 
 
 def test_whole_lines_are_read_in_splits(spark, tmp_path):
     got = read(spark, tmp_path, 'h\n1;;"a;b ""c""";1\n')
-    assert not has_broken_lines(spark, str(tmp_path))
+    assert broken_files(spark, [str(tmp_path)]) == []
     assert rows(accepted(got)) == [(1, 'a;b "c"', True)]
     assert rows(accepted(got)) == rows(accepted(read(spark, tmp_path, 'h\n1;;"a;b ""c""";1\n', multi_line=True)))
 
 
+def test_only_files_with_line_breaks_are_read_unsplit(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text("h\n1;;x;\n")
+    (tmp_path / "odd name %20ü.csv").write_text('h\n2;;"y\nz";\n')
+    (tmp_path / "other name.csv").write_text('h\n3;;"a ""b""";\n')
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as out:
+        out.write('h\n4;;"p\nq";\n')
+    assert len(broken_files(spark, [str(tmp_path)])) == 2
+    assert rows(accepted(copy(spark, tmp_path)), "a", "b") == [(1, "x"), (2, "y\nz"), (3, 'a "b"'), (4, "p\nq")]
+
+
 def test_several_reasons(spark, tmp_path):
     got = read(spark, tmp_path, "h\nx;;t;perhaps\n")
     assert rows(rejects(got), "reasons", "cells") == [(["a", "c"], ["x", "t", "perhaps"])]
