@@ -41,8 +41,7 @@ RAW = {
           'Type ' || kind as business_type_fr, 'CH' || s_suppkey as company_id,
           case when s_suppkey % 3 <> 0 then 'Company ' || s_suppkey end as company_name
         from (select *, case s_suppkey % 4 when 0 then '10,20' when 1 then s_nationkey::varchar when 3 then '20' end
-              as kind from supplier), range(2) twice(copy)
-        where copy = 0 or s_suppkey % 5 = 0""",
+              as kind from supplier), range(2) twice(copy)""",
     "raw_stop_data": """
         select case when c_custkey % 50 <> 7 then 8500000 + c_custkey end as stop_id, 85::bigint as land_num,
           c_custkey as stop_short_num, c_custkey % 10 as stop_control_num, c_name as stop_name,
@@ -51,8 +50,7 @@ RAW = {
           'M' || c_nationkey as municipality, 'K' || (c_nationkey % 5) as canton_id,
           case when c_custkey % 40 = 1 then 'n/a' else '2' || gap || (600000 + c_custkey) || '.5' end as coord_e,
           '1' || gap || (200000 + c_custkey) as coord_n, (c_custkey % 900)::varchar as altitude
-        from (select *, case copy when 0 then ' ' else '' end as gap from customer, range(2) twice(copy)
-              where copy = 0 or c_custkey % 6 = 0)""",
+        from (select *, case copy when 0 then ' ' else '' end as gap from customer, range(2) twice(copy))""",
     "raw_accessibility_1": """
         select case when c_custkey % 30 <> 1 then 'ch:1:sloid:' || c_custkey end as sloid,
           c_custkey % 2 = 0 as t_autonomy, c_custkey % 3 = 0 as t_ramp, c_custkey % 4 = 0 as t_advance_registration,
@@ -61,14 +59,14 @@ RAW = {
           c_custkey % 10 = 0 as o_no_access, c_custkey % 11 = 0 as o_no_info,
           c_custkey % 12 = 0 as t_spare_transport, c_custkey % 13 = 0 as o_spare_transport,
           'P' || (c_custkey % 4) as platform
-        from customer where c_custkey % 5 <> 0""",
+        from customer""",
     "raw_accessibility_2": """
-        select 'ch:1:sloid:' || p_partkey as sloid, 'ch:1:sloid:' || (p_partkey % 100) as parent_sloid,
+        select 'ch:1:sloid:' || (p_partkey + 50) as sloid, 'ch:1:sloid:' || (p_partkey % 100) as parent_sloid,
           (p_size + 0.5)::decimal(5,1) as height, (p_size % 10 + 0.2)::decimal(3,1) as inclination,
           p_type as info_type, p_brand as tactile_systems, p_name as access_type,
           p_size::decimal(10,1) as wheelchair_area_length,
           case when p_size % 7 <> 0 then (p_size + 1)::decimal(10,1) end as wheelchair_area_width
-        from part where p_partkey % 3 <> 0""",
+        from part""",
     "raw_toilets": """
         select 'W' || s_suppkey as sloid, 'ch:1:sloid:' || (s_suppkey // 3) as parent_sloid,
           'D' || (s_suppkey % 2) as designation,
@@ -112,8 +110,8 @@ RAW = {
 # Which rows the spoilt cells of the landing files leave.
 LOADED = {
     "raw_transport": "minute(arrival_time) not in (13, 17)",
-    "raw_operators": "organisation_number % 30 <> 11",
-    "raw_stop_data": "stop_short_num % 70 <> 3",
+    "raw_operators": "business_type_id is distinct from '20'",
+    "raw_stop_data": "vehicle_type <> 'MACHINERY'",
     "raw_accessibility_2": "wheelchair_area_length <> 50",
     "raw_occupancy_data": "station_owner_id <> 'P'",
     "raw_transport_types": "ref_netex <> 'N7'",

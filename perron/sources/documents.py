@@ -9,12 +9,15 @@ from perron.functions.nested import explode_path, size_at, whole_at
 from perron.sources.rejects import CELLS, REASONS, REJECTED, SOURCE
 
 
+BYTE_ORDER_MARK = "\ufeff"
+
+
 def _parsed(text: Column) -> Column:
     """The text as an array of one document; empty for empty text, NULL for text that is no JSON.
 
     The parser stops after a first document. In brackets, whatever follows makes the text invalid.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), F.ltrim(text, F.lit(BYTE_ORDER_MARK)), F.lit("]")))
 
 
 def parse_documents(texts: DataFrame, layout: str = "document") -> DataFrame:

@@ -10,11 +10,12 @@ from perron.sinks.warehouse import Warehouse
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = local_session(
-        cores=4,
+        cores=8,
         shuffle_partitions=4,
         **{
             "spark.checkpoint.dir": str(root / "shared"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     yield session

@@ -99,6 +99,7 @@ DOCUMENTS = {
     "array of lines": ('[\n{"features": [{"v": 1}]},\n{"features": [{"v": 2}]}\n]', [1, 2]),
     "empty": ('{"features": []}', []),
     "other": ('{"x": 1}', []),
+    "byte order mark": ('\ufeff{"features": [{"v": 1}]}', [1]),
     "nothing": ("", []),
 }
 
@@ -112,6 +113,22 @@ def test_documents(spark, tmp_path, case):
     assert [r[0] for r in rows(got)] == values and rejects(documents).isEmpty()
 
 
+def test_gzip_documents(spark, tmp_path):
+    with gzip.open(tmp_path / "d.json.gz", "wt") as out:
+        out.write('{\n"features": [{"v": 5}]}')
+    assert rows(flatten_features(accepted(read_documents(spark, str(tmp_path))), {"v": "$.v"})) == [(5,)]
+
+
+def test_byte_order_mark_before_the_header(spark, tmp_path):
+    assert rows(accepted(read(spark, tmp_path, "\ufeffh\n1;;x;\n"))) == [(1, "x", None)]
+
+
+def test_windows_line_ends(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes(b"h;h;h;h\r\n1;;x;on\r\n2;;y;off\r\n")
+    for multi_line in (True, False, None):
+        assert rows(accepted(copy(spark, tmp_path, multi_line))) == [(1, "x", True), (2, "y", False)]
+
+
 def test_broken_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"features": [')
     (tmp_path / "b.json").write_text('{"features": [{"v": 1}]}\nnot json\n')
