@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from perron.model.datasets import DATASETS
 from perron.model.tables import CONSUMPTION, CURATED, RAW
@@ -21,10 +22,13 @@ T = TypeVar("T")
 DIMENSIONS = [table for table in CONSUMPTION if table != "transport_fact"]
 
 
-def at_once(work: Callable[[T], None], tables: Iterable[T], jobs: int = 4) -> None:
-    """Tables that do not depend on each other, a few at a time; the first failure is raised."""
+def at_once(spark: SparkSession, work: Callable[[T], None], tables: Iterable[T], jobs: int = 4) -> None:
+    """Tables that do not depend on each other, a few at a time; the first failure is raised.
+
+    The threads take over the job group and pool of the caller.
+    """
     with ThreadPoolExecutor(jobs) as pool:
-        list(pool.map(work, tables))
+        list(pool.map(inheritable_thread_target(spark)(work), tables))
 
 
 def create_tables(warehouse: Warehouse) -> None:
@@ -40,7 +44,7 @@ def create_tables(warehouse: Warehouse) -> None:
     def create(key: tuple[str, str]) -> None:
         warehouse.replace(*key, warehouse.spark.createDataFrame([], missing[key]), missing[key])
 
-    at_once(create, missing)
+    at_once(warehouse.spark, create, missing)
 
 
 def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
@@ -49,7 +53,7 @@ def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
     Folders are loaded as they are. `perron.streaming.pickup` loads each file once instead.
     """
     datasets = {dataset.table: dataset for dataset in DATASETS[frequency]}
-    at_once(lambda table: load_dataset(warehouse, datasets[table], landing), datasets)
+    at_once(warehouse.spark, lambda table: load_dataset(warehouse, datasets[table], landing), datasets)
     return list(datasets)
 
 
@@ -61,7 +65,7 @@ def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)
         frame = build(*[warehouse.read(layers.RAW, source) for source in sources])
         warehouse.replace(layers.CURATED, table, frame, CURATED[table])
 
-    at_once(rebuild, tables)
+    at_once(warehouse.spark, rebuild, tables)
 
 
 def publish_star(
@@ -81,7 +85,7 @@ def publish_star(
         frame = consumption.dimension(table, source, written)
         warehouse.replace(layers.CONSUMPTION, table, frame, CONSUMPTION[table])
 
-    at_once(publish, dimensions)
+    at_once(warehouse.spark, publish, dimensions)
 
 
 def refresh_consumption(warehouse: Warehouse) -> None:
