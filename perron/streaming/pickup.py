@@ -1,8 +1,8 @@
 """Files that arrive in a landing folder replace their raw table.
 
 A run handles all files that have come since the last one as a single batch, which must hold the whole
-snapshot, and then ends. Without new files no batch starts and the table stays as it is. A file that
-was loaded is never loaded again, whether it still lies there or not.
+snapshot, and then ends. Without new files no batch starts and the table stays as it is. A file is known
+by its path: once loaded it is not loaded again, so new content must come under a new name.
 """
 
 from __future__ import annotations
