@@ -7,10 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 WHITE = b" \t\n\x0b\x0c\r"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Has Spark hand texts to tasks by the thousand, unless the session says otherwise: memory for long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `limit` bytes of text; one longer text makes a batch of its own."""
     for batch in batches:

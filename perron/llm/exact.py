@@ -22,13 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import WHITE, slices, texts
+from perron.llm.arrow import WHITE, slices, small_batches, texts
 from perron.session import scratch
 
 BUCKET_BYTES = 8 << 20
 MAX_DOUBLINGS = 6
 # Bytes of distinct texts that a task remembers; beyond that it starts to remember anew.
-HELD_BYTES = 64 << 20
+HELD_BYTES = 32 << 20
 
 _MEMBERS = [("uid", pa.int64()), ("doc_id", pa.int64()), ("rep", pa.int64())]
 _ENTRIES = [
@@ -60,13 +60,15 @@ def _offers(carried: list[str]):
         held: dict[bytes, list] = {}
         size, schema = 0, None
 
-        def flushed() -> pa.RecordBatch:
-            rows = []
-            for normal, (rep, best, count, text, rest) in held.items():
-                doc_id = None if best[1] == _NO_ID else best[1]
-                key = xxhash.xxh64_intdigest(normal) - (1 << 63)
-                rows.append((None, None, rep, key, text, -best[0], doc_id, best[2], count, *rest))
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema)
+        def flushed() -> Iterator[pa.RecordBatch]:
+            def rows() -> Iterator[tuple]:
+                while held:
+                    normal, (rep, best, count, text, rest) = held.popitem()
+                    doc_id = None if best[1] == _NO_ID else best[1]
+                    key = xxhash.xxh64_intdigest(normal) - (1 << 63)
+                    yield None, None, rep, key, text, -best[0], doc_id, best[2], count, *rest
+
+            return _batched(rows(), schema, lambda row: len(row[4]) + 200)
 
         for batch in slices(batches):
             if schema is None:
@@ -88,10 +90,10 @@ def _offers(carried: list[str]):
             members = [batch.column("uid"), batch.column("doc_id"), pa.array(reps, pa.int64())]
             yield pa.record_batch(members + [pa.nulls(len(reps), f.type) for f in list(schema)[3:]], schema)
             if size > HELD_BYTES:
-                yield flushed()
-                held, size = {}, 0
+                yield from flushed()
+                size = 0
         if held:
-            yield flushed()
+            yield from flushed()
 
     return run
 
@@ -218,6 +220,7 @@ def exact_dedup(
     rows. The index stays in `folder` (default: a new one in the shared folder): `offers`, `directory`, `classes`.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or scratch(spark, "exact-index")
     ddl = f"{_MEMBERS_DDL}, {_ENTRIES_DDL}"
     docs.select(*_numbered(docs, id, text)).mapInArrow(_offers([]), ddl).write.parquet(f"{folder}/offers")
@@ -241,6 +244,7 @@ def survivors(docs: DataFrame, *, id: str = "doc_id", text: str = "text", bucket
     Entries carry their best row through the index, so no text moves a second time. A null text that stays is null again.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = scratch(spark, "exact-index")
     others = [c for c in docs.columns if c != text]
     carried = [f"__{i}" for i in range(len(others) + 1)]

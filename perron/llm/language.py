@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import joined, slices, texts
+from perron.llm.arrow import joined, slices, small_batches, texts
 from perron.llm.linear import byte_grams, dense, fit_logistic, sparse_rows
 
 #: Most training texts of a language, and most languages.
@@ -109,6 +109,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, *, id: str = "doc_id", text: st
 
     Which texts, a hash of the id says. Held-out documents, null languages and null ids take no part.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         ~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -149,6 +150,7 @@ def identify(
 
     A null text, or one without a letter, is `und` with score 0 and ambiguous; so is every text if nothing was learned.
     """
+    small_batches(docs.sparkSession)
     frame = docs.select(F.col(text).alias("__text"), *kept)
     names = frame.columns[1:]
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import slices
+from perron.llm.arrow import slices, small_batches
 from perron.llm.tokens import encoder, id_kind, vocabulary_path
 from perron.session import scratch
 
@@ -177,6 +177,7 @@ def pack(
     table gives no rows. Other columns are not looked at.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or vocabulary_path("word_bpe_49k.json")
     folder = scratch(spark, "packing")
     source = docs.select(

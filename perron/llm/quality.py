@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import WHITE, joined, segment_sums, slices, texts
+from perron.llm.arrow import WHITE, joined, segment_sums, slices, small_batches, texts
 from perron.llm.linear import byte_grams, dense, fit_logistic, sigmoid, sparse_rows
 
 #: Most labelled documents that the classifier is fitted on; a third of them calibrates it.
@@ -146,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, *, id: str =
 
     With labels of one kind only, or none, every document has the probability of that kind (1 if there are none).
     """
+    small_batches(docs.sparkSession)
     chosen = (
         labels.select(F.col(id).alias("id"), F.col("quality").cast("bigint").alias("quality"))
         .where("id is not null and quality is not null")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.llm import exact, language, mixing, packing, quality, simhash, tokenfile
+from perron.llm import exact, language, licenses, mixing, packing, quality, simhash, suffixes, tokenfile, urls
 from perron.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+@query
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License labels of every text."""
+    return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
 @query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of all documents and the sequences that they stand in."""
@@ -58,6 +64,67 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated passages take from every document."""
+    return suffixes.repeated_passages(table(spark, folder, "documents")).drop("removed")
+
+
+@query
+def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return urls.judge(pages).select("page_id", "__url.*")
+
+
+def _url_sql() -> str:
+    """The rounds one behind another."""
+    lower = "translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    host = lower % r"coalesce(regexp_extract(%s, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')"
+    rounds = "".join(
+        f""",
+r{n} as materialized (
+    select host, sum(trust) as trust, sum(distrust) as distrust
+    from (select host, trust, distrust from r0
+          union all select dst, trust * of_src * 0.85, 0.0 from e join r{n - 1} on src = host
+          union all select src, 0.0, distrust * of_dst * 0.85 from e join r{n - 1} on dst = host)
+    group by host)"""
+        for n in range(1, urls.ROUNDS + 1)
+    )
+    return rf"""
+with p as materialized (
+    select page_id, html, {host % 'url'} as host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+    from pages),
+rules(verdict, rhost, rpath) as (
+    values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+j as materialized (
+    select page_id, host, path,
+           (select arg_max(rhost || rpath, length(rhost || rpath)) from rules
+            where (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)) as rule
+    from p),
+v as materialized (select j.*, rules.verdict from j left join rules on rule = rhost || rpath),
+l as (
+    select host as src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)) as link from p),
+t as (
+    select src, case when link like '%://%' then {host % 'link'} else {host % "'http:' || link"} end as dst
+    from l where link like '%://%' or link like '//%'),
+c as materialized (select src, dst, count(*) as links from t where src <> dst and src <> '' and dst <> '' group by src, dst),
+e as materialized (
+    select src, dst, links / sum(links) over (partition by src) as of_src, links / sum(links) over (partition by dst) as of_dst
+    from c),
+r0 as materialized (
+    select host, sum((verdict = 'allow')::int) * 0.15::double as trust, sum((verdict = 'block')::int) * 0.15::double as distrust
+    from v where verdict is not null and host <> '' group by host){rounds}
+select page_id, v.host, path, rule,
+       coalesce(verdict, case when distrust > 2.0 * trust then 'block' else 'allow' end) as verdict
+from v left join r{urls.ROUNDS} r on v.host = r.host"""
+
+
+ORACLE["op6_urls"] = _url_sql()
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints and the groups that they link."""

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import slices, texts
+from perron.llm.arrow import slices, small_batches, texts
 from perron.llm.components import connected_components
 from perron.session import scratch
 
@@ -210,6 +210,7 @@ def near_duplicates(
     column of that name to use your own. Other columns are not looked at.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = scratch(spark, "simhash")
     uid = F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id()
     source = docs.select(uid.alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

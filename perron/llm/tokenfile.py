@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perron.llm.arrow import slices
+from perron.llm.arrow import slices, small_batches
 from perron.llm.tokens import encoder, vocabulary_path
 
 BLOCK_IDS = 1 << 19
@@ -115,6 +115,7 @@ def write_tokens(
     Null and empty texts are the end id alone. Null ids come last; rows with the same id follow one another as they
     were read. An empty table gives an empty file set. Other columns are not looked at.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")
     )

@@ -1,0 +1,77 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from helpers import awkward, frame
+
+from perron.llm import mixing
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def levels(totals, weights=(5, 2, 1), repeats=3):
+    names = sorted((t for t in totals if t is not None), key=lambda t: [ord(c) for c in t]) + [None] * (None in totals)
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    fixed, open_, budget = {}, set(names), sum(totals.values())
+    while open_:
+        left = budget - sum(fixed.values())
+        level = left / sum(weight[n] for n in open_)
+        above = [n for n in open_ if level * weight[n] > repeats * totals[n]]
+        if not above:
+            return fixed | {n: level * weight[n] for n in open_}
+        fixed |= {n: float(repeats * totals[n]) for n in above}
+        open_ -= set(above)
+    return fixed
+
+
+def test_against_brute_force(spark):
+    rows = awkward()
+    got = mixing.schedule(frame(spark, rows)).collect()
+    sizes = [len(re.findall(WORD, r[1] or "")) for r in rows]
+    totals, taken = defaultdict(int), defaultdict(int)
+    for row, size in zip(rows, sizes):
+        totals[row[3] if len(row) > 3 else None] += size
+    target = levels(totals)
+    for r in got:
+        assert r["__mix_total"] == totals[r["source"]]
+        assert r["__mix_target"] == pytest.approx(target[r["source"]])
+        assert 0 <= r["__mix_taken"] <= 3 * r["__mix_size"]
+        taken[r["source"]] += r["__mix_taken"]
+    assert sorted(r["__mix_size"] for r in got) == sorted(sizes)
+    assert all(abs(taken[s] - target[s]) < 1.001 for s in totals)
+    # The queues: a document is whole before the next in the order of hashes begins.
+    for source in totals:
+        queue = sorted(
+            (hashlib.md5(b"mix:" + (b"" if r["doc_id"] is None else str(r["doc_id"]).encode())).hexdigest(), r["__mix_taken"], r["__mix_size"])
+            for r in got if r["source"] == source and r["doc_id"] is not None and [g["doc_id"] for g in got].count(r["doc_id"]) == 1
+        )
+        epochs = [t / s for _, t, s in queue if s]
+        assert all(a >= b - 1e-9 for a, b in zip(map(int, epochs), [int(e) for e in epochs[1:]]) if a != b) or len(set(map(int, epochs))) <= 2
+
+
+def test_the_mix_has_the_words_that_are_scheduled(spark):
+    rows = awkward()
+    docs = frame(spark, rows)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    words = defaultdict(int)
+    for r in mixed.collect():
+        words[r["doc_id"]] += len(re.findall(WORD, r["text"] or ""))
+    want = defaultdict(int)
+    for r in mixing.schedule(docs).collect():
+        want[r["doc_id"]] += r["__mix_taken"]
+    assert words == {k: v for k, v in want.items() if v}
+
+
+def test_reruns_agree(spark):
+    rows = awkward()
+    one, two = (mixing.schedule(frame(spark, rows, partitions=p)).select("doc_id", "__mix_size", "__mix_taken").collect() for p in (2, 5))
+    assert sorted(map(str, one)) == sorted(map(str, two))
+
+
+def test_wordless_and_empty(spark):
+    got = mixing.schedule(frame(spark, [(1, None), (2, "  ")])).collect()
+    assert [(r["__mix_size"], r["__mix_target"], r["__mix_taken"]) for r in got] == [(0, 0.0, 0)] * 2
+    assert mixing.mix(frame(spark, [(1, None)])).count() == 0
+    assert mixing.schedule(frame(spark, [])).count() == 0

@@ -1,0 +1,57 @@
+import hashlib
+
+import numpy as np
+import pytest
+from helpers import awkward, frame
+
+from perron.llm import suffixes
+
+
+def brute(rows):
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    seen, out = set(), []
+    for i in order:
+        data = (rows[i][1] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 99):
+            window = data[p : p + 100]
+            if window in seen:
+                gone[p : p + 100] = True
+            seen.add(window)
+        kept = bytes(np.frombuffer(data, np.uint8)[~gone])
+        runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        out.append((rows[i][0], len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def got(found):
+    return sorted((tuple(r) for r in found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=repr)
+
+
+@pytest.mark.parametrize("hot", [suffixes.HOT_DOCS, 3])
+@pytest.mark.parametrize("seed", [0, 1])
+def test_against_brute_force(spark, monkeypatch, hot, seed):
+    monkeypatch.setattr(suffixes, "OWNER_BYTES", 30_000)
+    rows = awkward(seed)
+    assert got(suffixes.repeated_passages(frame(spark, rows), hot)) == brute(rows)
+
+
+def test_periodic_and_small_blocks(spark):
+    rows = [(1, "a" * 5000), (2, "a" * 99), (3, "b" + "a" * 100), (4, "ab" * 60), (5, ("xyz" * 50)[:149] + "\n" + "é" * 80)]
+    assert got(suffixes.repeated_passages(frame(spark, rows, "doc_id bigint, text string"))) == brute(rows)
+
+
+def test_equal_windows_by_cover_ranks():
+    rng = np.random.default_rng(1)
+    for letters in (1, 2, 6):
+        base = rng.integers(97, 97 + letters, 900).astype(np.uint8)
+        data = np.concatenate([base, base[100:420], base[3:700]])
+        places = np.arange(len(data) - 99)
+        number = suffixes.equal_windows(data, places)
+        raw, names = data.tobytes(), {}
+        assert all(names.setdefault(raw[p : p + 100], n) == n for p, n in zip(places.tolist(), number.tolist()))
+        assert len(set(names.values())) == len(names)
+
+
+def test_empty(spark):
+    assert suffixes.repeated_passages(frame(spark, [])).count() == 0
