@@ -127,15 +127,23 @@ def _whole(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 _NAMES = pa.schema([("owner", pa.int64()), ("sent", pa.bool_()), ("keys", pa.list_(pa.int64())), ("names", pa.list_(pa.int64())), ("twice", pa.list_(pa.bool_()))])
 _NAMES_DDL = "owner bigint, sent boolean, keys array<bigint>, names array<bigint>, twice array<boolean>"
+_TOLD = pa.schema([("back", pa.int64()), ("keys", pa.list_(pa.int64())), ("names", pa.list_(pa.int64()))])
+_TOLD_DDL = "back bigint, keys array<bigint>, names array<bigint>"
 _KEYED = pa.schema([("key", pa.int64()), ("names", pa.list_(pa.int64()))])
 _KEYED_DDL = "key bigint, names array<bigint>"
 
 
-def _grouped(key: np.ndarray, name: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(key, kind="stable")
-    key, name = key[order], name[order]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    return pa.record_batch([pa.array(key[starts]), _lists(name, starts)], _KEYED)
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+
+
+def _by_back(key: np.ndarray, name: np.ndarray, backs: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Names of documents, together for those that go back the same way."""
+    back = key % backs
+    order = np.argsort(back, kind="stable")
+    starts = _runs(back[order])
+    return pa.array(back[order][starts]), _lists(key[order], starts), _lists(name[order], starts)
 
 
 def _send_names(owners: int):
@@ -148,17 +156,14 @@ def _send_names(owners: int):
             _, first, inverse, counts = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
             known = counts[inverse] > 1
             if known.any():
-                own = _grouped(key[known], name[known])
-                n = own.num_rows
-                keys = _lists(own.column("key").to_numpy(), np.arange(n))
-                empty = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array([], pa.bool_()))
-                spread = pa.array(np.abs(own.column("key").to_numpy() % owners))
-                yield pa.record_batch([spread, pa.array([False] * n), keys, own.column("names"), empty], _NAMES)
+                back, keys, names = _by_back(key[known], name[known], owners)
+                none = pa.ListArray.from_arrays(pa.array(np.zeros(len(back) + 1, np.int32)), pa.array([], pa.bool_()))
+                yield pa.record_batch([back, pa.array([False] * len(back)), keys, names, none], _NAMES)
             if len(first):
                 owner = name[first] % owners
                 order = np.lexsort((first, owner))
                 owner, first, twice = owner[order], first[order], (counts > 1)[order]
-                starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                starts = _runs(owner)
                 yield pa.record_batch(
                     [pa.array(owner[starts]), pa.array([True] * len(starts)), _lists(key[first], starts), _lists(name[first], starts), _lists(twice, starts)],
                     _NAMES,
@@ -167,32 +172,58 @@ def _send_names(owners: int):
     return run
 
 
-def _repeated_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by owner, those already known first: document keys and their repeated names."""
-    held: list[tuple] = []
-    current = None
+def _repeated_names(owners: int):
+    """Rows come sorted by owner: names that came twice go back to the documents that do not know it yet."""
 
-    def decided() -> pa.RecordBatch:
+    def decided(held: list[tuple]) -> pa.RecordBatch:
         key, name, twice = (np.concatenate(c) for c in zip(*held))
         _, inverse, counts = np.unique(name, return_inverse=True, return_counts=True)
         repeated = (counts[inverse] > 1) | (np.bincount(inverse, twice)[inverse] > 0)
         tell = repeated & ~twice
-        return _grouped(key[tell], name[tell])
+        return pa.record_batch(list(_by_back(key[tell], name[tell], owners)), _TOLD)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current = None
+        for batch in batches:
+            owner, sent = batch.column("owner").to_pylist(), batch.column("sent").to_pylist()
+            for i in range(batch.num_rows):
+                if owner[i] != current and held:
+                    yield decided(held)
+                    held = []
+                current = owner[i]
+                if sent[i]:
+                    values = [batch.column(c)[i].values.to_numpy(zero_copy_only=False).copy() for c in ("keys", "names", "twice")]
+                    held.append(tuple(values))
+                else:
+                    yield pa.record_batch([batch.column(c).slice(i, 1) for c in ("owner", "keys", "names")], _TOLD)
+        if held:
+            yield decided(held)
+
+    return run
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by their way back: a document's names together."""
+    held: list[tuple] = []
+    current = None
+
+    def together() -> pa.RecordBatch:
+        key, name = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(key, kind="stable")
+        starts = _runs(key[order])
+        return pa.record_batch([pa.array(key[order][starts]), _lists(name[order], starts)], _KEYED)
 
     for batch in batches:
-        owner, sent = batch.column("owner").to_pylist(), batch.column("sent").to_pylist()
+        back = batch.column("back").to_pylist()
         for i in range(batch.num_rows):
-            if owner[i] != current and held:
-                yield decided()
+            if back[i] != current and held:
+                yield together()
                 held = []
-            current = owner[i]
-            keys, names, twice = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("keys", "names", "twice"))
-            if sent[i]:
-                held.append((keys.copy(), names.copy(), twice.copy()))
-            else:
-                yield pa.record_batch([pa.array(keys), _lists(names, np.zeros(1, np.int64))], _KEYED)
+            current = back[i]
+            held.append(tuple(batch.column(c)[i].values.to_numpy().copy() for c in ("keys", "names")))
     if held:
-        yield decided()
+        yield together()
 
 
 _CONTEXTS = pa.schema(
@@ -467,9 +498,11 @@ def repeated_passages(docs: DataFrame, hot_docs: int = HOT_DOCS, *, id: str = "d
     source = docs.select(key.alias("key"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    names = source.select("key", "text").mapInArrow(_send_names(max(1, math.ceil(total / OWNER_BYTES))), _NAMES_DDL)
-    found = names.repartition("owner").sortWithinPartitions("owner").mapInArrow(_repeated_names, _KEYED_DDL)
-    found.where(F.size("names") > 0).groupBy("key").agg(F.flatten(F.collect_list("names")).alias("names")).write.parquet(f"{folder}/named")
+    owners = max(1, math.ceil(total / OWNER_BYTES))
+    names = source.select("key", "text").mapInArrow(_send_names(owners), _NAMES_DDL)
+    told = names.repartition("owner").sortWithinPartitions("owner").mapInArrow(_repeated_names(owners), _TOLD_DDL)
+    by_document = told.repartition("back").sortWithinPartitions("back").mapInArrow(_by_document, _KEYED_DDL)
+    by_document.write.parquet(f"{folder}/named")
     named = spark.read.schema(_KEYED_DDL).parquet(f"{folder}/named")
 
     each = named.select("key", F.explode("names").alias("name"))
