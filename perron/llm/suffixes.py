@@ -400,7 +400,7 @@ def _repeats(data: np.ndarray, bounds: np.ndarray, uids: np.ndarray, docs: np.nd
 def _spans(uid: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     order = np.lexsort((start, uid))
     uid, start, end = uid[order], start[order], end[order]
-    begins = np.flatnonzero(np.r_[True, uid[1:] != uid[:-1]]) if len(uid) else np.zeros(0, np.int64)
+    begins = _runs(uid)
     return pa.record_batch([pa.array(uid[begins]), _lists(start, begins), _lists(end, begins)], _SPANS)
 
 
@@ -410,19 +410,31 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current = None
 
     def decided() -> Iterator[pa.RecordBatch]:
-        raw = np.frombuffer(b"".join(h[0] for h in held), np.uint8)
+        raw = b"".join(h[0] for h in held)
         lengths, groups, uids, docs, places = (np.concatenate(c) for c in list(zip(*held))[1:])
         offsets = np.cumsum(lengths) - lengths
-        order = np.argsort(groups, kind="stable")
-        edges = np.flatnonzero(np.r_[True, groups[order][1:] != groups[order][:-1], True])
-        many = np.repeat(np.diff(edges) > 1, np.diff(edges))
-        # One context alone may still repeat itself.
-        many |= lengths[order] > WINDOW
-        order = order[many]
+        # Equal contexts repeat the earliest of them as a whole.
+        first: dict[bytes, None] = {}
+        alone, again = [], []
+        for i in np.lexsort((places, uids, docs)).tolist():
+            text = raw[offsets[i] : offsets[i] + lengths[i]]
+            if text in first:
+                again.append(i)
+            else:
+                first[text] = None
+                alone.append(i)
+        del first
+        if again:
+            yield _spans(uids[again], places[again], places[again] + lengths[again])
+        # Windows of one context differ, as their anchor stands at another place in each.
+        order = np.array(alone)[np.argsort(groups[alone], kind="stable")]
+        edges = np.r_[_runs(groups[order]), len(order)]
+        order = order[np.repeat(np.diff(edges) > 1, np.diff(edges))]
         if not len(order):
             return
+        raw = np.frombuffer(raw, np.uint8)
         sizes = np.cumsum(lengths[order])
-        edges = np.flatnonzero(np.r_[True, groups[order][1:] != groups[order][:-1], True])
+        edges = np.r_[_runs(groups[order]), len(order)]
         start = 0
         while start < len(order):
             limit = (sizes[start - 1] if start else 0) + BLOCK_BYTES
