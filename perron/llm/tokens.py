@@ -17,7 +17,7 @@ import numpy as np
 
 #: Letters that every Unicode version counts as such, with one run of marks behind: two pieces for either tokenizer.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 LONGEST = 64
 
 
@@ -80,14 +80,16 @@ class Encoder:
         return array(self.code, ids).tobytes() if sys.byteorder == "little" else np.array(ids, self.kind).tobytes()
 
     def _word(self, word: str, blank: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self._library(blank + word)
-        body, marks = plain.groups()
-        body = blank + body if self.bytewise else body.lower()
+        if not (word.isascii() and word.isalpha()):
+            plain = _PLAIN.fullmatch(word)
+            if not plain:
+                return self._library(blank + word)
+            body, marks = plain.groups()
+            if marks:
+                return (self.inner if blank else self.first).of(body) + self.marks.of(marks)
+        body = blank + word if self.bytewise else word.lower()
         model = body.replace(" ", self.blank) if body.isascii() else "".join([self.letters[b] for b in body.encode()])
-        ids = self.pack([t.id for t in self.model.tokenize(model)])
-        return ids + self.marks.of(marks) if marks else ids
+        return self.pack([t.id for t in self.model.tokenize(model)])
 
     def _first(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
