@@ -245,14 +245,24 @@ def near_duplicates(
     )
 
 
-def first_of_groups(docs: DataFrame, *args, **options) -> DataFrame:
-    """The rows of `docs` that stand for their group, with all their columns. Takes what `near_duplicates` takes."""
-    spark = docs.sparkSession
-    folder = scratch(spark, "simhash-docs")
-    row = f"__row_{len(docs.columns)}"
-    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)
-    numbered = spark.read.parquet(folder)
-    id, text = options.get("id", "doc_id"), options.get("text", "text")
-    looked_at = numbered.select(F.col(row).alias("uid"), F.col(id).alias(id), F.col(text).alias(text))
-    stay = near_duplicates(looked_at, *args, **options).where("uid = keep_uid").select(F.col("uid").alias(row))
-    return numbered.join(stay, row, "left_semi").select(*docs.columns)
+def first_of_groups(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, *, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of `docs` that stand for their group, with all their columns: `near_duplicates` says which.
+
+    A row is known by a hash of its id and text, with the id, so no numbered copy is needed. Of rows that are equal in
+    both, one stays.
+    """
+    key, number = f"__key_{len(docs.columns)}", f"__id_{len(docs.columns)}"
+    keyed = docs.withColumns(
+        {
+            key: F.xxhash64(F.col(id).isNull(), F.col(id), F.col(text)),
+            number: F.coalesce(F.col(id).cast("bigint"), F.lit(0).cast("bigint")),
+        }
+    )
+    looked_at = keyed.select(F.col(key).alias("uid"), F.col(id).alias("id"), F.col(text).alias("text"))
+    stay = near_duplicates(looked_at, shingle, max_bits, id="id").where("uid = keep_uid").select(
+        F.col("uid").alias(key), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias(number)
+    )
+    # The join and the choice among equal rows need the same partitioning: the texts move once.
+    return keyed.join(stay, [key, number], "left_semi").dropDuplicates([key, number]).select(*docs.columns)
