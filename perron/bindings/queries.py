@@ -55,6 +55,11 @@ def revenue_by(t: Shapes, *groups: str) -> DataFrame:
         t.table("customer").select("c_custkey", "c_nationkey"),
         [("c_nationkey", nations.select("n_nationkey", "r_name"), "n_nationkey")],
     )
+    # Orders meet customers first, so that the fact meets only keys of its own.
+    orders = star_join(
+        t.table("orders").select("o_orderkey", "o_custkey"),
+        [("o_custkey", customers.select("c_custkey", "r_name"), "c_custkey")],
+    )
     price = F.col("l_extendedprice").cast("decimal(12,2)") * (
         F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
     ).cast("decimal(4,2)")
@@ -63,8 +68,7 @@ def revenue_by(t: Shapes, *groups: str) -> DataFrame:
         [
             ("l_partkey", t.table("part").select("p_partkey", "p_brand"), "p_partkey"),
             ("l_suppkey", t.table("supplier").select("s_suppkey", "s_nationkey"), "s_suppkey"),
-            ("l_orderkey", t.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey"),
-            ("o_custkey", customers.select("c_custkey", "r_name"), "c_custkey"),
+            ("l_orderkey", orders.select("o_orderkey", "r_name"), "o_orderkey"),
         ],
     )
     return flat.groupBy(*groups).agg(
@@ -294,8 +298,8 @@ def parse_flag(t: Shapes) -> DataFrame:
 def json_path(t: Shapes) -> DataFrame:
     return t.table("events").select(
         "event_id",
-        nested.whole_at(F.parse_json("props"), "$.k").alias("k"),
-        nested.whole_at(F.parse_json("props"), "$.missing[0].k").alias("missing"),
+        nested.whole_at(F.try_parse_json("props"), "$.k").alias("k"),
+        nested.whole_at(F.try_parse_json("props"), "$.missing[0].k").alias("missing"),
     )
 
 

@@ -154,11 +154,15 @@ def sized_join(
         right = right.select(right_key)
 
     on = F.col(left_key) == F.col(right_key)
-    if how != "full" and measure and fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
+    if how != "full" and measure:
+        if fits_broadcast(right):
+            return left.join(F.broadcast(right), on, how)
+        # Else the planner may broadcast it after all, by the size of its compressed files.
+        right = right.hint("merge")
 
     if how == "left_anti":
         right, unique_right = right.distinct(), True
+        right = right.hint("merge") if measure else right
     hot_left = {} if unique_left else hot_keys(left if left_like is None else left_like, left_key, hot_rows)
     hot_right = {} if unique_right else hot_keys(right, right_key, hot_rows)
     # NULL keys that stay in the result need a place. What stands for the left side may have fewer.
@@ -182,7 +186,7 @@ def sized_join(
         lefts = _repeat(lefts, left_key, hot_right, "__left_copy", "__left_repeated")
         on &= F.col("__left_copy") == F.col("__right_piece")
         stray |= F.col("__left_repeated") & F.col("__in_right").isNull()
-    joined = lefts.join(rights, on, how)
+    joined = lefts.join(rights.hint("merge") if measure and how != "full" else rights, on, how)
     if how == "left_anti":
         return joined.select(*left.columns)
     # `stray` is NULL where that side is absent altogether, and such rows stay.

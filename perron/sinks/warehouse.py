@@ -102,7 +102,10 @@ class Warehouse:
 
     def _publish(self, layer: str, table: str, snapshot: str, schema: str, where: str = "true") -> None:
         columns = ", ".join(f"`{f.name}`" for f in layout(schema))
+        before = self._current(layer, table) if self.exists(layer, table) else None
         self._view(layer, table, snapshot, columns, where)
-        # The snapshot before this one stays for readers that have begun; older ones go.
-        for old in self._snapshots(layer, table)[:-2]:
-            self.spark.sql(f"drop table if exists {self.database(layer)}.{old}")
+        # The snapshot that was seen before this one stays for readers that have begun. Older ones go, and so do
+        # those of loads that failed before they were published.
+        for old in self._snapshots(layer, table):
+            if old < snapshot and old != before:
+                self.spark.sql(f"drop table if exists {self.database(layer)}.{old}")

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The columns of Spark's binary file source. Content that is not selected is not read.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def literal(path: str) -> str:
+    """A path that readers take as it stands, whatever pattern characters are in its name."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The path of each file by the encoded form in which rows name their file."""
+    """The path of each file, ready for readers, by the encoded form in which rows name their file."""
     files = spark.read.format("binaryFile").load(paths).select("_metadata.file_path", "path")
-    return {row[0]: row[1] for row in files.collect()}
+    return {row[0]: literal(row[1]) for row in files.collect()}
 
 
 def arriving_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:

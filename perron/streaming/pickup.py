@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from perron.model.datasets import DATASETS, Delimited, Document
 from perron.plans.raw import landing_folder, load_files
 from perron.sinks.warehouse import Warehouse
-from perron.sources.files import arriving_files
+from perron.sources.files import arriving_files, literal
 
 
 def pick_up(
@@ -31,7 +31,8 @@ def pick_up(
     options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
 
     def load(batch: DataFrame, _: int) -> None:
-        paths = [row["path"] for row in batch.collect()]
+        # The stream itself takes names as patterns, and so names a file twice that such a pattern fits.
+        paths = sorted({literal(row["path"]) for row in batch.collect()})
         if paths:
             load_files(warehouse, dataset, paths)
 

@@ -178,3 +178,18 @@ def test_star_join(spark):
     outer = spark.createDataFrame([(7, "seven")], "n long, name string")
     assert rows(star_join(fact, [("d", dim, "k"), ("e", outer, "n")]), "f", "name") == [
         (1, "seven"), (2, None), (3, None)]
+
+
+def test_a_side_measured_as_too_large_is_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(5000).select(F.col("id").alias("b"), F.repeat(F.lit("x"), 2000).alias("w")).coalesce(1).write.parquet(path)
+    wide, left = spark.read.parquet(path), spark.range(100).select(F.col("id").alias("a"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2m")
+    try:
+        assert not fits_broadcast(wide)
+        for how in ("inner", "left"):
+            joined = sized_join(left, wide, "a", "b", how)
+            joined.collect()
+            assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -279,3 +279,28 @@ def test_parking_keeps_all_on_request(spark):
     bikes = spark.createDataFrame([(1, 4), (1, 5)], "stop_id bigint, capacity bigint")
     assert rows(parking(cars, bikes), "stop_id", "capacity_bike") == [(1, 5)]
     assert rows(parking(cars, bikes, how="left"), "stop_id", "capacity_bike") == [(1, 5), (2, None)]
+
+
+def test_names_are_taken_as_they_stand(spark, warehouse, tmp_path):
+    dataset = Delimited("raw_x", "in", fields("1 a text\n2 b int"))
+    folder = tmp_path / "landing" / "in"
+    folder.mkdir(parents=True)
+    (folder / "b[2].csv").write_text("a;b\nx;1\n")
+    (folder / "b2.csv").write_text("a;b\ny;2\n")
+    assert pick_up(warehouse, dataset, str(tmp_path / "landing"), str(tmp_path / "state"))
+    assert rows(warehouse.read("raw", "raw_x")) == [("x", 1), ("y", 2)]
+    (folder / "c*.csv").write_text('a;b\n"z\nz";3\n')
+    assert pick_up(warehouse, dataset, str(tmp_path / "landing"), str(tmp_path / "state"))
+    assert rows(warehouse.read("raw", "raw_x")) == [("z\nz", 3)]
+
+
+def test_a_lost_publish_does_not_cost_the_snapshot_in_use(spark, warehouse):
+    def load(n):
+        warehouse.replace("raw", "t", spark.range(n).toDF("a"), "a bigint")
+
+    load(1)
+    first = warehouse._current("raw", "t")
+    orphan = warehouse._write("raw", "t", spark.range(2).toDF("a"))
+    load(3)
+    assert warehouse.read("raw", "t").count() == 3
+    assert first in warehouse._snapshots("raw", "t") and orphan not in warehouse._snapshots("raw", "t")
