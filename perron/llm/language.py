@@ -22,7 +22,7 @@ from perron.llm.arrow import joined, slices, small_batches, texts
 from perron.llm.linear import byte_grams, dense, fit_logistic, sparse_rows
 
 #: Most training texts of a language, and most languages.
-SAMPLE = 250
+SAMPLE = 400
 LANGUAGES = 256
 BITS = 12
 UNKNOWN = "und"

@@ -22,7 +22,7 @@ from perron.llm.arrow import WHITE, joined, segment_sums, slices, small_batches,
 from perron.llm.linear import byte_grams, dense, fit_logistic, sigmoid, sparse_rows
 
 #: Most labelled documents that the classifier is fitted on; a third of them calibrates it.
-SAMPLE = 1600
+SAMPLE = 2400
 THRESHOLD = 0.5
 MIN_WORDS = 10
 REPEATED_PERCENT = 20
