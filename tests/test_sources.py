@@ -2,6 +2,7 @@
 
 import gzip
 import json
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +21,14 @@ from perron.streaming.pickup import pick_up, pick_up_all
 COLUMNS = fields("1 a whole\n3 b text\n4 c flag")
 
 
+@contextmanager
+def conf(spark, key, value):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    yield
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def copy(spark, folder, multi_line=None, columns=COLUMNS):
     return positional_copy(read_delimited(spark, [str(folder)], columns, multi_line), columns)
 
@@ -69,6 +78,38 @@ def test_only_files_with_line_breaks_are_read_unsplit(spark, tmp_path):
     assert rows(accepted(copy(spark, tmp_path)), "a", "b") == [(1, "x"), (2, "y\nz"), (3, 'a "b"'), (4, "p\nq")]
 
 
+@pytest.mark.parametrize("strays", [(2,), (2, 900), (1, 2, 3)])
+def test_a_stray_quote_takes_no_other_row(spark, tmp_path, strays):
+    lines = [f'{i};;"two;' if i in strays else f"{i};;x{i};" for i in range(1, 1001)]
+    got = read(spark, tmp_path, "h;h;h;h\n" + "\n".join(lines) + "\n")
+    assert accepted(got).count() == 1000 - len(strays)
+    assert rows(rejects(got), "reasons", "cells") == [(["open_quote"], [str(i), "two;", None]) for i in strays]
+
+
+def test_a_break_between_even_counts_of_quotes(spark, tmp_path):
+    got = read(spark, tmp_path, 'h\n1;Foo"Bar;"two\nlines";\n2;Baz"Qux;y;1\n')
+    assert rows(accepted(got)) == [(1, "two\nlines", None), (2, "y", True)]
+
+
+def test_stray_quotes_between_cells_with_line_breaks(spark, tmp_path):
+    text = 'h\n1;;"a\n\n""b"" c";on\n2;;"stray;\n3;;"p\nq";off\n4;;plain;\n5;;"last'
+    got = read(spark, tmp_path, text)
+    assert rows(accepted(got)) == [(1, 'a\n\n"b" c', True), (3, "p\nq", False), (4, "plain", None)]
+    assert sorted(r["cells"][0] for r in rejects(got).collect()) == ["2", "5"]
+
+
+def test_files_with_line_breaks_are_read_in_splits(spark, tmp_path):
+    wanted, text = [], 'h;"two\nlines";h;h\n'
+    for i in range(400):
+        cell = [f"x{i}", f"a{i}\nb", f'p{i}""\n\nq', f"long{i}\n" * 9][i % 4]
+        text += f'{i};;"{cell}";1\n' if i % 4 else f"{i};;{cell};1\n"
+        wanted.append((i, cell.replace('""', '"'), True))
+    with conf(spark, "spark.sql.files.maxPartitionBytes", "700"), conf(spark, "spark.sql.files.openCostInBytes", "0"):
+        got = read(spark, tmp_path, text)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        assert sorted(rows(accepted(got))) == wanted and rejects(got).isEmpty()
+
+
 def test_several_reasons(spark, tmp_path):
     got = read(spark, tmp_path, "h\nx;;t;perhaps\n")
     assert rows(rejects(got), "reasons", "cells") == [(["a", "c"], ["x", "t", "perhaps"])]
