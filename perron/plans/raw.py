@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from perron.model.datasets import Delimited, Document
 from perron.model.tables import RAW
-from perron.operators.keys import next_id, with_row_id
+from perron.operators.keys import with_row_id
 from perron.operators.projection import conform
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
@@ -27,17 +27,14 @@ def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[
         return
     cells = read_delimited(spark, paths, dataset.columns, dataset.multi_line)
     checked = positional_copy(cells, dataset.columns)
+    first = None
     if dataset.id_column:
-        checked = with_row_id(checked, dataset.id_column, _first_id(warehouse, dataset))
-    warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema)
+        # Ids go on from the rows that a reload replaces.
+        first = warehouse.next_id(layers.RAW, dataset.table, dataset.id_column)
+        checked = with_row_id(checked, dataset.id_column, first)
+    warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema, first)
 
 
 def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str) -> None:
     """Replace a raw table by all that lies in its landing folder."""
     load_files(warehouse, dataset, [landing_folder(dataset, landing)])
-
-
-def _first_id(warehouse: Warehouse, dataset: Delimited) -> int:
-    """Ids go on from the rows that a reload replaces."""
-    known = warehouse.exists(layers.RAW, dataset.table)
-    return next_id(warehouse.read(layers.RAW, dataset.table) if known else None, dataset.id_column)

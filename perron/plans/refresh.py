@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from perron.model.datasets import DATASETS
 from perron.model.tables import CONSUMPTION, CURATED, RAW
-from perron.operators.keys import next_id
 from perron.plans import consumption, curated
 from perron.plans.raw import load_dataset
 from perron.sinks import warehouse as layers
@@ -75,10 +74,9 @@ def publish_star(
 
     Usage counts are those of the new fact. Its ids go on from the fact that it replaces.
     """
-    known = warehouse.exists(layers.CONSUMPTION, "transport_fact")
-    before = warehouse.read(layers.CONSUMPTION, "transport_fact") if known else None
-    fact = consumption.transport_fact(source("curated_transport"), next_id(before, "id"))
-    warehouse.replace(layers.CONSUMPTION, "transport_fact", fact, CONSUMPTION["transport_fact"])
+    first = warehouse.next_id(layers.CONSUMPTION, "transport_fact", "id")
+    fact = consumption.transport_fact(source("curated_transport"), first)
+    warehouse.replace(layers.CONSUMPTION, "transport_fact", fact, CONSUMPTION["transport_fact"], first)
     written = warehouse.read(layers.CONSUMPTION, "transport_fact")
 
     def publish(table: str) -> None:

@@ -13,11 +13,17 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perron.operators.keys import next_id
 from perron.operators.projection import conform, layout
 from perron.sources.rejects import REJECT_COLUMNS, REJECTED
 
 RAW, CURATED, CONSUMPTION = "raw", "curated", "consumption"
 
+# Accepted and rejected rows are written side by side, where Spark would sort each task's rows first.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+# The property of a table that tells where the ids of its last load begin.
+FIRST_ID = "perron.first_id"
+
 
 class Warehouse:
     """Tables below a folder that all executors share. `prefix` keeps several warehouses apart."""
@@ -25,6 +31,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, prefix: str = "") -> None:
         self.spark = spark
         self.prefix = prefix
+        if int(spark.conf.get(WRITERS, "0")) == 0:
+            spark.conf.set(WRITERS, "2")
         for layer in (RAW, CURATED, CONSUMPTION):
             spark.sql(
                 f"create database if not exists {self.database(layer)} "
@@ -46,12 +54,25 @@ class Warehouse:
     def rejects(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, f"{table}_rejects"))
 
-    def replace(self, layer: str, table: str, frame: DataFrame, schema: str) -> None:
-        """The rows become the whole content of the table, matched to `schema` by name."""
+    def replace(self, layer: str, table: str, frame: DataFrame, schema: str, first_id: int | None = None) -> None:
+        """The rows become the whole content of the table, matched to `schema` by name.
+
+        `first_id` is where the ids of this load begin. The table keeps it, see `next_id`.
+        """
         snapshot = self._write(layer, table, conform(frame, schema))
-        self._publish(layer, table, snapshot, schema)
+        self._publish(layer, table, snapshot, schema, first_id=first_id)
 
-    def replace_checked(self, layer: str, table: str, copied: DataFrame, schema: str) -> None:
+    def next_id(self, layer: str, table: str, column: str) -> int:
+        """The first id for the next load: above all that earlier loads gave, also if the last one had no rows."""
+        if not self.exists(layer, table):
+            return 1
+        shown = self.spark.sql(f"show tblproperties {self.name(layer, table)}")
+        begun = [int(row["value"]) for row in shown.where(F.col("key") == FIRST_ID).collect()]
+        return max([1, *begun, next_id(self.read(layer, table), column)])
+
+    def replace_checked(
+        self, layer: str, table: str, copied: DataFrame, schema: str, first_id: int | None = None
+    ) -> None:
         """As `replace`, for the result of a checked read.
 
         Accepted and rejected rows are written in one pass as two partitions of the snapshot; the
@@ -60,7 +81,7 @@ class Warehouse:
         wanted = copied.select(*[f.name for f in layout(schema)], *REJECT_COLUMNS, REJECTED)
         snapshot = self._write(layer, table, wanted, REJECTED)
         self._view(layer, f"{table}_rejects", snapshot, ", ".join(REJECT_COLUMNS), REJECTED)
-        self._publish(layer, table, snapshot, schema, f"not {REJECTED}")
+        self._publish(layer, table, snapshot, schema, f"not {REJECTED}", first_id)
 
     def append(self, layer: str, table: str, frame: DataFrame, schema: str) -> None:
         """Adds rows to the current snapshot, matched to `schema` by name."""
@@ -94,16 +115,21 @@ class Warehouse:
         writer.saveAsTable(f"{self.database(layer)}.{snapshot}")
         return snapshot
 
-    def _view(self, layer: str, table: str, snapshot: str, columns: str, where: str = "true") -> None:
+    def _view(
+        self, layer: str, table: str, snapshot: str, columns: str, where: str = "true", first_id: int | None = None
+    ) -> None:
+        properties = "" if first_id is None else f"tblproperties ('{FIRST_ID}' = '{first_id}') "
         self.spark.sql(
-            f"create or replace view {self.name(layer, table)} as "
+            f"create or replace view {self.name(layer, table)} {properties}as "
             f"select {columns} from {self.database(layer)}.{snapshot} where {where}"
         )
 
-    def _publish(self, layer: str, table: str, snapshot: str, schema: str, where: str = "true") -> None:
+    def _publish(
+        self, layer: str, table: str, snapshot: str, schema: str, where: str = "true", first_id: int | None = None
+    ) -> None:
         columns = ", ".join(f"`{f.name}`" for f in layout(schema))
         before = self._current(layer, table) if self.exists(layer, table) else None
-        self._view(layer, table, snapshot, columns, where)
+        self._view(layer, table, snapshot, columns, where, first_id)
         # The snapshot that was seen before this one stays for readers that have begun. Older ones go, and so do
         # those of loads that failed before they were published.
         for old in self._snapshots(layer, table):

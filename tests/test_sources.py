@@ -218,6 +218,23 @@ def test_failed_load_leaves_the_old_snapshot(spark, warehouse):
     assert warehouse.read("raw", "t").count() == 7
 
 
+def test_ids_go_on_after_loads_without_rows(spark, warehouse):
+    assert warehouse.next_id("raw", "t", "id") == 1
+    for count, wanted in ((3, 1), (0, 4), (0, 4), (2, 4), (0, 6)):
+        first = warehouse.next_id("raw", "t", "id")
+        assert first == wanted
+        warehouse.replace("raw", "t", spark.range(first, first + count), "id bigint", first)
+
+
+def test_both_sides_of_a_checked_read_are_written_unsorted(spark, warehouse):
+    frame = spark.range(100).selectExpr("id", "id % 2 = 0 as rejected").where("id > 3")
+    frame.write.partitionBy("rejected").saveAsTable(warehouse.name("raw", "sorted_or_not"))
+    spark.sql(f"create table {warehouse.name('raw', 'other')} (id bigint, rejected boolean) using parquet partitioned by (rejected)")
+    frame.createOrReplaceTempView("both_sides")
+    plan = spark.sql(f"explain insert into {warehouse.name('raw', 'other')} select * from both_sides").first()[0]
+    assert "Sort" not in plan and warehouse.read("raw", "sorted_or_not").count() == 96
+
+
 def test_append(spark, warehouse):
     warehouse.append("raw", "t", spark.range(3), "id bigint")
     spark.range(9).write.saveAsTable(warehouse.name("raw", f"t__{10**19}"))  # written, never published
