@@ -107,7 +107,7 @@ RAW = {
     "raw_bike_parking_data": "select 8500000 + p_partkey // 2 as stop_id, p_size::bigint as capacity from part",
 }
 
-# Which rows the spoilt cells of the landing files leave.
+# Which rows the spoilt cells and numbers of the landing files leave.
 LOADED = {
     "raw_transport": "minute(arrival_time) not in (13, 17)",
     "raw_operators": "business_type_id is distinct from '20'",
@@ -115,6 +115,8 @@ LOADED = {
     "raw_accessibility_2": "wheelchair_area_length <> 50",
     "raw_occupancy_data": "station_owner_id <> 'P'",
     "raw_transport_types": "ref_netex <> 'N7'",
+    "raw_parking_data": "min_duration is null or capacity_standard <> 7",
+    "raw_bike_parking_data": "capacity <> 13",
 }
 
 _TRAFFIC = "try_cast(replace({0}.avg_{1}_traffic, ' ', '') as decimal(38,0))"

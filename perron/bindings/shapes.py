@@ -254,7 +254,7 @@ class Shapes:
         return dataset, folder
 
     def parking_features(self) -> DataFrame:
-        """A price of half a unit below the expected one, which reading rounds up."""
+        """A price of half a unit below the expected one, which reading rounds up. Nation 7 has durations that are no number."""
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
 
         def total(value: Column) -> Column:
@@ -262,7 +262,7 @@ class Shapes:
 
         pricing = F.struct(
             (key % 5).alias("minimumDuration"),
-            (key % 5 + 24).cast("string").alias("maximumDuration"),
+            F.when(nation == 7, "many").otherwise((key % 5 + 24).cast("string")).alias("maximumDuration"),
             (nation + F.lit(2.5)).alias("maximumDayPrice"),
             F.array(F.struct((nation + F.lit(1.25)).alias("price"))).alias("priceSegments"),
             (nation * 10).alias("monthlyTicketPrice"),
@@ -280,9 +280,10 @@ class Shapes:
         return self.table("customer").select(key.alias("key"), F.struct(properties.alias("properties")).alias("feature"))
 
     def bike_features(self) -> DataFrame:
+        """Size 13 is landed as a text that is no number."""
         properties = F.struct(
             (F.floor(F.col("p_partkey") / 2) + STOP_BASE).cast("string").alias("stopPlaceUic"),
-            F.col("p_size").alias("capacity"),
+            F.when(F.col("p_size") == 13, "13x").otherwise(F.col("p_size").cast("string")).alias("capacity"),
         )
         return self.table("part").select(
             F.col("p_partkey").alias("key"), F.struct(properties.alias("properties")).alias("feature")

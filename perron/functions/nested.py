@@ -25,6 +25,12 @@ def whole_at(document: Column | str, path: str) -> Column:
     return F.try_variant_get(document, path, "decimal(38,0)").try_cast("bigint")
 
 
+def unreadable_at(document: Column | str, path: str, number: Column) -> Column:
+    """Whether there is a value at a path, not the JSON null, though no `number` was read there."""
+    value = F.try_variant_get(document, path, "variant")
+    return number.isNull() & value.isNotNull() & ~F.is_variant_null(value)
+
+
 def size_at(document: Column | str, path: str) -> Column:
     """Length of the array at a path; NULL when there is no array."""
     return F.array_size(F.try_variant_get(document, path, "array<variant>")).cast("bigint")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from perron.model.datasets import Delimited, Document
 from perron.model.tables import RAW
 from perron.operators.keys import with_row_id
-from perron.operators.projection import conform
 from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
 from perron.sources.delimited import positional_copy, read_delimited
-from perron.sources.documents import flatten_features, read_documents
+from perron.sources.documents import check_features, read_documents
 
 
 def landing_folder(dataset: Delimited | Document, landing: str) -> str:
@@ -22,8 +21,9 @@ def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[
     if isinstance(dataset, Document):
         documents = read_documents(spark, paths, dataset.layout)
         warehouse.replace_checked(layers.RAW, dataset.staging, documents, RAW[dataset.staging])
-        features = flatten_features(warehouse.read(layers.RAW, dataset.staging), dataset.paths, dataset.sizes)
-        warehouse.replace(layers.RAW, dataset.table, conform(features, dataset.schema), dataset.schema)
+        staged = warehouse.read(layers.RAW, dataset.staging)
+        features = check_features(staged, dataset.paths, dataset.sizes, warehouse.name(layers.RAW, dataset.staging))
+        warehouse.replace_checked(layers.RAW, dataset.table, features, dataset.schema)
         return
     cells = read_delimited(spark, paths, dataset.columns, dataset.multi_line)
     checked = positional_copy(cells, dataset.columns)

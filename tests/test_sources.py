@@ -14,7 +14,7 @@ from perron.model.tables import RAW, fields
 from perron.plans.curated import accessibility, line_data, occupancy, parking, stop_data
 from perron.plans.raw import load_dataset
 from perron.sources.delimited import broken_files, positional_copy, read_delimited
-from perron.sources.documents import flatten_features, read_documents
+from perron.sources.documents import _feature_documents, check_features, flatten_features, read_documents
 from perron.sources.rejects import accepted, rejects
 from perron.streaming.pickup import pick_up, pick_up_all
 
@@ -194,6 +194,34 @@ def test_document_per_line(spark, tmp_path):
     assert rows(rejects(documents), "cells") == [(["oops"],)]
 
 
+def test_document_too_large_for_one_variant(spark, tmp_path):
+    pad = "x" * (1 << 20)
+    features = [json.dumps({"v": i, "pad": pad}) for i in range(143)]
+    (tmp_path / "a.json").write_text('{\n"features": [' + ",\n".join(features) + "]}")
+    got = flatten_features(accepted(read_documents(spark, str(tmp_path))), {"v": "$.v"})
+    assert sorted(r[0] for r in got.collect()) == list(range(143))
+
+
+def test_documents_by_feature(spark):
+    texts = {
+        '{"features": [{"v": 1}, {"v": 2}]}': 2, '[{"features": [{"v": 1}]}, {"x": 1}, {"features": [{"v": 2}]}]': 2,
+        '\ufeff {"features": []}': 0, '{"features": [': None, '{"features": []} x': None, "no": None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", F.size(_feature_documents(F.col("t"))).alias("n")).collect()
+    assert {r["t"]: None if r["n"] in (None, -1) else r["n"] for r in got} == texts
+
+
+def test_features_with_text_for_numbers(spark, tmp_path):
+    content = [{"a": "85x", "b": 1}, {"a": "85", "b": None}, {"b": "many"}, {"a": 1.5, "l": [1]}, {"a": {}, "b": []}]
+    (tmp_path / "a.json").write_text(json.dumps({"features": content}))
+    paths = {"a": "$.a", "b": "$.b", "n": "$.l"}
+    got = check_features(accepted(read_documents(spark, str(tmp_path))), paths, ("n",), "staged")
+    assert rows(accepted(got)) == [(2, None, 1), (85, None, None)]
+    assert sorted((r["source_file"], r["reasons"], json.loads(r["cells"][0])) for r in rejects(got).collect()) == [
+        ("staged", ["a"], content[0]), ("staged", ["a", "b"], content[4]), ("staged", ["b"], content[2])]
+
+
 def test_registry():
     assert {f: len(d) for f, d in DATASETS.items()} == {"daily": 1, "weekly": 6, "monthly": 4, "yearly": 1}
     assert set(BY_TABLE) <= set(RAW)
