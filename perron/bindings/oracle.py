@@ -335,6 +335,18 @@ SQL = {
         select o_orderkey, date_trunc('minute', o_orderdate) as o_orderdate, o_orderpriority,
           left(o_orderpriority, 1)::bigint as priority_number
         from orders""",
+    "two_days": """
+        select o_orderkey, date_trunc('minute', o_orderdate) as o_orderdate, o_orderpriority,
+          left(o_orderpriority, 1)::bigint as priority_number
+        from orders where left(o_orderpriority, 1)::bigint > 2""",
+    "ids_over_reloads": """
+        select n::bigint as load, case when n = 2 then 0 else (select count(*) from orders) end::bigint as rows,
+          case when n = 2 then 0 else (select count(*) from orders) end::bigint as ids,
+          case when n <> 2 then true end as all_new
+        from (values (1), (2), (3)) loads(n)""",
+    "load_rejects": """
+        select case when minute(arrival_time) = 13 then 'transit' else 'date' end as reasons, count(*) as rows
+        from raw_transport where minute(arrival_time) in (13, 17) group by 1""",
     "snapshot_replace": """
         select o_orderkey, o_orderpriority, o_orderstatus from orders
         where o_orderstatus <> 'P' or o_orderpriority = '1-URGENT'""",

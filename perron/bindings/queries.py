@@ -395,6 +395,45 @@ def file_pickup(t: Shapes) -> DataFrame:
     return warehouse.read("raw", dataset.table)
 
 
+@query
+def two_days(t: Shapes) -> DataFrame:
+    """Two days of orders land in one folder, each loaded and purged: the second day alone is left."""
+    root, dataset = scratch(t.spark, "days"), Delimited("raw_orders", "daily", _order_columns())
+    warehouse = scratch_warehouse(t.spark, "days")
+    for day in (F.col("priority_number") <= 2, F.col("priority_number") > 2):
+        write_cells(_orders(t).where(day), dataset, f"{root}/landing/daily", {})
+        load_dataset(warehouse, dataset, f"{root}/landing", purge=True)
+    return warehouse.read("raw", dataset.table)
+
+
+@query
+def ids_over_reloads(t: Shapes) -> DataFrame:
+    """Three loads of orders under ids, the second without an accepted row: rows, distinct ids, whether they are new."""
+    root, dataset = scratch(t.spark, "ids"), Delimited("raw_orders", "daily", _order_columns(), id_column="id")
+    warehouse = scratch_warehouse(t.spark, "ids")
+    loads, last = [], F.lit(0)
+    for number, bad in enumerate(({}, {"o_orderkey": ("true", "none")}, {}), 1):
+        write_cells(_orders(t), dataset, f"{root}/{number}/daily", bad)
+        load_dataset(warehouse, dataset, f"{root}/{number}")
+        told = warehouse.read("raw", dataset.table).agg(
+            F.lit(number).cast("bigint").alias("load"), F.count("id").alias("rows"), F.count_distinct("id").alias("ids"),
+            (F.min("id") > last).alias("all_new"), F.max("id").alias("last"),
+        ).first()
+        last = F.lit(told["last"] or 0) if told["rows"] else last
+        loads.append(tuple(told)[:4])
+    return t.spark.createDataFrame(loads, "load bigint, rows bigint, ids bigint, all_new boolean")
+
+
+@query
+def load_rejects(t: Shapes) -> DataFrame:
+    """What the loader of transport rejects, by the columns at fault."""
+    dataset, landing = t.land("raw_transport")
+    warehouse = scratch_warehouse(t.spark, "rejected")
+    load_dataset(warehouse, dataset, landing)
+    found = warehouse.rejects("raw", dataset.table)
+    return found.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def snapshot_replace(t: Shapes) -> DataFrame:
     """A table is written, replaced by a part of itself, and appended to."""

@@ -327,7 +327,7 @@ def write_cells(frame: DataFrame, dataset: Delimited, folder: str, bad: dict) ->
 
     last = max(by_position)
     cells = frame.select(*[cell(i).alias(f"c{i}") for i in range(1, last + 1)])
-    cells.write.options(sep=FORMAT["sep"], header=True, quote='"', escape='"').csv(folder)
+    cells.write.options(sep=FORMAT["sep"], header=True, quote='"', escape='"').csv(folder, mode="append")
 
 
 def write_documents(features: DataFrame, key: str, folder: str) -> None:

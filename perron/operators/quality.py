@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perron.operators.joins import HOT_ROWS, sized_join
@@ -38,24 +38,71 @@ def constraint_report(
     unique: dict[str, str],
     foreign: list[tuple[str, str, str, str]],
 ) -> DataFrame:
-    """One row per declared constraint: how many keys and how many rows violate it."""
-    parts = []
+    """One row per declared constraint: how many keys and how many rows violate it.
+
+    Each table is read once. A domain is a declared key with all columns that refer to it; a row gives every domain
+    it is in the value it has there. Rows are counted per value before the one shuffle, so a value that many rows share,
+    or NULL, is one row of a task in it, and what a value violates is told from its counts. Values are compared as text,
+    so a key and what refers to it must be of one type.
+    """
+    domains: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    lines = []
     for kind, declared in (("primary", primary), ("unique", unique)):
         for table, key in declared.items():
-            found = pk_violations(tables[table], key, nullable=kind == "unique")
-            parts.append(_line(kind, f"{table}.{key}", found))
+            domains.setdefault((table, key), [(table, key)])
+            lines.append((kind, f"{table}.{key}", (table, key), 0))
     for table, key, parent, parent_key in foreign:
-        # Counted per key before the join, so the join sees each key once.
-        keys = tables[table].where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-        parents = tables[parent].select(F.col(parent_key).alias("__parent_key"))
-        found = sized_join(
-            keys, parents, key, "__parent_key", "left_anti", unique_left=True, measure=False
+        kinds = tables[table].schema[key].dataType, tables[parent].schema[parent_key].dataType
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"{table}.{key} and {parent}.{parent_key} differ in type")
+        members = domains.setdefault((parent, parent_key), [(parent, parent_key)])
+        lines.append(("foreign", f"{table}.{key} -> {parent}.{parent_key}", (parent, parent_key), len(members)))
+        members.append((table, key))
+
+    numbers = {domain: number for number, domain in enumerate(domains)}
+    counts = _values(tables, domains).groupBy("domain", "value").agg(
+        *[F.count_if(F.col("member") == m).alias(f"rows{m}") for m in range(max(map(len, domains.values())))]
+    )
+    faults = [
+        F.when(
+            (F.col("domain") == numbers[domain]) & _violated(kind, member),
+            F.struct(F.lit(line).alias("line"), F.col(f"rows{member}").alias("rows")),
         )
-        parts.append(_line("foreign", f"{table}.{key} -> {parent}.{parent_key}", found))
-    return reduce(DataFrame.unionByName, parts)
+        for line, (kind, _, domain, member) in enumerate(lines)
+    ]
+    found = (
+        counts.select(F.explode(F.array_compact(F.array(*faults))).alias("fault"))
+        .groupBy(F.col("fault.line").alias("line"))
+        .agg(F.count(F.lit(1)).alias("bad_keys"), F.sum("fault.rows").alias("bad_rows"))
+    )
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.createDataFrame(
+        [(line, kind, target) for line, (kind, target, _, _) in enumerate(lines)], "line int, kind string, target string"
+    )
+    return declared.join(found, "line", "left").select(
+        "kind", "target", *[F.coalesce(name, F.lit(0)).alias(name) for name in ("bad_keys", "bad_rows")]
+    )
+
+
+def _values(tables: dict[str, DataFrame], domains: dict[tuple[str, str], list[tuple[str, str]]]) -> DataFrame:
+    """A row per row and domain it is in: the domain, which member of it the column is, and the value."""
+    wanted: dict[str, list] = {}
+    for number, members in enumerate(domains.values()):
+        for member, (table, column) in enumerate(members):
+            value = F.struct(
+                F.lit(number).alias("domain"), F.lit(member).alias("member"), F.col(column).cast("string").alias("value")
+            )
+            wanted.setdefault(table, []).append(value)
+    return reduce(
+        DataFrame.unionByName,
+        [tables[table].select(F.inline(F.array(*values))) for table, values in wanted.items()],
+    )
 
 
-def _line(kind: str, name: str, found: DataFrame) -> DataFrame:
-    return found.agg(
-        F.count(F.lit(1)).alias("bad_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows")
-    ).select(F.lit(kind).alias("kind"), F.lit(name).alias("target"), "bad_keys", "bad_rows")
+def _violated(kind: str, member: int) -> Column:
+    rows, missing = F.col(f"rows{member}"), F.col("value").isNull()
+    if kind == "primary":
+        return (rows > 1) | (missing & (rows > 0))
+    if kind == "unique":
+        return ~missing & (rows > 1)
+    return ~missing & (rows > 0) & (F.col("rows0") == 0)

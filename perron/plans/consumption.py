@@ -12,6 +12,7 @@ from perron.operators.joins import HOT_ROWS, star_join
 from perron.operators.keys import with_row_id
 from perron.operators.projection import conform, drop_null_keys
 from perron.operators.quality import constraint_report
+from perron.session import scratch
 
 # Dimensions that are their curated table less the rows without a key.
 PLAIN_DIMENSIONS = {
@@ -68,7 +69,8 @@ def flat_view(published: dict[str, DataFrame], columns: dict[str, list[str]]) ->
     """The fact with columns of the dimensions around it, along the declared foreign keys.
 
     `columns` lists what to take from each dimension; the result calls them `<dimension>_<column>`.
-    Dimensions of dimensions are joined to these first, so the fact is joined to four at most.
+    Dimensions of dimensions are joined to these first, so the fact is joined to four at most. Such a join is
+    written to the shared folder once, as its size, its hot keys and the fact all ask for it.
     """
 
     def edges(child: str) -> list[tuple[str, DataFrame, str]]:
@@ -93,7 +95,12 @@ def flat_view(published: dict[str, DataFrame], columns: dict[str, list[str]]) ->
             *[frame[key].alias(column_of(table, key)) for key in dict.fromkeys(keys)],
             *[frame[name].alias(f"{table}_{name}") for name in columns.get(table, [])],
         )
-        return star_join(picked, edges(table))
+        below = edges(table)
+        if not below:
+            return picked
+        spark, folder = picked.sparkSession, scratch(picked.sparkSession, table)
+        star_join(picked, below).write.parquet(folder)
+        return spark.read.parquet(folder)
 
     flat = star_join(published["transport_fact"], edges("transport_fact"))
     return flat.select(*[name for name in flat.columns if not name.startswith("__")])

@@ -9,6 +9,7 @@ from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
 from perron.sources.delimited import positional_copy, read_delimited
 from perron.sources.documents import check_features, read_documents
+from perron.sources.files import landed, literal, remove
 
 
 def landing_folder(dataset: Delimited | Document, landing: str) -> str:
@@ -35,6 +36,16 @@ def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[
     warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema, first)
 
 
-def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str) -> None:
-    """Replace a raw table by all that lies in its landing folder."""
-    load_files(warehouse, dataset, [landing_folder(dataset, landing)])
+def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str, purge: bool = False) -> None:
+    """Replace a raw table by all that lies in its landing folder.
+
+    With `purge`, exactly the files that were loaded are deleted once the table shows them. A load that fails deletes
+    nothing, and files that come while it runs stay for the next one. Without any files the table stays as it is.
+    """
+    folder = landing_folder(dataset, landing)
+    if not purge:
+        return load_files(warehouse, dataset, [folder])
+    paths = landed(warehouse.spark, folder)
+    if paths:
+        load_files(warehouse, dataset, [literal(path) for path in paths])
+        remove(warehouse.spark, paths)

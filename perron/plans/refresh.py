@@ -46,13 +46,14 @@ def create_tables(warehouse: Warehouse) -> None:
     at_once(warehouse.spark, create, missing)
 
 
-def ingest(warehouse: Warehouse, landing: str, frequency: str) -> list[str]:
-    """Load every dataset of a frequency from its landing folder; the tables written.
+def ingest(warehouse: Warehouse, landing: str, frequency: str, purge: bool = True) -> list[str]:
+    """Load every dataset of a frequency from its landing folder; the datasets' tables.
 
-    Folders are loaded as they are. `perron.streaming.pickup` loads each file once instead.
+    Loaded files are deleted, so that the next run does not load them again, see `load_dataset`; with `purge=False` they
+    stay. `perron.streaming.pickup` keeps files and knows which it has loaded instead.
     """
     datasets = {dataset.table: dataset for dataset in DATASETS[frequency]}
-    at_once(warehouse.spark, lambda table: load_dataset(warehouse, datasets[table], landing), datasets)
+    at_once(warehouse.spark, lambda table: load_dataset(warehouse, datasets[table], landing, purge), datasets)
     return list(datasets)
 
 
@@ -95,9 +96,9 @@ def published(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {table: warehouse.read(layers.CONSUMPTION, table) for table in CONSUMPTION}
 
 
-def run_all(warehouse: Warehouse, landing: str) -> None:
-    """Load all landing folders and rebuild both layers above."""
+def run_all(warehouse: Warehouse, landing: str, purge: bool = True) -> None:
+    """Load all landing folders and rebuild both layers above. Loaded files are deleted as by `ingest`."""
     for frequency in DATASETS:
-        ingest(warehouse, landing, frequency)
+        ingest(warehouse, landing, frequency, purge)
     refresh_curated(warehouse)
     refresh_consumption(warehouse)

@@ -23,6 +23,10 @@ RAW, CURATED, CONSUMPTION = "raw", "curated", "consumption"
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 # The property of a table that tells where the ids of its last load begin.
 FIRST_ID = "perron.first_id"
+# Names the view that a checked table and its rejects look at.
+LOADED = "_loaded"
+# Additions to a table after which it is written anew as one snapshot.
+PARTS = 100
 
 
 class Warehouse:
@@ -59,16 +63,18 @@ class Warehouse:
 
         `first_id` is where the ids of this load begin. The table keeps it, see `next_id`.
         """
+        before = self._named(layer, table)
         snapshot = self._write(layer, table, conform(frame, schema))
-        self._publish(layer, table, snapshot, schema, first_id=first_id)
+        self._view(layer, table, self._select(layer, snapshot, [f.name for f in layout(schema)]), first_id)
+        for name in (f"{table}_rejects", table + LOADED):
+            self.spark.sql(f"drop view if exists {self.name(layer, name)}")
+        self._drop_old(layer, table, snapshot, before)
 
     def next_id(self, layer: str, table: str, column: str) -> int:
         """The first id for the next load: above all that earlier loads gave, also if the last one had no rows."""
         if not self.exists(layer, table):
             return 1
-        shown = self.spark.sql(f"show tblproperties {self.name(layer, table)}")
-        begun = [int(row["value"]) for row in shown.where(F.col("key") == FIRST_ID).collect()]
-        return max([1, *begun, next_id(self.read(layer, table), column)])
+        return max([1, *self._first_id(layer, table), next_id(self.read(layer, table), column)])
 
     def replace_checked(
         self, layer: str, table: str, copied: DataFrame, schema: str, first_id: int | None = None
@@ -76,30 +82,63 @@ class Warehouse:
         """As `replace`, for the result of a checked read.
 
         Accepted and rejected rows are written in one pass as two partitions of the snapshot; the
-        second is seen as table `<table>_rejects`.
+        second is seen as table `<table>_rejects`. Both tables look at `<table>_loaded`, which alone is switched, so
+        they always tell of the same load.
         """
-        wanted = copied.select(*[f.name for f in layout(schema)], *REJECT_COLUMNS, REJECTED)
+        columns = [f.name for f in layout(schema)]
+        before = self._named(layer, table)
+        wanted = copied.select(*columns, *REJECT_COLUMNS, REJECTED)
         snapshot = self._write(layer, table, wanted, REJECTED)
-        self._view(layer, f"{table}_rejects", snapshot, ", ".join(REJECT_COLUMNS), REJECTED)
-        self._publish(layer, table, snapshot, schema, f"not {REJECTED}", first_id)
+        self._view(layer, table + LOADED, self._select(layer, snapshot, wanted.columns), first_id)
+        for name, seen, side in (
+            (f"{table}_rejects", REJECT_COLUMNS, REJECTED), (table, columns, f"not {REJECTED}")
+        ):
+            select = f"{self._select(layer, table + LOADED, seen)} where {side}"
+            if not self.exists(layer, name) or self._text(layer, name) != select:
+                self._view(layer, name, select)
+        self._drop_old(layer, table, snapshot, before)
 
     def append(self, layer: str, table: str, frame: DataFrame, schema: str) -> None:
-        """Adds rows to the current snapshot, matched to `schema` by name."""
+        """Adds rows to the current content, matched to `schema` by name.
+
+        They are a snapshot of their own, which the view names from then on beside those before: readers see all of an
+        addition or nothing, and one that fails can be tried again. After `PARTS` additions all is written anew.
+        """
         if not self.exists(layer, table):
             return self.replace(layer, table, frame, schema)
-        target = f"{self.database(layer)}.{self._current(layer, table)}"
+        switch, before = self._switch(layer, table), self._named(layer, table)
+        content = self.read(layer, switch)
         rows = conform(frame, schema)
-        present = self.spark.table(target).schema
-        added = {f.name: F.lit(None) for f in present if f.name not in rows.columns}
+        added = {f.name: F.lit(None) for f in content.schema if f.name not in rows.columns}
         if REJECTED in added:
             added[REJECTED] = F.lit(False)
-        conform(rows.withColumns(added), present).write.insertInto(target)
-
-    def _current(self, layer: str, table: str) -> str:
-        """The snapshot that the view of a table points at."""
-        about = self.spark.sql(f"describe table extended {self.name(layer, table)}")
-        text = about.where(F.col("col_name") == "View Text").first()["data_type"]
-        return re.search(re.escape(table) + r"__\d+", text).group()
+        rows = conform(rows.withColumns(added), content.schema)
+        whole = len(before) >= PARTS
+        rows = content.unionByName(rows) if whole else rows
+        snapshot = self._write(layer, table, rows, *([REJECTED] if REJECTED in rows.columns else []))
+        select = self._select(layer, snapshot, content.columns)
+        text = select if whole else f"{self._text(layer, switch)} union all {select}"
+        self._view(layer, switch, text, *self._first_id(layer, table))
+        self._drop_old(layer, table, snapshot, before)
+
+    def _switch(self, layer: str, table: str) -> str:
+        """The view that names the snapshots of a table: of a checked one, what it and its rejects look at."""
+        return table + LOADED if self.exists(layer, table + LOADED) else table
+
+    def _text(self, layer: str, view: str) -> str:
+        about = self.spark.sql(f"describe table extended {self.name(layer, view)}")
+        return about.where(F.col("col_name") == "View Text").first()["data_type"]
+
+    def _named(self, layer: str, table: str) -> set[str]:
+        """The snapshots that are seen as the table."""
+        switch = self._switch(layer, table)
+        if not self.exists(layer, switch):
+            return set()
+        return set(re.findall(rf"\b{re.escape(table)}__\d+", self._text(layer, switch)))
+
+    def _first_id(self, layer: str, table: str) -> list[int]:
+        shown = self.spark.sql(f"show tblproperties {self.name(layer, self._switch(layer, table))}")
+        return [int(row["value"]) for row in shown.where(F.col("key") == FIRST_ID).collect()]
 
     def _snapshots(self, layer: str, table: str) -> list[str]:
         database = self.database(layer)
@@ -115,23 +154,18 @@ class Warehouse:
         writer.saveAsTable(f"{self.database(layer)}.{snapshot}")
         return snapshot
 
-    def _view(
-        self, layer: str, table: str, snapshot: str, columns: str, where: str = "true", first_id: int | None = None
-    ) -> None:
+    def _select(self, layer: str, source: str, columns: list[str]) -> str:
+        return f"select {', '.join(f'`{name}`' for name in columns)} from {self.name(layer, source)}"
+
+    def _view(self, layer: str, view: str, select: str, first_id: int | None = None) -> None:
         properties = "" if first_id is None else f"tblproperties ('{FIRST_ID}' = '{first_id}') "
-        self.spark.sql(
-            f"create or replace view {self.name(layer, table)} {properties}as "
-            f"select {columns} from {self.database(layer)}.{snapshot} where {where}"
-        )
+        self.spark.sql(f"create or replace view {self.name(layer, view)} {properties}as {select}")
 
-    def _publish(
-        self, layer: str, table: str, snapshot: str, schema: str, where: str = "true", first_id: int | None = None
-    ) -> None:
-        columns = ", ".join(f"`{f.name}`" for f in layout(schema))
-        before = self._current(layer, table) if self.exists(layer, table) else None
-        self._view(layer, table, snapshot, columns, where, first_id)
-        # The snapshot that was seen before this one stays for readers that have begun. Older ones go, and so do
-        # those of loads that failed before they were published.
+    def _drop_old(self, layer: str, table: str, snapshot: str, before: set[str]) -> None:
+        """What was seen before the new snapshot stays for readers that have begun, and as part of what is appended to.
+
+        Older snapshots go, and so do those of loads that failed before they were published.
+        """
         for old in self._snapshots(layer, table):
-            if old < snapshot and old != before:
+            if old < snapshot and old not in before:
                 self.spark.sql(f"drop table if exists {self.database(layer)}.{old}")

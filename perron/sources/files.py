@@ -21,6 +21,20 @@ def list_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     return {row[0]: literal(row[1]) for row in files.collect()}
 
 
+def landed(spark: SparkSession, folder: str) -> list[str]:
+    """The paths of the files in a folder, as they are; `literal` makes them ready for readers."""
+    return [row["path"] for row in spark.read.format("binaryFile").load(folder).select("path").collect()]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes files, in whatever file system they are. One that is gone already is no error."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        file = files.Path(path)
+        file.getFileSystem(settings).delete(file, False)
+
+
 def arriving_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """A stream of the paths of files that come into a folder."""
     files = spark.readStream.format("binaryFile").schema(BINARY_FILE).options(**options).load(folder)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from perron.model.datasets import DATASETS, Delimited, Document
 from perron.plans.raw import landing_folder, load_files
 from perron.sinks.warehouse import Warehouse
-from perron.sources.files import arriving_files, literal
+from perron.sources.files import arriving_files, literal, remove
 
 
 def pick_up(
@@ -21,20 +21,23 @@ def pick_up(
     landing: str,
     state: str,
     archive: str | None = None,
+    purge: bool = False,
 ) -> bool:
     """One run over the landing folder of a dataset; whether it loaded anything.
 
     `state` keeps which files are done and must outlive the run. With `archive`, loaded files are
-    moved there when a later run loads new ones. The stream carries the names of the files alone;
-    the load itself is that of a batch.
+    moved there when a later run loads new ones. With `purge` they are deleted at the end of the run, after the state
+    says that they are done. The stream carries the names of the files alone; the load itself is that of a batch.
     """
     options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
+    loaded: set[str] = set()
 
     def load(batch: DataFrame, _: int) -> None:
         # The stream itself takes names as patterns, and so names a file twice that such a pattern fits.
-        paths = sorted({literal(row["path"]) for row in batch.collect()})
+        paths = {row["path"] for row in batch.collect()}
         if paths:
-            load_files(warehouse, dataset, paths)
+            load_files(warehouse, dataset, sorted(map(literal, paths)))
+            loaded.update(paths)
 
     query = (
         arriving_files(warehouse.spark, landing_folder(dataset, landing), **options)
@@ -44,6 +47,8 @@ def pick_up(
         .start()
     )
     query.awaitTermination()
+    if purge:
+        remove(warehouse.spark, sorted(loaded))
     return any(progress["numInputRows"] > 0 for progress in query.recentProgress)
 
 

@@ -13,6 +13,7 @@ from perron.model.datasets import BY_TABLE, DATASETS, Delimited
 from perron.model.tables import RAW, fields
 from perron.plans.curated import accessibility, line_data, occupancy, parking, stop_data
 from perron.plans.raw import load_dataset
+from perron.sinks.warehouse import Warehouse
 from perron.sources.delimited import broken_files, positional_copy, read_delimited
 from perron.sources.documents import _feature_documents, check_features, flatten_features, read_documents
 from perron.sources.rejects import accepted, rejects
@@ -270,6 +271,40 @@ def test_append(spark, warehouse):
     assert warehouse.read("raw", "t").count() == 5
 
 
+def test_append_shows_all_or_nothing(spark, warehouse):
+    warehouse.replace("raw", "t", spark.range(3), "id bigint", 7)
+    for wrong in range(2):
+        with pytest.raises(Exception):
+            warehouse.append("raw", "t", spark.range(9).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), "id bigint")
+    assert warehouse.read("raw", "t").count() == 3
+    warehouse.append("raw", "t", spark.range(1), "id bigint")
+    assert warehouse.read("raw", "t").count() == 4 and warehouse.next_id("raw", "t", "id") == 7
+    warehouse.replace("raw", "t", spark.range(2), "id bigint")
+    assert warehouse.read("raw", "t").count() == 2
+
+
+def test_many_additions_become_one_snapshot(spark, warehouse, monkeypatch):
+    monkeypatch.setattr("perron.sinks.warehouse.PARTS", 3)
+    for i in range(8):
+        warehouse.append("raw", "t", spark.range(i, i + 1), "id bigint")
+        assert [r[0] for r in rows(warehouse.read("raw", "t"))] == list(range(i + 1))
+    assert len(warehouse._named("raw", "t")) < 4
+
+
+def test_table_and_rejects_are_switched_at_once(spark, warehouse, tmp_path):
+    schema = "a bigint, b string, c boolean"
+    for day in ("one", "two"):
+        (tmp_path / day).mkdir()
+    warehouse.replace_checked("raw", "t", read(spark, tmp_path / "one", "h\n1;;x;\nbad;;y;\n"), schema)
+    looked_at = [warehouse._text("raw", name) for name in ("t", "t_rejects")]
+    warehouse.replace_checked("raw", "t", read(spark, tmp_path / "two", "h\n2;;x;\n3;;y;\n"), schema, 5)
+    assert looked_at == [warehouse._text("raw", name) for name in ("t", "t_rejects")]
+    assert rows(warehouse.read("raw", "t"), "a") == [(2,), (3,)] and warehouse.rejects("raw", "t").isEmpty()
+    assert warehouse.next_id("raw", "t", "a") == 5
+    warehouse.replace("raw", "t", spark.createDataFrame([(9, "z", None)], schema), schema)
+    assert rows(warehouse.read("raw", "t"), "a") == [(9,)] and not warehouse.exists("raw", "t_rejects")
+
+
 def test_append_to_a_checked_table(spark, warehouse, tmp_path):
     checked = read(spark, tmp_path, "h\n1;;x;\nbad;;y;\n")
     schema = "a bigint, b string, c boolean"
@@ -390,3 +425,31 @@ def test_a_lost_publish_does_not_cost_the_snapshot_in_use(spark, warehouse):
     load(3)
     assert warehouse.read("raw", "t").count() == 3
     assert first in warehouse._snapshots("raw", "t") and orphan not in warehouse._snapshots("raw", "t")
+
+
+def test_loaded_files_are_purged(spark, warehouse, tmp_path):
+    dataset = Delimited("raw_days", "daily", fields("1 a whole\n2 b text"))
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    (folder / "day[1].csv").write_text("h;h\n1;x\n")
+    load_dataset(warehouse, dataset, str(tmp_path), purge=True)
+    assert rows(warehouse.read("raw", "raw_days")) == [(1, "x")] and not list(folder.glob("*.csv"))
+    load_dataset(warehouse, dataset, str(tmp_path), purge=True)
+    assert rows(warehouse.read("raw", "raw_days")) == [(1, "x")]
+    (folder / "day2.csv").write_text("h;h\n2;y\n")
+    load_dataset(warehouse, dataset, str(tmp_path), purge=True)
+    assert rows(warehouse.read("raw", "raw_days")) == [(2, "y")] and not list(folder.glob("*.csv"))
+
+
+def test_a_failed_load_purges_nothing(spark, warehouse, tmp_path, monkeypatch):
+    dataset = Delimited("raw_days", "daily", fields("1 a whole\n2 b text"))
+    (tmp_path / "daily").mkdir()
+    (tmp_path / "daily" / "a.csv").write_text("h;h\n1;x\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_view", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_dataset(warehouse, dataset, str(tmp_path), purge=True)
+    assert (tmp_path / "daily" / "a.csv").exists()
+    assert pick_up(warehouse, dataset, str(tmp_path), str(tmp_path / "state"), purge=True)
+    assert rows(warehouse.read("raw", "raw_days")) == [(1, "x")] and not (tmp_path / "daily" / "a.csv").exists()
+    assert not pick_up(warehouse, dataset, str(tmp_path), str(tmp_path / "state"), purge=True)
