@@ -1,10 +1,12 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line. It contains a template if at least `THRESHOLD` of the template's distinct words stand in it. Words are
-put in one order, rarest first, by the number of blocks of the whole corpus that have them. A template of n words of
-which m must be there has at least one of its n-m+1 rarest words in every such block, so only blocks that share one are
-looked at (prefix filter); a block with less than m words of templates is passed over (length filter), and so is one
-where too few words come after the shared one (positional filter). What remains is counted.
+A block is a run of words, wherever lines end, of at most `STRETCH` times the words of the template; without `stretch` it
+is a line. It contains a template if at least `THRESHOLD` of the template's distinct words stand in it. Words are put in
+one order, rarest first, by the number of texts (or lines) of the whole corpus that have them. A template of n words of
+which m must be there has at least one of its n-m+1 rarest words in every such text, so only texts that share one are
+looked at (prefix filter); one with less than m words of templates is passed over (length filter), and so is one where
+too few words come after the shared one (positional filter). What remains is counted, in runs by one pass over the
+places of the template's words.
 
 Templates are a parameter of some dozens; their words go to every task and their counts to the driver. Words that no
 template has cannot add to what is shared and are left out of blocks beforehand, which changes no result.
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from perron.llm.arrow import slices, small_batches, texts
 
 THRESHOLD = 0.9
+#: Headers stand in files with names, marks and comment signs in between: a run may have this many times the words.
+STRETCH = 2.0
 #: Phrases that are labels by themselves wherever their words stand one after another.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -103,8 +107,35 @@ def _blocks(text: bytes, vocabulary: frozenset[bytes]) -> tuple[int, list[tuple[
     return total, found
 
 
-def word_counts(docs: DataFrame, templates: dict[str, str], *, text: str = "text") -> dict[bytes, int]:
-    """In how many blocks of the corpus each word of the templates stands."""
+def _runs(words: list[bytes], own: frozenset[bytes], needed: int, reach: int) -> list[tuple[int, int, int]]:
+    """Runs of at most `reach` words with at least `needed` of `own`: first word, words, and how many of `own`.
+
+    Every word is tried as the last one of a run. Of runs that overlap, the first with the most of `own` stays.
+    """
+    places = [i for i, w in enumerate(words) if w in own]
+    held: Counter = Counter()
+    found: list[tuple[int, int, int]] = []
+    left = 0
+    for i in places:
+        held[words[i]] += 1
+        # What is out of reach goes, and at the front also what comes again.
+        while i - places[left] >= reach or held[words[places[left]]] > 1:
+            word = words[places[left]]
+            held[word] -= 1
+            if not held[word]:
+                del held[word]
+            left += 1
+        if len(held) >= needed:
+            run = (places[left], i + 1 - places[left], len(held))
+            if not found or run[0] >= found[-1][0] + found[-1][1]:
+                found.append(run)
+            elif run[2] > found[-1][2]:
+                found[-1] = run
+    return found
+
+
+def word_counts(docs: DataFrame, templates: dict[str, str], *, lines: bool = True, text: str = "text") -> dict[bytes, int]:
+    """In how many lines, or else texts, of the corpus each word of the templates stands."""
     small_batches(docs.sparkSession)
     vocabulary = frozenset(w for t in templates.values() for w in _WORD.findall(t.encode().lower()))
     schema = pa.schema([("word", pa.binary()), ("blocks", pa.int64())])
@@ -113,8 +144,11 @@ def word_counts(docs: DataFrame, templates: dict[str, str], *, text: str = "text
         counts: Counter = Counter()
         for batch in slices(batches, text):
             for value in texts(batch, text):
-                for _, _, words in _blocks(value.lower(), vocabulary)[1]:
-                    counts.update(words)
+                if lines:
+                    for _, _, words in _blocks(value.lower(), vocabulary)[1]:
+                        counts.update(words)
+                else:
+                    counts.update(vocabulary.intersection(_WORD.findall(value.lower())))
         yield pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema)
 
     rows = docs.select(text).mapInArrow(run, "word binary, blocks bigint").groupBy("word").agg(F.sum("blocks").alias("blocks"))
@@ -138,27 +172,47 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     threshold: float = THRESHOLD,
     *,
+    stretch: float | None = None,
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """One row per document: words, places of the phrases, labels, and `spans`, the blocks that contain a template.
 
+    With `stretch` blocks are runs of words of at most that many times the words of a template, over line ends and within
+    long lines. Without, each line is one block however long it is, and a template that is wrapped is not found.
     `score` is the largest part of a template that a block contains, 1 if a phrase stands there, and 0 without either.
-    Null and empty texts have no words, empty labels and score 0. Long lines are one block however long they are.
+    Null and empty texts have no words, empty labels and score 0.
     Repeated rows are scanned each for itself, null ids stay null, an empty table gives no rows.
     """
-    index = Index.build(templates, threshold, word_counts(docs, templates, text=text))
+    index = Index.build(templates, threshold, word_counts(docs, templates, lines=stretch is None, text=text))
     vocabulary = frozenset(index.order)
+    sought = {}
+    for name, _, needed in index.templates:
+        every = _WORD.findall(templates[name].encode().lower())
+        sought[name] = (frozenset(every), needed, max(len(every), math.ceil((stretch or 0) * len(every))))
     patterns = [(p.split()[0].encode(), p.split()[-1].encode(), _phrase(p), label) for p, label in sorted(phrases.items())]
 
-    def one(doc_id: int | None, value: bytes) -> tuple:
-        low = value.lower()
+    def in_lines(low: bytes) -> tuple[int, list[dict]]:
         total, blocks = _blocks(low, vocabulary)
         spans = []
         for first, words, present in blocks:
             if present:
                 for label, part in index.contained(sorted(index.order[w] for w in present)):
                     spans.append({"label": label, "first_word": first, "words": words, "contained": part})
+        return total, spans
+
+    def in_runs(low: bytes) -> tuple[int, list[dict]]:
+        words = _WORD.findall(low)
+        spans = []
+        for label, _ in index.contained(sorted(index.order[w] for w in vocabulary.intersection(words))):
+            own, needed, reach = sought[label]
+            for first, many, shared in _runs(words, own, needed, reach):
+                spans.append({"label": label, "first_word": first, "words": many, "contained": shared / len(own)})
+        return len(words), sorted(spans, key=lambda s: s["first_word"])
+
+    def one(doc_id: int | None, value: bytes) -> tuple:
+        low = value.lower()
+        total, spans = in_lines(low) if stretch is None else in_runs(low)
         places, base = [], set()
         for head, tail, pattern, label in patterns:
             if head in low and tail in low:

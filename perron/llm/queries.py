@@ -53,7 +53,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License labels of every text."""
-    return licenses.scan(table(spark, folder, "documents")).drop("spans")
+    return licenses.scan(table(spark, folder, "documents"), stretch=licenses.STRETCH).drop("spans")
 
 
 @query

@@ -146,6 +146,52 @@ def test_licenses_against_brute_force(spark, threshold):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def runs_brute(text, template, threshold):
+    """The most of the template's words in any run of at most twice its words, or none below the threshold."""
+    import math
+
+    find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+    words, own = find((text or "").lower()), find(template)
+    reach = 2 * len(own)
+    most = max((len(set(words[i : i + reach]) & set(own)) for i in range(len(words))), default=0)
+    return most / len(set(own)) if most >= max(1, math.ceil(threshold * len(set(own)) - 1e-9)) else None
+
+
+MIT = """/*
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ */"""
+BSD = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are
+# met:"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this file"""
+
+
+def test_licenses_wrapped_and_scattered(spark):
+    filler = " ".join(f"w{i}" for i in range(50))
+    rows = [
+        (1, MIT), (2, BSD), (3, MPL), (4, f"all {filler} rights {filler} reserved"), (5, f"{filler} All rights reserved. {filler}"),
+        (6, "all\nrights\nreserved"), (7, MIT.replace("\n", " ")), (8, f"{filler}\n{BSD}\n{filler}\n{BSD}"), (9, None), (10, ""),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, rows), stretch=licenses.STRETCH).collect()}
+    assert [got[i]["labels"] for i in range(1, 11)] == ["mit", "bsd", "mpl", "", "reserved", "reserved", "mit", "bsd", "", ""]
+    assert [(s["first_word"], s["words"]) for s in got[8]["spans"]] == [(50, 21), (121, 21)] and got[4]["score"] == 0.0
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.9, 1.0])
+def test_license_runs_against_brute_force(spark, threshold):
+    rng = random.Random(4)
+    vocabulary = " ".join(licenses.TEMPLATES.values()).split()
+    rows = awkward() + [(200 + i, " ".join(rng.choices([*vocabulary, "\n", "x"], k=rng.randint(1, 200)))) for i in range(60)]
+    rows += [(300 + i, re.sub(" ", lambda _: rng.choice([" ", "\n", " y ", " z\n"]), t)) for i, t in enumerate(list(licenses.TEMPLATES.values()) * 8)]
+    got = licenses.scan(frame(spark, rows), phrases={}, threshold=threshold, stretch=2.0).collect()
+    parts = [(r[0], {n: p for n, t in licenses.TEMPLATES.items() if (p := runs_brute(r[1], t, threshold))}) for r in rows]
+    want = sorted(str((i, ",".join(sorted(found)), max(found.values(), default=0.0))) for i, found in parts)
+    assert want == sorted(str((r["doc_id"], r["labels"], r["score"])) for r in got)
+
+
 PAGES = "page_id bigint, url string, html string, host string, verdict int, rule string, path string"
 
 
