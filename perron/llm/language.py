@@ -17,13 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from perron.llm.arrow import joined, slices, small_batches, texts
-from perron.llm.linear import byte_grams, dense, fit_logistic, sparse_rows
+from perron.llm.linear import Sparse, blocks, byte_grams, fit_logistic, sparse_rows
 
-#: Most training texts of a language, and most languages.
+#: Most training texts of a language, and of all; with more languages than fit, each has fewer texts, but one at least.
 SAMPLE = 400
-LANGUAGES = 256
+ROWS = 16_384
 BITS = 12
 UNKNOWN = "und"
 #: A text is ambiguous below this score: the winner's share against the others.
@@ -71,12 +72,31 @@ def codewords(k: int) -> np.ndarray:
             if (column < 0).any():
                 drawn.add(tuple(int(v) for v in column))
         code = np.array(sorted(drawn), np.int8).T
-        apart = min(int((code[i] != code[j]).sum()) for i in range(k) for j in range(i))
+        apart = _apart(code)
         if apart > distance:
             best, distance = code, apart
     return best
 
 
+def _apart(code: np.ndarray) -> int:
+    """In how many bits the two closest codewords differ."""
+    sign, most = code.astype(np.float32), -code.shape[1]
+    for start in range(0, len(code), 1024):
+        alike = sign[start : start + 1024] @ sign.T
+        alike[np.arange(len(alike)), np.arange(start, start + len(alike))] = -code.shape[1]
+        most = max(most, int(alike.max()))
+    return (code.shape[1] - most) // 2
+
+
+def dealt(counts: list[int], sample: int, rows: int) -> int:
+    """The most texts that each language may have, up to `sample`, for `rows` in all; one at least."""
+    low, high = 1, max(1, sample)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(min(n, middle) for n in counts) <= rows else (low, middle - 1)
+    return low
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -91,11 +111,17 @@ class Model:
         if not self.languages:
             return [UNKNOWN] * len(values), np.zeros(len(values))
         margins = features(values) @ self.weights + self.bias
-        # Log-loss of every codeword, the bits weighed by the trust that each language has in them.
-        loss = np.einsum("nkb,kb->nk", np.logaddexp(0, -margins[:, None, :] * self.code[None]), self.trust)
-        share = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
-        score = np.where(lettered, 1.0 / share.sum(axis=1), 0.0)
-        best = loss.argmin(axis=1)
+        best, score = np.zeros(len(values), np.int64), np.zeros(len(values))
+        plus, minus = (self.trust * (self.code > 0)).T, (self.trust * (self.code < 0)).T
+        step = max(1, (1 << 22) // len(self.languages))
+        for start in range(0, len(values), step):
+            own = slice(start, start + step)
+            # Log-loss of every codeword, the bits weighed by the trust that each language has in them.
+            loss = np.logaddexp(0, -margins[own]) @ plus + np.logaddexp(0, margins[own]) @ minus
+            share = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
+            score[own] = 1.0 / share.sum(axis=1)
+            best[own] = loss.argmin(axis=1)
+        score = np.where(lettered, score, 0.0)
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], score
 
 
@@ -104,38 +130,51 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Fits the classifiers on at most `sample` texts of each of the `LANGUAGES` most frequent languages.
+def train(
+    docs: DataFrame, sample: int = SAMPLE, most: int = ROWS, *, id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> Model:
+    """Fits the classifiers on at most `sample` texts of each language, and on `most` in all, but one of each at least.
 
-    Which texts, a hash of the id says. Held-out documents, null languages and null ids take no part.
+    All languages are learned that have a text here. Which texts, a hash of the id says. Held-out documents, null
+    languages and null ids take no part.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    scale = 1 << 30
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         ~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    ).withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(scale)))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if len(languages) < 2:
         code = codewords(len(languages))
         return Model(languages, code, np.ones(code.shape), np.zeros((3 << BITS, 0), np.float32), np.zeros(0, np.float32))
-    # A share of each language that holds some more than the sample, then the first of them.
-    scale = 1 << 30
-    shares = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(scale, int(scale * 1.5 * (sample + 20) / n)))])
-    drawn = rows.withColumn("hash", F.xxhash64("id")).where(F.pmod("hash", F.lit(scale)) < F.element_at(shares, F.col("lang")))
-    found = sorted(sparse_rows(drawn, features, ["id", "lang", "hash"]).collect(), key=lambda r: (r["hash"] % scale, str(r["id"]), r["values"]))
+    sample = dealt(list(counts.values()), sample, most)
+
+    def below(bounds: dict[str, int]) -> DataFrame:
+        given = StructType([StructField("lang", rows.schema["lang"].dataType), StructField("bound", LongType())])
+        return rows.join(F.broadcast(spark.createDataFrame(list(bounds.items()), given)), "lang").where("turn < bound")
+
+    # A share of each language that holds some more than the sample tells where the sample ends; only that is collected.
+    some = below({k: min(scale, int(scale * 1.5 * (sample + 20) / n)) for k, n in counts.items()})
+    last = F.element_at(F.slice(F.array_sort(F.collect_list("turn")), 1, sample), -1)
+    ends = {r["lang"]: r["last"] + 1 for r in some.groupBy("lang").agg(last.alias("last")).collect()}
+    drawn = sparse_rows(below(ends), features, ["id", "lang", "turn"]).collect()
+    drawn.sort(key=lambda r: (r["turn"], str(r["id"]), r["values"]))
     seen: dict[str, int] = dict.fromkeys(languages, 0)
     kept = []
-    for row in found:
+    for row in drawn:
         seen[row["lang"]] += 1
         if seen[row["lang"]] <= sample:
             kept.append(row)
     languages = [k for k in languages if seen[k]]
-    code = codewords(len(languages))
-    of = np.array([languages.index(r["lang"]) for r in kept])
-    x, y = dense(kept, 3 << BITS), (code[of] > 0).astype(np.float32)
+    code, number = codewords(len(languages)), {k: i for i, k in enumerate(languages)}
+    of = np.array([number[r["lang"]] for r in kept])
+    x, y = Sparse(kept, 3 << BITS), (code[of] > 0).astype(np.float32)
+    del drawn, kept
     weight = (1.0 / np.bincount(of, minlength=len(languages)))[of]
     weights, bias = fit_logistic(x, y, weight)
-    right = (np.sign(x @ weights + bias) == code[of]).astype(np.float64)
+    right = np.concatenate([np.sign(part @ weights + bias) == code[of[own]] for own, part in blocks(x)]).astype(np.float64)
     trust = np.array([right[of == k].mean(axis=0) for k in range(len(languages))]) + 1e-6
     return Model(languages, code, trust / trust.mean(axis=1, keepdims=True), weights, bias)
 

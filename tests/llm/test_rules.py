@@ -93,6 +93,40 @@ def test_language_of_awkward_texts(spark):
     assert language.identify(frame(spark, [(5, "hello")]), one, ["doc_id"]).collect()[0]["lang_pred"] == "xx"
 
 
+def test_every_language_is_learned(spark):
+    rng, rows = random.Random(5), []
+    for j in range(300):
+        own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(8)]
+        rows += [(j * 100 + i, " ".join(rng.choices(own, k=40)), f"l{j:03}") for i in range(12)]
+    docs = frame(spark, rows)
+    model = language.train(docs, most=1200)
+    assert model.languages == [f"l{j:03}" for j in range(300)]
+    got = language.identify(docs.where(language.held_out(docs["doc_id"])), model, ["lang"]).collect()
+    assert len(got) > 900 and sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)
+
+
+def test_sample_is_dealt_to_all_languages():
+    assert language.dealt([1000] * 4, 400, 16_384) == 400 and language.dealt([1000] * 400, 400, 16_384) == 40
+    assert language.dealt([5, 1000, 1000], 400, 100) == 47 and language.dealt([9] * 50, 400, 10) == 1
+
+
+def test_sparse_fit_in_blocks():
+    import zlib
+
+    import numpy as np
+
+    from perron.llm.linear import Sparse, blocks, fit_logistic
+
+    x = np.random.default_rng(0).random((23, 30)).astype("f4") * (np.random.default_rng(1).random((23, 30)) < 0.3)
+    places = [np.flatnonzero(r) for r in x]
+    rows = [{"places": zlib.compress(np.diff(p, prepend=0).astype("<u4").tobytes()), "values": zlib.compress(r[p].tobytes())} for r, p in zip(x, places)]
+    y, weight = (x[:, :2] > 0).astype("f4"), np.ones(23)
+    for at_once in (1, 5, 23, 64):
+        sparse = Sparse(rows, 30, at_once)
+        assert np.concatenate([part.copy() for _, part in blocks(sparse)]).tolist() == x.tolist()
+        assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(fit_logistic(sparse, y, weight), fit_logistic(x, y, weight)))
+
+
 def test_codewords_differ():
     for k in (2, 3, 5, 6, 20):
         code = language.codewords(k)
