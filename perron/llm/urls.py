@@ -5,7 +5,8 @@ the number of such pages. Trust follows links (personalised PageRank), distrust
 hosts is suspect. A host whose distrust exceeds `RATIO` times its trust is blocked, any other is allowed.
 
 Links are added up per pair of hosts before anything is shuffled by host, so a host with a third of all pages is a few
-rows; every round is written to the shared folder.
+rows; every round is written to the shared folder, and the one before the last goes. Rounds end when no host is newly
+reached and none has more than `TOLERANCE` of its trust or distrust from the last round.
 """
 
 from __future__ import annotations
@@ -13,13 +14,15 @@ from __future__ import annotations
 import string
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.session import scratch
 
 DAMPING = 0.85
+#: Rounds of `spread` if it is not told to go on until nothing changes, as `judge` does.
 ROUNDS = 10
+TOLERANCE = 1e-6
 RATIO = 2.0
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -84,8 +87,19 @@ def host_links(pages: DataFrame, *, url: str = "url", html: str = "html") -> Dat
     )
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """Hosts with `trust` and `distrust`, from seeds (`host`, `trusted`, `distrusted`), after `rounds` rounds."""
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(
+    links: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """Hosts with `trust` and `distrust`, from seeds (`host`, `trusted`, `distrusted`).
+
+    After `rounds` rounds, or with None when they have converged: what a round adds is never less than nothing and falls by
+    `damping` at least, and a host that is reached for the first time has all of its rank from that round.
+    """
     spark = links.sparkSession
     folder = scratch(spark, "host-links")
     links.write.parquet(f"{folder}/links")
@@ -105,19 +119,29 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     base = ranks = spark.read.parquet(f"{folder}/round-0")
     if edges.isEmpty():
         return ranks
-    none = F.lit(0.0)
-    for number in range(1, rounds + 1):
+    none, number = F.lit(0.0), 0
+    while rounds is None or number < rounds:
+        number += 1
+        last = ranks.select("host", none.alias("trust"), none.alias("distrust"), F.col("trust").alias("trusted"), F.col("distrust").alias("distrusted"))
         forth = edges.join(ranks, edges["src"] == ranks["host"]).select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("of_src") * F.lit(damping)).alias("trust"), none.alias("distrust")
         )
         back = edges.join(ranks, edges["dst"] == ranks["host"]).select(
             F.col("src").alias("host"), none.alias("trust"), (F.col("distrust") * F.col("of_dst") * F.lit(damping)).alias("distrust")
         )
-        base.union(forth).union(back).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")
+        base.union(forth).union(back).unionByName(last, allowMissingColumns=True).groupBy("host").agg(
+            F.sum("trust").alias("trust"),
+            F.sum("distrust").alias("distrust"),
+            F.coalesce(F.sum("trusted"), none).alias("trusted"),
+            F.coalesce(F.sum("distrusted"), none).alias("distrusted"),
         ).write.parquet(f"{folder}/round-{number}")
+        if number > 1:
+            _drop(spark, f"{folder}/round-{number - 1}")
         ranks = spark.read.parquet(f"{folder}/round-{number}")
-    return ranks
+        moved = [F.col(c) - F.col(c + "ed") > F.lit(tolerance) * F.col(c) for c in ("trust", "distrust")]
+        if rounds is None and ranks.where(moved[0] | moved[1]).isEmpty():
+            break
+    return ranks.select("host", "trust", "distrust")
 
 
 def judge(
@@ -140,7 +164,7 @@ def judge(
         F.sum((verdict == "block").cast("double")).alias("distrusted"),
     )
     folder = scratch(spark, "host-verdicts")
-    spread(host_links(pages, url=url, html=html), seeds).select(
+    spread(host_links(pages, url=url, html=html), seeds, rounds=None).select(
         F.col("host").alias("__url_of"), (F.col("distrust") > F.lit(ratio) * F.col("trust")).alias("__url_blocked")
     ).write.parquet(folder)
     hosts = spark.read.parquet(folder)

@@ -275,3 +275,34 @@ def test_trust_against_brute_force(spark):
     ).collect()
     assert all(r["trust"] == pytest.approx(trust.get(r["host"], 0)) and r["distrust"] == pytest.approx(distrust.get(r["host"], 0)) for r in got)
     assert {h for h, v in trust.items() if v} <= {r["host"] for r in got}
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    pages = [(i, f"http://c{i}.net/", f'<a href="http://c{i + 1}.net/">y</a>') for i in range(14)]
+    pages += [(14, "http://c14.net/", '<a href="http://bad.com/">y</a>'), (15, "http://bad.com/de/", ""), (16, "http://free.net/", "")]
+    got = {r["page_id"]: r["__url"]["verdict"] for r in urls.judge(frame(spark, pages, PAGES)).collect()}
+    assert got == {i: "block" for i in range(16)} | {16: "allow"}
+
+
+def test_converged_trust_against_solution(spark):
+    import numpy as np
+
+    rng, n = random.Random(7), 10
+    links = np.zeros((n, n))
+    for _ in range(25):
+        a, b = rng.sample(range(n), 2)
+        links[a, b] += 1
+    seeds = {0: (3.0, 1.0), 1: (0.0, 2.0)}
+    given = np.array([seeds.get(i, (0.0, 0.0)) for i in range(n)])
+    forth = links / np.maximum(links.sum(axis=1, keepdims=True), 1)
+    back = links / np.maximum(links.sum(axis=0, keepdims=True), 1)
+    trust = np.linalg.solve(np.eye(n) - 0.5 * forth.T, 0.5 * given[:, 0])
+    distrust = np.linalg.solve(np.eye(n) - 0.5 * back, 0.5 * given[:, 1])
+    got = urls.spread(
+        frame(spark, [(f"h{a}", f"h{b}", int(links[a, b])) for a, b in zip(*np.nonzero(links))], "src string, dst string, links bigint"),
+        frame(spark, [(f"h{i}", *v) for i, v in seeds.items()], "host string, trusted double, distrusted double"),
+        rounds=None, damping=0.5,
+    ).collect()
+    found = {r["host"]: (r["trust"], r["distrust"]) for r in got}
+    for i in range(n):
+        assert found.get(f"h{i}", (0.0, 0.0)) == pytest.approx((trust[i], distrust[i]), rel=1e-5)
