@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.llm import exact, language, licenses, mixing, packing, quality, simhash, suffixes, tokenfile, urls
+from perron.llm import (
+    exact, fingerprints, language, licenses, mixing, negatives, packing, quality, simhash, suffixes, tokenfile, urls, variants,
+)
 from perron.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +186,47 @@ def op10_token_file(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch(spark, "token-files")
     tokenfile.write_tokens(table(spark, folder, "documents"), files)
     return tokenfile.digest(spark, files)
+
+
+@query
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of every document its fingerprint finds again in its edited text and in the next document."""
+    return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The hard negatives of every anchor's positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", label.alias("label"), negatives.integers("embedding", 256).alias("vector")
+    )
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+with e as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as vector
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+           list_inner_product(a.vector, c.vector)::bigint as score
+    from e a join e c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+p as (
+    select anchor_id, vec_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents and the words that they are variants of."""
+    return variants.spelling_variants(table(spark, folder, "documents"))

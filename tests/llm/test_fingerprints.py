@@ -1,0 +1,148 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import awkward, frame
+from perron.llm import fingerprints
+from perron.llm.queries import QUERIES
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+WORD = 0xFFFFFFFF
+
+
+def spread(x):
+    x = (x ^ x >> 16) * 0x85EBCA6B & WORD
+    x = (x ^ x >> 13) * 0xC2B2AE35 & WORD
+    return x ^ x >> 16
+
+
+def slow_fingerprint(data):
+    """Byte by byte, a piece after the other."""
+    if not data:
+        return "4::"
+    powers = [pow(0x9E3779B1, b, 1 << 32) for b in range(7)]
+    hashes = [
+        spread(sum(x * p for x, p in zip(data[max(0, i - 6) : i + 1][::-1], powers)) & WORD) for i in range(len(data))
+    ]
+
+    def signature(k):
+        out, total, pieces = "", 0, 0
+        for i, h in enumerate(hashes):
+            total += spread(h ^ 0x9E3779B1)
+            if h % (1 << k) == 0 or i == len(data) - 1:
+                code = spread(total & WORD) & 0xFFF
+                out, total, pieces = out + LETTERS[code >> 6] + LETTERS[code & 63], 0, pieces + 1
+        return out
+
+    k = 2  # at most 64 pieces
+    while sum(h % (1 << k) == 0 for h in hashes) >= 64:
+        k += 1
+    return f"{1 << k}:{signature(k)}:{signature(k + 1)}"
+
+
+def slow_likeness(a, b):
+    if a == b:
+        return 1.0
+    sizes_a, sizes_b = (
+        {int(s) * m: [t[i : i + 2] for i in range(0, len(t), 2)] for m, t in ((1, x), (2, y))}
+        for s, x, y in (a.split(":"), b.split(":"))
+    )
+    shared = set(sizes_a) & set(sizes_b)
+    if not shared:
+        return 0.0
+    x, y = sizes_a[min(shared)], sizes_b[min(shared)]
+    # Insertions and deletions 1, replacements 2.
+    row = list(range(len(y) + 1))
+    for i, p in enumerate(x, 1):
+        before, row[0] = row[0], i
+        for j, q in enumerate(y, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + 2 * (p != q))
+    return 1 - row[-1] / (len(x) + len(y)) if x or y else 0.0
+
+
+def expected(docs):
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).collect()
+    rows.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.row))
+    texts = [r.text or "" for r in rows]
+    out = []
+    for i, row in enumerate(rows):
+        own, following = texts[i], texts[(i + 1) % len(rows)]
+        half = len(own) // 2
+        edited = own[: len(own) - half] + following[:half]
+        marks = [slow_fingerprint(t.encode()) for t in (own, edited, following)]
+        out.append((
+            row.doc_id, len(own), hashlib.sha256(edited.encode()).hexdigest(), marks[0], marks[1],
+            slow_likeness(marks[0], marks[1]), slow_likeness(marks[0], marks[2]),
+        ))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("fingerprints") / "documents.parquet")
+    rows = [r for r in awkward() if len(r[1] or "") < 5_000]
+    rows += [(500, "abcdefg" * 900), (501, "x"), (502, "xy"), (503, "😀é" * 90), (None, "zz " * 50), (-7, "\x00\x00a" * 40)]
+    frame(spark, rows, partitions=5).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_against_brute_force(spark, docs):
+    found = fingerprints.compare_with_next(docs)
+    assert found.columns == [
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    ]
+    assert [pytest.approx(r) for r in sorted((tuple(r) for r in found.collect()), key=str)] == expected(docs)
+
+
+def test_dotted_columns_and_names_of_its_own(spark, docs):
+    more = docs.withColumn("a.b", F.lit(1)).withColumn("part", F.lit("x")).withColumn("role", F.lit("last"))
+    same = fingerprints.compare_with_next(more)
+    assert sorted(map(str, same.collect())) == sorted(map(str, fingerprints.compare_with_next(docs).collect()))
+    marked = fingerprints.fingerprint(more.withColumn("fingerprint", F.lit("old")))
+    assert sorted(marked.columns) == sorted([*more.columns, "fingerprint"])
+    rows = marked.select("text", "fingerprint", "`a.b`", "uid").collect()
+    assert len(rows) == docs.count() and {r["a.b"] for r in rows} == {1}
+    assert all(r.fingerprint == slow_fingerprint((r.text or "").encode()) for r in rows)
+
+
+def test_a_very_long_text(spark):
+    text = "".join(random.Random(2).choices("abcdefgh ", k=300_000))
+    docs = frame(spark, [(1, text), (2, text[:150_000] + "!" + text[150_000:]), (3, "short one")], partitions=1)
+    rows = {r.doc_id: r for r in fingerprints.compare_with_next(docs).collect()}
+    assert rows[2].near_next > 0.9 and rows[3].near_next == 0.0 and rows[1].n_chars == 300_000
+
+
+def test_equal_texts_and_nulls(spark):
+    docs = frame(spark, [(1, None), (2, ""), (3, "some words that are here"), (4, "some words that are here")])
+    rows = {r.doc_id: r for r in fingerprints.compare_with_next(docs).collect()}
+    assert rows[1].fingerprint == rows[2].fingerprint == "4::" and rows[2].near_next == 1.0
+    assert rows[3].fingerprint == rows[4].fingerprint and rows[4].near_next == rows[4].near_edited or rows[4].near_next == 1.0
+    # The last is followed by the first.
+    assert rows[1].near_next == 0.0 and rows[1].near_edited == 1.0
+
+
+def test_one_document_follows_itself(spark):
+    row = fingerprints.compare_with_next(frame(spark, [(9, "abcdef")])).first()
+    assert row.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and row.near_next == 1.0
+
+
+def test_no_documents(spark):
+    assert fingerprints.compare_with_next(frame(spark, [])).collect() == []
+    assert fingerprints.fingerprint(frame(spark, [])).collect() == []
+
+
+def test_column_of_likeness(spark):
+    marks = spark.createDataFrame([("4:AABB:CC", "4:AABB:CC"), ("4:AABB:CC", "8:CCDD:EE"), ("4:AA:AA", "32:AA:AA"), (None, "4::")], "a string, b string")
+    assert [r[0] for r in marks.select(fingerprints.alike("a", "b")).collect()] == [1.0, pytest.approx(2 / 3), 0.0, None]
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    found = QUERIES["op11_fingerprints"](spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert [pytest.approx(r) for r in sorted((tuple(r) for r in found.collect()), key=str)] == expected(docs)
+    # Half of a text is found again, another text is not.
+    near = found.selectExpr("percentile(near_edited, 0.1) a", "percentile(near_next, 0.9) b").first()
+    assert near.a > 0.3 and near.b < 0.1

@@ -1,0 +1,120 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from perron.llm import negatives
+
+DDL = "vec_id bigint, vector array<bigint>, label int, uid string, anchor string, `a.b` int, id int"
+
+
+def table(spark, rows, partitions=3):
+    data = [(*r, "u", "x", 1, 7) for r in rows]
+    return spark.createDataFrame(data, DDL).repartition(partitions) if data else spark.createDataFrame([], DDL)
+
+
+def some(seed, n=160, dims=5, spread=6):
+    rng = random.Random(seed)
+    rows = [(i, [rng.randint(-spread, spread) for _ in range(dims)], rng.randint(0, 3)) for i in range(n)]
+    hot = [3] * dims
+    rows += [(1000 + i, hot, i % 2) for i in range(n // 2)]
+    rows += [rows[20], rows[20], (20, rows[20][1], 9), (None, hot, 1), (2000, None, 1), (2010, hot, None)]
+    rows += [(2020, [1, None, 2], 1), (2030, [], 1), (2040, [5, 5], 0), (2050, [0] * dims, 2), (-10, [2] * dims, 3)]
+    return rows
+
+
+def product(a, b):
+    return sum(x * y for x, y in zip(a, b))
+
+
+def slow(rows, is_anchor, k=5, low=80, high=100):
+    rows = [r for r in rows if None not in r and None not in r[1]]
+    out = []
+    for i, (anchor, vector, label) in enumerate(rows):
+        if not is_anchor(anchor):
+            continue
+        scored = sorted((-product(vector, v), id, n, l) for n, (id, v, l) in enumerate(rows) if n != i)
+        near = [r for r in scored if r[3] == label][:k]
+        for score, positive, _, _ in near:
+            hard = [r for r in scored if r[3] != label and low * -score <= 100 * -r[0] <= high * -score][:k]
+            out += [(anchor, positive, rank, r[1], -score, -r[0]) for rank, r in enumerate(hard, 1)]
+    return sorted(out)
+
+
+def mined(frame, **options):
+    found = negatives.hard_negatives(frame, F.col("vec_id") % 10 == 0, **options)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(spark, seed):
+    rows = some(seed)
+    assert mined(table(spark, rows), block=30, lot=7) == slow(rows, lambda i: i % 10 == 0)
+
+
+def test_layout_does_not_matter(spark):
+    rows = some(9)
+    frame = table(spark, rows)
+    assert mined(frame) == mined(frame, block=11, lot=3) == slow(rows, lambda i: i % 10 == 0)
+
+
+def test_other_bounds(spark):
+    rows = some(4)
+    expected = slow(rows, lambda i: i % 10 == 0, k=2, low=50, high=120)
+    assert mined(table(spark, rows), block=25, positives=2, negatives=2, low=50, high=120) == expected
+
+
+@pytest.mark.parametrize("size", [1 << 24, 1 << 29])
+def test_large_components_keep_every_digit(spark, size):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([size, size + 1, size - 1, 3]) for _ in range(4)], i % 3) for i in range(60)]
+    assert mined(table(spark, rows), block=16) == slow(rows, lambda i: i % 10 == 0)
+
+
+def test_few_rows(spark):
+    assert mined(table(spark, [])) == []
+    assert mined(table(spark, [(0, [1, 2], 1)])) == []
+    assert mined(table(spark, [(0, [1, 2], 1), (1, [1, 2], 1)])) == []
+    assert mined(table(spark, [(0, [1, 2], 1), (1, [1, 2], 1), (2, [1, 2], 0)])) == [(0, 1, 1, 2, 5, 5)]
+    assert mined(table(spark, [(1, [1], 1), (2, [1], 0)])) == []
+
+
+def test_integers(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [[0.5, -0.001], [1.0, None], [nan], [inf], [-inf, 1.0], None, []]
+    frame = spark.createDataFrame([(v,) for v in vectors], "v array<float>")
+    found = [r[0] for r in frame.select(negatives.integers("v", 256)).collect()]
+    assert found == [[128, -1], None, None, None, None, None, []]
+
+
+def test_packed_widths():
+    rows = [np.array(v, np.int64) for v in ([1, -2], [40_000, 1, 2], [-(1 << 40)], [])]
+    packed = [negatives.pack(v) for v in rows]
+    assert [p[0] for p in packed] == [2, 4, 8, 2]
+    assert negatives.unpack(packed).tolist() == [[1, -2, 0], [40_000, 1, 2], [-(1 << 40), 0, 0], [0, 0, 0]]
+
+
+def test_search_stops_early():
+    """One component outweighs the others: the best candidates stand at the top of its list."""
+    rng = np.random.default_rng(0)
+    vectors = rng.integers(-3, 4, (4000, 6))
+    vectors[:, 0] = rng.integers(-1000, 1000, 4000)
+    block = negatives.Block(np.arange(4000), np.arange(4000), ["x"] * 4000, vectors)
+    anchor, all_of_them = np.array([50, 1, 0, -1, 2, 1]), np.ones(4000, bool)
+    scores = vectors @ anchor
+    best = sorted(zip((-scores).tolist(), range(4000)))
+    for window in ((-float("inf"), float("inf")), (20_000, 40_000), (10**6, 10**7)):
+        (found,), scored = block.search(anchor, all_of_them, [window], 5)
+        inside = [(-s, i) for s, i in best if window[0] <= -s <= window[1]][:5]
+        assert found == inside
+        assert scored < 4000
+
+
+def test_ties_at_the_threshold_are_all_seen():
+    """The threshold equals the k-th score until the last of many equal candidates has come up."""
+    vectors = np.full((300, 2), 7)
+    block = negatives.Block(np.arange(300), np.arange(300)[::-1].copy(), ["x"] * 300, vectors)
+    (found,), _ = block.search(np.array([1, 1]), np.ones(300, bool), [(-float("inf"), float("inf"))], 3)
+    assert found == [(14, 299), (14, 298), (14, 297)]

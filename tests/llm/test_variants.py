@@ -1,0 +1,124 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import awkward, frame
+from perron.llm import variants
+from perron.llm.queries import QUERIES
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def slow_counts(rows, least=6, every=199):
+    counts = Counter()
+    for doc_id, text in rows:
+        for word in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in word)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if every and h % every == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            if len(word) >= least:
+                counts[word] += 1
+    return counts
+
+
+def slow_groups(counts, ratio=5):
+    near = {w: [v for v in counts if abs(len(v) - len(w)) <= 1 and distance(w, v) == 1] for w in counts}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[word] = best if best and counts[best] >= ratio * counts[word] else None
+    out = []
+    for word, n in counts.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        out.append((word, form[word], root, n, len(near[word]), counts[form[word]] if form[word] else None))
+    return sorted(out)
+
+
+def grouped(spark, counts, **options):
+    words = spark.createDataFrame(sorted(counts.items()), "word string, n bigint")
+    return sorted(tuple(r) for r in variants.group_variants(words, **options).collect())
+
+
+def vocabulary(seed, letters, n, lengths):
+    rng = random.Random(seed)
+    words = {"".join(rng.choices(letters, k=rng.choice(lengths))) for _ in range(n)}
+    return {w: rng.choice([5, 6, 30, 31, 200, 1500]) for w in sorted(words)}
+
+
+@pytest.mark.parametrize("letters,lengths", [("ab", range(0, 9)), ("abc", range(5, 8)), ("aé😀", range(1, 6)), ("aaab", range(6, 14))])
+def test_groups_against_brute_force(spark, letters, lengths):
+    counts = vocabulary(len(letters), letters, 250, lengths)
+    assert grouped(spark, counts) == slow_groups(counts)
+
+
+def test_words_that_share_a_chunk(spark):
+    """A third of all words begin alike, so one chunk is in all of them."""
+    rng = random.Random(3)
+    counts = {"prefixes" + "".join(rng.choices("abcdef", k=8)): rng.choice([5, 25, 125]) for _ in range(120)}
+    counts |= {w[:-1] + "z": 7 for w in list(counts)[:40]} | vocabulary(5, "abcdefgh", 150, range(6, 9))
+    assert grouped(spark, counts) == slow_groups(counts)
+
+
+def test_a_long_chain_of_forms(spark):
+    counts = {"a" * 10 + "b" * i + "c" * (9 - i): 5**i for i in range(10)}
+    found = grouped(spark, counts)
+    assert found == slow_groups(counts) and {r[2] for r in found} == {"a" * 10 + "b" * 9}
+
+
+def test_ties_and_ratio(spark):
+    counts = {"worden": 5, "wordan": 25, "wordin": 25, "wordenx": 24}
+    assert grouped(spark, counts) == slow_groups(counts)
+    assert ("worden", "wordan", "wordan", 5, 3, 25) in grouped(spark, counts)
+    assert grouped(spark, counts, ratio=6) == slow_groups(counts, 6)
+
+
+def test_near_words_once_in_both_directions(spark):
+    words = spark.createDataFrame([("aaaaaa", 1), ("aaaaaaa", 2), ("aaaaab", 3), (None, 9)], "word string, n bigint")
+    found = sorted(tuple(r) for r in variants.near_words(words).select("word", "near", "n", "near_n").collect())
+    assert found == [
+        ("aaaaaa", "aaaaaaa", 1, 2), ("aaaaaa", "aaaaab", 1, 3), ("aaaaaaa", "aaaaaa", 2, 1), ("aaaaab", "aaaaaa", 3, 1),
+    ]
+
+
+@pytest.mark.parametrize("every", [3, None])
+def test_counts_against_brute_force(spark, every):
+    rows = awkward()
+    rows += [(900, "ÀÉîØ×÷ÿ Straße İstanbul ıııııııı ABCDEFGH éÉ" * 3), (901, "x" * 100_000 + " " + "y" * 7), (None, "Abcdefg " * 9)]
+    more = frame(spark, rows).withColumn("a.b", F.lit(1)).withColumn("word", F.lit("w")).withColumn("n", F.lit(1))
+    found = {r.word: r.n for r in variants.count_words(more, every=every).collect()}
+    assert found == slow_counts([r[:2] for r in rows], every=every)
+
+
+def test_deleting_can_leave_too_few_letters():
+    word = next(w for w in ("abcdef" + c for c in "abcdefghijklmnopqrstuvwxyz") if zlib.crc32(f"5:{w}".encode()) % 3 == 0)
+    at = zlib.crc32(f"5:{word}".encode()) % 7
+    assert variants.slipped(5, word, 3) == word[:at] + word[at + 1 :]
+
+
+def test_nothing(spark):
+    assert variants.spelling_variants(frame(spark, [])).collect() == []
+    assert variants.spelling_variants(frame(spark, [(1, None), (2, ""), (3, "short ones only")])).collect() == []
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    counts = {w: n for w, n in slow_counts(docs).items() if n >= 5}
+    assert len(counts) > 100
+    found = QUERIES["op13_spelling_variants"](spark, folder)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(tuple(r) for r in found.collect()) == slow_groups(counts)
