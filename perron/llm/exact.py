@@ -203,27 +203,33 @@ def _owned(offers: DataFrame, folder: str, bucket_bytes: int) -> DataFrame:
     )
 
 
-def _numbered(docs: DataFrame, id: str, text: str) -> list[Column]:
-    uid = F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id()
-    return [uid.alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text")]
+def _numbered(id: str, text: str, uid: str | None) -> list[Column]:
+    number = F.col(f"`{uid}`").cast("bigint") if uid else F.monotonically_increasing_id()
+    return [number.alias("uid"), F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")]
 
 
 def exact_dedup(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES, folder: str | None = None
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    uid: str | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
+    folder: str | None = None,
 ) -> DataFrame:
     """One row per document: `uid`, `doc_id`, `keep_uid`, `keep_id`, `group_size`, `kept`, `text_sha256`.
 
     Texts are equal if they are the same bytes without ASCII white space; null counts as empty, so all empty texts
     are one group. Of a group the row with the most code points stays, then the smallest id (null last), then the
     first row, so that of repeated rows with the same id exactly one stays. `uid` numbers the rows of `docs` as they
-    were read; pass a column of that name to use your own. Other columns are not looked at. An empty table gives no
-    rows. The index stays in `folder` (default: a new one in the shared folder): `offers`, `directory`, `classes`.
+    were read, or is the column that the parameter names, which must be different in every row. Other columns are not
+    looked at, whatever their names. An empty table gives no rows. The index stays in `folder` (default: a new one in the shared folder): `offers`, `directory`, `classes`.
     """
     spark = docs.sparkSession
     small_batches(spark)
     folder = folder or scratch(spark, "exact-index")
     ddl = f"{_MEMBERS_DDL}, {_ENTRIES_DDL}"
-    docs.select(*_numbered(docs, id, text)).mapInArrow(_offers([]), ddl).write.parquet(f"{folder}/offers")
+    docs.select(*_numbered(id, text, uid)).mapInArrow(_offers([]), ddl).write.parquet(f"{folder}/offers")
     offers = spark.read.schema(ddl).parquet(f"{folder}/offers")
     _owned(offers, folder, bucket_bytes).mapInArrow(_classes, _CLASSES_DDL).write.parquet(f"{folder}/classes")
     classes = spark.read.schema(_CLASSES_DDL).parquet(f"{folder}/classes")
@@ -248,11 +254,11 @@ def survivors(docs: DataFrame, *, id: str = "doc_id", text: str = "text", bucket
     folder = scratch(spark, "exact-index")
     others = [c for c in docs.columns if c != text]
     carried = [f"__{i}" for i in range(len(others) + 1)]
-    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, carried)] + [F.col(text).isNull().alias(carried[-1])]
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, carried)] + [F.col(f"`{text}`").isNull().alias(carried[-1])]
     kinds = [docs.schema[c].dataType.simpleString() for c in others] + ["boolean"]
     extra = ", ".join(f"{n} {k}" for n, k in zip(carried, kinds))
     ddl = f"{_MEMBERS_DDL}, {_ENTRIES_DDL}, {extra}"
-    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), *_numbered(docs.drop("uid"), id, text)[1:], *columns)
+    numbered = docs.select(*_numbered(id, text, None), *columns)
     numbered.mapInArrow(_offers(carried), ddl).where("key is not null").write.parquet(f"{folder}/offers")
     offers = spark.read.schema(ddl).parquet(f"{folder}/offers")
     best = _owned(offers, folder, bucket_bytes).mapInArrow(_best_rows(carried), f"text binary, {extra}")

@@ -199,21 +199,29 @@ def _signed(bits: int) -> int:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, *, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    uid: str | None = None,
 ) -> DataFrame:
     """One row per document: `uid`, `doc_id`, `fingerprint` (hex), `component_id`, `keep_uid`.
 
     `component_id` is the smallest id among the documents that can be reached over fingerprints differing in at
     most `max_bits` bits (null ids are passed over, and it is null if there are no others). `keep_uid` is the row with
     that id, the first of several. Texts of less than `shingle` words are one shingle; null, empty and blank texts have
-    fingerprint zero, which links like any other. An empty table gives no rows. `uid` numbers the rows as read; pass a
-    column of that name to use your own. Other columns are not looked at.
+    fingerprint zero, which links like any other. An empty table gives no rows. `uid` numbers the rows as read, or is
+    the column that the parameter names. Other columns are not looked at, whatever their names.
     """
     spark = docs.sparkSession
     small_batches(spark)
     folder = scratch(spark, "simhash")
-    uid = F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id()
-    source = docs.select(uid.alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    number = F.col(f"`{uid}`").cast("bigint") if uid else F.monotonically_increasing_id()
+    source = docs.select(
+        number.alias("uid"), F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")
+    )
     source.mapInArrow(_fingerprints(shingle), "uid bigint, doc_id bigint, print bigint").write.parquet(f"{folder}/prints")
     prints = spark.read.parquet(f"{folder}/prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
@@ -254,15 +262,17 @@ def first_of_groups(
     both, one stays.
     """
     key, number = f"__key_{len(docs.columns)}", f"__id_{len(docs.columns)}"
+    own_id, own_text = F.col(f"`{id}`"), F.col(f"`{text}`")
     keyed = docs.withColumns(
         {
-            key: F.xxhash64(F.col(id).isNull(), F.col(id), F.col(text)),
-            number: F.coalesce(F.col(id).cast("bigint"), F.lit(0).cast("bigint")),
+            key: F.xxhash64(own_id.isNull(), own_id, own_text),
+            number: F.coalesce(own_id.cast("bigint"), F.lit(0).cast("bigint")),
         }
     )
-    looked_at = keyed.select(F.col(key).alias("uid"), F.col(id).alias("id"), F.col(text).alias("text"))
-    stay = near_duplicates(looked_at, shingle, max_bits, id="id").where("uid = keep_uid").select(
+    looked_at = keyed.select(F.col(key).alias("row"), own_id.alias("id"), own_text.alias("text"))
+    stay = near_duplicates(looked_at, shingle, max_bits, id="id", uid="row").where("uid = keep_uid").select(
         F.col("uid").alias(key), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias(number)
     )
     # The join and the choice among equal rows need the same partitioning: the texts move once.
-    return keyed.join(stay, [key, number], "left_semi").dropDuplicates([key, number]).select(*docs.columns)
+    chosen = keyed.join(stay, [key, number], "left_semi").dropDuplicates([key, number])
+    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])

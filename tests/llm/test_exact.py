@@ -2,6 +2,9 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import awkward, frame
 
 from perron.llm import exact
@@ -21,7 +24,7 @@ def groups(rows):
 def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(exact, "HELD_BYTES", 2000)
     rows = awkward()
-    got = exact.exact_dedup(frame(spark, rows).drop("uid"), bucket_bytes=700).collect()
+    got = exact.exact_dedup(frame(spark, rows).withColumn("a.b", F.lit(1)), bucket_bytes=700).collect()
     assert len(got) == len(rows) == len({r["uid"] for r in got})
     by_hash = defaultdict(list)
     for r in got:
@@ -64,6 +67,16 @@ def test_equal_keys_of_different_texts_are_chained(spark, monkeypatch):
     assert sizes == [2, 2, 2, 2, 4, 4]
 
 
+@pytest.mark.parametrize("uid", ["5", "'x'", "cast(null as double)"])
+def test_a_column_named_uid_says_nothing(spark, uid):
+    docs = frame(spark, [(i, t) for i, t in enumerate("abcd" * 2)], "doc_id bigint, text string").withColumn("uid", F.expr(uid))
+    got = exact.exact_dedup(docs).collect()
+    assert len(got) == 8 and sum(r["kept"] for r in got) == 4 and len({r["uid"] for r in got}) == 8
+    assert exact.survivors(docs).count() == 4
+    own = exact.exact_dedup(docs.withColumn("n", F.col("doc_id") * 10), uid="n").collect()
+    assert sorted(r["uid"] for r in own) == [10 * i for i in range(8)]
+
+
 def test_directory_doubles(spark, tmp_path):
     entries = frame(spark, [(k << 56, b"x" * 100) for k in range(-128, 128)] + [(5, b"y" * 5000)] * 3, "key bigint, text binary")
     slots, depth = exact.directory(entries, str(tmp_path / "d"), 3000)

@@ -1,7 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
+from pyspark.sql import functions as F
+
 from helpers import awkward, frame
 
 from perron.llm import simhash
@@ -45,7 +48,7 @@ def near_rows():
 
 def test_against_brute_force(spark):
     rows = near_rows()
-    got = simhash.near_duplicates(frame(spark, rows).drop("uid")).collect()
+    got = simhash.near_duplicates(frame(spark, rows).withColumn("a.b", F.lit(1))).collect()
     prints = [brute_print(r[1]) for r in rows]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     roots = components(len(rows), pairs)
@@ -91,3 +94,13 @@ def test_components_of_long_chains_and_stars(spark):
 def test_empty(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
     assert simhash.first_of_groups(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("uid", ["5", "'x'"])
+def test_a_column_named_uid_says_nothing(spark, uid):
+    rows = near_rows()
+    docs = frame(spark, rows).withColumn("uid", F.expr(uid)).withColumn("a.b", F.lit(2))
+    got = simhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows) == len({r["uid"] for r in got})
+    first = simhash.first_of_groups(docs)
+    assert first.columns == docs.columns and first.count() == sum(r["uid"] == r["keep_uid"] for r in got)
