@@ -420,7 +420,7 @@ def test_a_lost_publish_does_not_cost_the_snapshot_in_use(spark, warehouse):
         warehouse.replace("raw", "t", spark.range(n).toDF("a"), "a bigint")
 
     load(1)
-    first = warehouse._current("raw", "t")
+    (first,) = warehouse._named("raw", "t")
     orphan = warehouse._write("raw", "t", spark.range(2).toDF("a"))
     load(3)
     assert warehouse.read("raw", "t").count() == 3
