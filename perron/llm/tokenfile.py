@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.llm.arrow import slices, small_batches
@@ -60,25 +60,45 @@ def encode_block(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]
     return chunks, bitmaps, ranks
 
 
+def _set_before(words: np.ndarray, ranks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Set bits before each place: the directory's entry, less than eight words since then, and part of the last."""
+    word, bit = places >> 6, (places & 63).astype(np.uint64)
+    group = word // _RANK_WORDS
+    since = group[:, None] * _RANK_WORDS + np.arange(_RANK_WORDS)
+    counts = np.bitwise_count(words[np.minimum(since, len(words) - 1)]).astype(np.int64)
+    counts[since >= word[:, None]] = 0
+    last = np.bitwise_count(words[np.minimum(word, len(words) - 1)] & ((np.uint64(1) << bit) - np.uint64(1)))
+    return ranks[np.minimum(group, len(ranks) - 1)] + counts.sum(axis=1) + last
+
+
 def access(chunks: list[bytes], bitmaps: list[bytes], ranks: list[bytes], places: np.ndarray) -> np.ndarray:
-    """The ids at any places of a block, in any order."""
+    """The ids at any places of a block, in any order; of each level no more than eight words are looked at per id."""
     out = np.zeros(len(places), np.uint32)
     who, at = np.arange(len(places)), places.astype(np.int64)
     for level, (chunk, bitmap, rank) in enumerate(zip(chunks, bitmaps, ranks)):
         out[who] |= np.frombuffer(chunk, np.uint8)[at].astype(np.uint32) << np.uint32(8 * level)
         words = np.frombuffer(bitmap, "<u8")
-        word, bit = at >> 6, (at & 63).astype(np.uint64)
-        goes_on = (words[word] >> bit & np.uint64(1)).astype(bool)
-        who, word, bit = who[goes_on], word[goes_on], bit[goes_on]
+        goes_on = (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+        who, at = who[goes_on], at[goes_on]
+        if not len(who):
+            break
+        at = _set_before(words, np.frombuffer(rank, "<u4").astype(np.int64), at)
+    return out
+
+
+def access_range(chunks: list[bytes], bitmaps: list[bytes], ranks: list[bytes], start: int, stop: int) -> np.ndarray:
+    """The ids from one place of a block to before another; the directory tells where they begin at each level."""
+    out, who = np.zeros(stop - start, np.uint32), np.arange(stop - start)
+    for level, (chunk, bitmap, rank) in enumerate(zip(chunks, bitmaps, ranks)):
         if not len(who):
             break
-        # Set bits before the place: the directory's entry, the words since then, and part of the last.
-        since = np.bitwise_count(words).astype(np.int64)
-        running = np.cumsum(since) - since
-        group = word // _RANK_WORDS
-        directory = np.frombuffer(rank, "<u4").astype(np.int64)
-        at = directory[group] + running[word] - running[group * _RANK_WORDS]
-        at += np.bitwise_count(words[word] & ((np.uint64(1) << bit) - np.uint64(1)))
+        out[who] |= np.frombuffer(chunk, np.uint8, stop - start, start).astype(np.uint32) << np.uint32(8 * level)
+        first = start >> 3
+        bits = np.frombuffer(bitmap, np.uint8, -(-stop // 8) - first, first)
+        who = who[np.unpackbits(bits, bitorder="little")[start & 7 :][: stop - start].astype(bool)]
+        words, directory = np.frombuffer(bitmap, "<u8"), np.frombuffer(rank, "<u4").astype(np.int64)
+        start = int(_set_before(words, directory, np.array([start]))[0])
+        stop = start + len(who)
     return out
 
 
@@ -125,11 +145,17 @@ def write_tokens(
 
 
 def read_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The blocks with `start`, the number of ids before each in the whole file set. There is a row per shard to add up."""
+    """The blocks with `start`, the number of ids before each in the whole file set.
+
+    Sums come to the driver, one for each shard: as many as there were partitions to write. Blocks stay where they are read.
+    """
     blocks = spark.read.schema(_BLOCKS_DDL).parquet(folder)
-    shards = blocks.groupBy("shard").agg(F.sum("n").alias("ids"))
-    begins = shards.select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("begin"))
-    return blocks.join(begins, "shard").withColumn("start", F.col("begin") + F.col("first"))
+    begins, begin = [], 0
+    for row in blocks.groupBy("shard").agg(F.sum("n").alias("ids")).orderBy("shard").collect():
+        begins.append((row["shard"], begin))
+        begin += row["ids"]
+    table = spark.createDataFrame(begins, "shard int, begin bigint")
+    return blocks.join(F.broadcast(table), "shard").withColumn("start", F.col("begin") + F.col("first"))
 
 
 _DIGEST_DDL = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -139,9 +165,8 @@ _DIGEST = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n_tokens", "i
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ids = access(row["chunks"], row["bitmaps"], row["ranks"], np.arange(row["n"])).astype("<u4")
-            bounds = row["bounds"]
-            crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(bounds, bounds[1:])]
+            bounds, levels = row["bounds"], (row["chunks"], row["bitmaps"], row["ranks"])
+            crcs = [zlib.crc32(access_range(*levels, a, b).astype("<u4")) for a, b in zip(bounds, bounds[1:])]
             starts = [row["start"] + a for a in bounds[:-1]]
             counts = [b - a for a, b in zip(bounds, bounds[1:])]
             columns = [pa.array(c, pa.int64()) for c in (row["doc_ids"], starts, counts, crcs)]
@@ -156,8 +181,13 @@ def digest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_at(spark: SparkSession, folder: str, place: int) -> int | None:
-    """One id of the file set, read from the block that has it; None if there is none at that place."""
-    hit = read_blocks(spark, folder).where((F.col("start") <= place) & (place < F.col("start") + F.col("n"))).first()
+    """One id of the file set; None if there is none at that place. Only the block that has it is read whole."""
+    blocks = read_blocks(spark, folder)
+    found = blocks.where((F.col("start") <= place) & (place < F.col("start") + F.col("n")))
+    hit = found.select("shard", "block", "start").first()
     if hit is None:
         return None
-    return int(access(hit["chunks"], hit["bitmaps"], hit["ranks"], np.array([place - hit["start"]]))[0])
+    one = spark.read.schema(_BLOCKS_DDL).parquet(folder).where(
+        (F.col("shard") == hit["shard"]) & (F.col("block") == hit["block"])
+    ).select("chunks", "bitmaps", "ranks").first()
+    return int(access(one["chunks"], one["bitmaps"], one["ranks"], np.array([place - hit["start"]]))[0])

@@ -109,6 +109,26 @@ def test_codes_are_directly_addressable():
         ids = random.integers(0, top, 3000).astype(np.uint32)
         parts, places = tokenfile.encode_block(ids), random.integers(0, 3000, 500)
         assert (tokenfile.access(*parts, places) == ids[places]).all()
+        for start, stop in [(0, 3000), (0, 0), (3000, 3000), (511, 513), (1024, 2999), *np.sort(random.integers(0, 3001, (40, 2))).tolist()]:
+            assert (tokenfile.access_range(*parts, start, stop) == ids[start:stop]).all()
+
+
+def test_one_id_needs_no_decoding_of_others(spark):
+    """Bits before the directory's entry are not looked at: spoil them, and later ids stay."""
+    ids = np.where(np.arange(4000) % 3 == 0, 70_000, 5).astype(np.uint32)
+    chunks, bitmaps, ranks = tokenfile.encode_block(ids)
+    spoilt = [bytes(128) + b[128:] for b in bitmaps]
+    places = np.arange(1024 + 512, 4000)
+    assert (tokenfile.access(chunks[:1], spoilt[:1], ranks[:1], places) == ids[places] & 0xFF).all()
+    words, directory = np.frombuffer(spoilt[0], "<u8"), np.frombuffer(ranks[0], "<u4").astype(np.int64)
+    assert (tokenfile._set_before(words, directory, places) == [(ids[:p] > 255).sum() for p in places]).all()
+
+
+def test_blocks_stay_where_they_are_read(spark, tmp_path):
+    """No shuffle has chunks in it, neither to digest the files nor to find one id."""
+    tokenfile.write_tokens(frame(spark, awkward()), str(tmp_path / "files"))
+    plan = tokenfile.digest(spark, str(tmp_path / "files"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
 
 
 def test_empty(spark, tmp_path):
