@@ -144,13 +144,7 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of each document."""
-    return mixing.schedule(table(spark, folder, "documents")).select(
-        "doc_id",
-        F.col("__mix_size").alias("size"),
-        F.col("__mix_total").alias("source_size"),
-        F.col("__mix_target").alias("target"),
-        F.col("__mix_taken").alias("taken"),
-    )
+    return mixing.schedule(table(spark, folder, "documents")).drop("source")
 
 
 ORACLE["op9_mixing"] = r"""
@@ -170,14 +164,18 @@ t as (
            (select arg_min(level, turn) from l where level * weight <= cap) as level
     from l),
 q as (
-    select doc_id, size, total, coalesce(least(cap::double, level * weight), cap::double) as target,
+    select doc_id, d.source, size, total, coalesce(least(cap::double, level * weight), cap::double) as target,
            (sum(size) over (partition by d.source order by hash, doc_id rows unbounded preceding) - size)::bigint as before
-    from d join t on d.source is not distinct from t.source)
-select doc_id, size, total as source_size, target,
-       (greatest(0, least(size, floor(target)::bigint - before))
-        + greatest(0, least(size, floor(target)::bigint - total - before))
-        + greatest(0, least(size, floor(target)::bigint - 2 * total - before)))::bigint as taken
-from q"""
+    from d join t on d.source is not distinct from t.source),
+c as (
+    select doc_id, size, epoch * total + before as start,
+           sum(size) over (order by (epoch * total + before + size)::double / target, coalesce('=' || source, 'null'),
+                           epoch * total + before rows unbounded preceding) - size as sent
+    from q, range(3) e(epoch) where size > 0 and target > 0),
+k as (
+    select doc_id, sum(greatest(0, least(size, (select sum(size) from d) - sent)))::bigint as taken from c group by doc_id)
+select q.doc_id, size, total as source_size, target, coalesce(taken, 0)::bigint as taken
+from q left join k on q.doc_id = k.doc_id"""
 
 
 @query
