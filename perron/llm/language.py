@@ -17,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from perron.llm.arrow import joined, slices, small_batches, texts
 from perron.llm.linear import Sparse, blocks, byte_grams, fit_logistic, sparse_rows
+from perron.llm.sampling import least_turns
 
 #: Most training texts of a language, and of all; with more languages than fit, each has fewer texts, but one at least.
 SAMPLE = 400
@@ -30,7 +30,7 @@ UNKNOWN = "und"
 #: A text is ambiguous below this score: the winner's share against the others.
 AMBIGUOUS = 0.5
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")
 # Digits and marks say nothing about the language; they and white space all become a blank.
 _PLAIN = bytes(
     b if b >= 128 or chr(b) in string.ascii_lowercase else ord(chr(b).lower()) if chr(b) in string.ascii_uppercase else 32
@@ -38,6 +38,11 @@ _PLAIN = bytes(
 )
 
 
+def lettered(text: bytes) -> bool:
+    """Whether a text has a letter: a character of one of Unicode's categories L. Fractions and numerals are none."""
+    return any(found.group().isalpha() for found in _MAYBE.finditer(text.decode("utf-8", "replace")))
+
+
 def features(values: list[bytes]) -> np.ndarray:
     """Square roots of the shares of hashed byte pairs, triples and quadruples."""
     out = np.zeros((len(values), 3 << BITS), np.float32)
@@ -106,8 +111,11 @@ class Model:
     bias: np.ndarray
 
     def predict(self, values: list[bytes]) -> tuple[list[str], np.ndarray]:
-        """Languages and scores in 0..1; a text without letters is unknown with score 0."""
-        lettered = np.array([bool(_LETTER.search(v.decode("utf-8", "replace"))) for v in values], bool)
+        """Languages and scores in 0..1; a text without letters is unknown with score 0.
+
+        Of several codewords that lose the same, that of the first language by code point is taken.
+        """
+        known = np.array([lettered(v) for v in values], bool)
         if not self.languages:
             return [UNKNOWN] * len(values), np.zeros(len(values))
         margins = features(values) @ self.weights + self.bias
@@ -121,8 +129,8 @@ class Model:
             share = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
             score[own] = 1.0 / share.sum(axis=1)
             best[own] = loss.argmin(axis=1)
-        score = np.where(lettered, score, 0.0)
-        return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], score
+        score = np.where(known, score, 0.0)
+        return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known)], score
 
 
 def held_out(id: Column) -> Column:
@@ -135,43 +143,31 @@ def train(
 ) -> Model:
     """Fits the classifiers on at most `sample` texts of each language, and on `most` in all, but one of each at least.
 
-    All languages are learned that have a text here. Which texts, a hash of the id says. Held-out documents, null
-    languages and null ids take no part.
+    All languages are learned that have a text here. Which texts, a hash of id and text says: rows with the same id and
+    text are one, rows that share an id but not the text are as many. No more than these come to the driver. Held-out
+    documents, null languages, ids and texts take no part. Texts are used whole.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    scale = 1 << 30
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        ~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    ).withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(scale)))
+    own_id, own_text, own_lang = (F.col(f"`{c}`") for c in (id, text, lang))
+    rows = docs.where(~held_out(own_id) & own_id.isNotNull() & own_lang.isNotNull() & own_text.isNotNull()).select(
+        own_text.alias("text"), own_lang.cast("string").alias("lang"), F.xxhash64(own_id, own_text).alias("turn")
+    )
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if len(languages) < 2:
         code = codewords(len(languages))
         return Model(languages, code, np.ones(code.shape), np.zeros((3 << BITS, 0), np.float32), np.zeros(0, np.float32))
     sample = dealt(list(counts.values()), sample, most)
-
-    def below(bounds: dict[str, int]) -> DataFrame:
-        given = StructType([StructField("lang", rows.schema["lang"].dataType), StructField("bound", LongType())])
-        return rows.join(F.broadcast(spark.createDataFrame(list(bounds.items()), given)), "lang").where("turn < bound")
-
-    # A share of each language that holds some more than the sample tells where the sample ends; only that is collected.
-    some = below({k: min(scale, int(scale * 1.5 * (sample + 20) / n)) for k, n in counts.items()})
-    last = F.element_at(F.slice(F.array_sort(F.collect_list("turn")), 1, sample), -1)
-    ends = {r["lang"]: r["last"] + 1 for r in some.groupBy("lang").agg(last.alias("last")).collect()}
-    drawn = sparse_rows(below(ends), features, ["id", "lang", "turn"]).collect()
-    drawn.sort(key=lambda r: (r["turn"], str(r["id"]), r["values"]))
-    seen: dict[str, int] = dict.fromkeys(languages, 0)
-    kept = []
-    for row in drawn:
-        seen[row["lang"]] += 1
-        if seen[row["lang"]] <= sample:
-            kept.append(row)
-    languages = [k for k in languages if seen[k]]
+    chosen = least_turns(rows, "lang", "turn", sample)
+    # `chosen` has `most` rows at most, or one for each language.
+    once = rows.join(F.broadcast(chosen), ["lang", "turn"]).groupBy("lang", "turn").agg(F.first("text").alias("text"))
+    kept = sparse_rows(once, features, ["lang", "turn"]).collect()
+    kept.sort(key=lambda r: (r["turn"], r["lang"]))
     code, number = codewords(len(languages)), {k: i for i, k in enumerate(languages)}
     of = np.array([number[r["lang"]] for r in kept])
     x, y = Sparse(kept, 3 << BITS), (code[of] > 0).astype(np.float32)
-    del drawn, kept
+    del kept
     weight = (1.0 / np.bincount(of, minlength=len(languages)))[of]
     weights, bias = fit_logistic(x, y, weight)
     right = np.concatenate([np.sign(part @ weights + bias) == code[of[own]] for own, part in blocks(x)]).astype(np.float64)
@@ -182,38 +178,49 @@ def train(
 _PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
 
 
-def identify(
-    docs: DataFrame, model: Model, kept: list[str], *, text: str = "text"
-) -> DataFrame:
-    """The columns `kept` with `lang_pred`, `score` and `ambiguous`, for whole texts.
+_PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
 
-    A null text, or one without a letter, is `und` with score 0 and ambiguous; so is every text if nothing was learned.
-    """
+
+def _judged(docs: DataFrame, text: str, kept: list[str], found, told: list[str]) -> DataFrame:
+    """What `found` makes of a batch and its texts. The text comes first and then the columns `kept`, which have numbers for
+    names on the way, as names with dots cannot go through a task."""
     small_batches(docs.sparkSession)
-    frame = docs.select(F.col(text).alias("__text"), *kept)
-    names = frame.columns[1:]
+    frame = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    types = dict(frame.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 1 << 20):
-            languages, score = model.predict(texts(batch, "__text"))
-            flags = [s < AMBIGUOUS for s in score]
-            found = [pa.array(languages, pa.string()), pa.array(score), pa.array(flags, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i + 1) for i in range(len(names))], *found],
-                schema=pa.schema([*list(batch.schema)[1:], *_PREDICTED]),
-            )
+        for batch in slices(batches, limit=1 << 20):
+            yield found(batch, texts(batch))
 
-    fields = frame.schema.fields[1:]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double", "ambiguous boolean"])
-    return frame.mapInArrow(run, ddl)
+    return frame.mapInArrow(run, ", ".join(f"{c} {types[c]}" if c in types else c for c in told))
+
+
+def identify(docs: DataFrame, model: Model, kept: list[str], *, text: str = "text") -> DataFrame:
+    """The columns `kept` with `lang_pred`, `score` and `ambiguous`, for whole texts, of whatever length.
+
+    A null text, or one without a letter, is `und` with score 0 and ambiguous; so is every text if nothing was learned.
+    Repeated rows are judged each for itself; an empty table gives no rows.
+    """
+
+    def found(batch: pa.RecordBatch, values: list[bytes]) -> pa.RecordBatch:
+        languages, score = model.predict(values)
+        flags = [s < AMBIGUOUS for s in score]
+        told = [pa.array(languages, pa.string()), pa.array(score), pa.array(flags, pa.bool_())]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[1:], *told], schema=pa.schema([*list(batch.schema)[1:], *_PREDICTED])
+        )
+
+    told = [f"c{i}" for i in range(len(kept))] + ["lang_pred string", "score double", "ambiguous boolean"]
+    return _judged(docs, text, kept, found, told).toDF(*kept, *_PREDICTED.names)
 
 
 def accepted(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, whose language is neither unknown nor ambiguous."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 1 << 20):
-            languages, score = model.predict(texts(batch, text))
-            yield batch.filter(pa.array([k != UNKNOWN and s >= AMBIGUOUS for k, s in zip(languages, score)], pa.bool_()))
+    def found(batch: pa.RecordBatch, values: list[bytes]) -> pa.RecordBatch:
+        languages, score = model.predict(values)
+        return batch.filter(pa.array([k != UNKNOWN and s >= AMBIGUOUS for k, s in zip(languages, score)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    others = [c for c in docs.columns if c != text]
+    rows = _judged(docs, text, others, found, ["text", *[f"c{i}" for i in range(len(others))]]).toDF(text, *others)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -101,7 +101,7 @@ def blocks(x: np.ndarray | Sparse) -> Iterable[tuple[slice, np.ndarray]]:
 
 
 def byte_grams(data: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """The hash of the n bytes from each place on, in 0..2^bits-1; there are n-1 places less than bytes."""
+    """The hash of the n bytes, or code points, from each place on, in 0..2^bits-1; there are n-1 places less than of these."""
     if len(data) < n:
         return np.zeros(0, np.uint32)
     value = np.zeros(len(data) - n + 1, np.uint32)

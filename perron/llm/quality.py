@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from perron.llm.arrow import WHITE, joined, segment_sums, slices, small_batches, texts
 from perron.llm.linear import byte_grams, dense, fit_logistic, sigmoid, sparse_rows
+from perron.operators.joins import sized_join
 
 #: Most labelled documents that the classifier is fitted on; a third of them calibrates it.
 SAMPLE = 2400
@@ -88,13 +89,14 @@ def _counts(values: list[bytes], words: np.ndarray, bounds: np.ndarray) -> dict[
 
 
 def _grams(values: list[bytes], words: np.ndarray, bounds: np.ndarray, known: list[bytes]) -> np.ndarray:
-    """Square roots of the shares of hashed words, word pairs, and runs of three and four bytes."""
+    """Square roots of the shares of hashed words, word pairs, and runs of three and four characters."""
     width = 1 << BITS
     out = np.zeros((len(values), 4 * width), np.float32)
     hashes = np.array([zlib.crc32(w) for w in known], np.uint32)[words] if len(words) else np.zeros(0, np.uint32)
     mixed = hashes * np.uint32(0x9E3779B1)
     pairs = (mixed[:-1] * np.uint32(31) + hashes[1:]) * np.uint32(0x85EBCA6B)
-    data, ends = joined(values)
+    points = [np.frombuffer(v.decode("utf-8", "replace").encode("utf-32-le"), "<u4") for v in values]
+    data, ends = np.concatenate([np.zeros(0, np.uint32), *points]), np.cumsum([0, *map(len, points)])
     parts = [
         (mixed >> np.uint32(32 - BITS), bounds, 1),
         (pairs >> np.uint32(32 - BITS), bounds, 2),
@@ -144,21 +146,33 @@ def _calibrated(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, *, id: str = "doc_id", text: str = "text") -> Model:
     """Fits on the `sample` labelled documents whose ids hash lowest; null labels, ids and texts take no part.
 
-    With labels of one kind only, or none, every document has the probability of that kind (1 if there are none).
+    Only labels of documents that have a text here are counted. Of rows that share an id one is used, and of
+    several labels of an id the best, so no more than `sample` rows come to the driver. Texts are used whole. With labels of
+    one kind only, or none, every document has the probability of that kind (1 if there are none).
     """
     small_batches(docs.sparkSession)
+    own_id, own_text = F.col(f"`{id}`"), F.col(f"`{text}`")
+    rows = docs.where(own_id.isNotNull() & own_text.isNotNull()).select(
+        own_id.alias("id"), own_text.alias("text"), F.xxhash64(own_id, own_text).alias("turn")
+    )
+    marked = (
+        labels.select(F.col(f"`{id}`").alias("label_id"), F.col("quality").cast("bigint").alias("quality"))
+        .where("label_id is not null and quality is not null")
+        .groupBy("label_id")
+        .agg(F.max("quality").alias("quality"))
+    )
     chosen = (
-        labels.select(F.col(id).alias("id"), F.col("quality").cast("bigint").alias("quality"))
-        .where("id is not null and quality is not null")
+        sized_join(rows.select("id", "turn"), marked, "id", "label_id", "inner", unique_right=True)
         .groupBy("id")
-        .agg(F.max("quality").alias("quality"))
+        .agg(F.min("turn").alias("turn"), F.max("quality").alias("quality"))
         .orderBy(F.xxhash64("id"), "id")
         .limit(sample)
     )
-    labelled = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "id")
-    rows = sparse_rows(labelled.withColumn("turn", F.xxhash64("id")), features, ["turn", "quality"]).collect()
+    once = rows.join(F.broadcast(chosen), ["id", "turn"]).groupBy("id").agg(
+        F.first("quality").alias("quality"), F.first("text").alias("text")
+    )
+    rows = sparse_rows(once.withColumn("turn", F.xxhash64("id")), features, ["turn", "quality"]).collect()
     rows.sort(key=lambda r: (r["turn"], r["values"]))
-    rows = rows[:sample]
     y = np.array([r["quality"] for r in rows], np.float64)
     if len(set(y)) < 2:
         certain = 20.0 if not len(y) or y[0] else -20.0
@@ -182,7 +196,7 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, *, id: st
     """One row per document with its counts, `base_failed`, the `probability` of good quality, and `kept`.
 
     Too few words or too many repeated ones fail a document whatever the classifier says; so null and empty texts always
-    fail. Repeated rows are judged each for itself, null ids stay null, an empty table gives no rows.
+    fail. Texts are judged whole; a task holds some 1 MB of them, or one longer text. Repeated rows are judged each for itself, null ids stay null, an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import awkward, frame
 
 import compare
@@ -14,7 +15,7 @@ FOLDER = os.environ.get("PERRON_TEST_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.mark.parametrize("rows", [awkward(), []], ids=["awkward", "empty"])
 def test_stages(spark, tmp_path, rows):
-    docs = frame(spark, rows)
+    docs = frame(spark, rows).withColumns({"a.b": F.lit(1), "__mix_key": F.lit("x"), "c0": F.lit(2.0), "text.raw": F.lit("y")})
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     at, counts = spark.read.parquet(str(tmp_path / "documents.parquet")), []
     for name, stage in corpus_pipeline.STAGES:
@@ -35,4 +36,4 @@ def test_query(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))

@@ -5,8 +5,8 @@ from collections import Counter
 import pytest
 from helpers import awkward, frame
 
-from perron.llm import language, licenses, quality, urls
-from perron.llm.linear import dense
+from perron.llm import language, licenses, quality, sampling, urls
+from perron.llm.linear import Sparse, dense
 
 
 def quality_counts(text):
@@ -105,6 +105,88 @@ def test_every_language_is_learned(spark):
     assert len(got) > 900 and sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)
 
 
+@pytest.mark.parametrize("repeated", [1, 7])
+def test_rows_that_share_an_id_are_bounded(spark, repeated):
+    """However many rows repeat an id, no more than the sample is drawn, and its language is learned."""
+    normal = [(i, f"the quick brown fox number {'abcdefgh'[i % 8] * (i % 5)} jumps", "en") for i in range(100, 160)]
+    equal = [(repeated, "der schnelle braune fuchs springt", "de")] * 3000
+    texts = [(repeated, f"le renard {'xyz'[i % 3] * (i % 90)} saute par dessus", "fr") for i in range(3000)]
+    docs = frame(spark, normal + equal + texts)
+    drawn = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language, "Sparse", lambda rows, width: drawn.append(len(rows)) or Sparse(rows, width))
+        model = language.train(docs, sample=50)
+    assert model.languages == ["de", "en", "fr"] and drawn[0] <= 150
+    got = language.identify(frame(spark, [equal[0], normal[0], texts[5]]), model, ["lang"]).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in got)
+
+
+def test_least_turns(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", "é", None]), rng.choice([None, *range(-60, 60)])) for _ in range(4000)]
+    rows += [("one", 5)] * 3000
+    got = sampling.least_turns(frame(spark, rows, "g string, t bigint", 7), "g", "t", 9).collect()
+    want = {(g, t) for g in ("a", "b", "é", "one") for t in sorted({t for h, t in rows if h == g and t is not None})[:9]}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert sampling.least_turns(frame(spark, [], "g string, t bigint"), "g", "t", 9).count() == 0
+
+
+def test_numerals_and_marks_are_no_letters(spark):
+    rows = [(i, f"words of one language {i}", "en") for i in range(9)] + [(i, f"mots de la langue {i}", "fr") for i in range(20, 29)]
+    model = language.train(frame(spark, rows))
+    odd = ["½", "²", "Ⅷ", "①", "一", "ª", "½ a", "_", "\u0301", "12 ½ %"]
+    got = language.identify(frame(spark, list(enumerate(odd))), model, ["doc_id"]).orderBy("doc_id").collect()
+    assert [r["lang_pred"] != "und" for r in got] == [False] * 4 + [True] * 3 + [False] * 3
+    assert all((r["score"] == 0) == (r["lang_pred"] == "und") and (r["lang_pred"] != "und" or r["ambiguous"]) for r in got)
+
+
+def test_decoding_against_brute_force():
+    """The codeword of least weighted log-loss, bit by bit; of several alike the first."""
+    import math
+
+    import numpy as np
+
+    random_ = np.random.default_rng(5)
+    code = language.codewords(6)
+    names = [f"l{i}" for i in range(6)]
+    width, bits = 3 << language.BITS, code.shape[1]
+    trust = random_.random(code.shape) + 0.1
+    weights, bias = random_.normal(0, 6, (width, bits)).astype("f4"), random_.normal(0, 0.3, bits).astype("f4")
+    model = language.Model(names, code, trust, weights, bias)
+    values = [b"some words", b"other words here", b"a", "é中文 ß".encode(), b"zz zz zz"]
+    got, score = model.predict(values)
+    for value, name, told in zip(values, got, score):
+        margin = (language.features([value]) @ weights + bias)[0]
+        loss = [sum(trust[k, j] * math.log1p(math.exp(-float(code[k, j]) * float(margin[j]))) for j in range(bits)) for k in range(6)]
+        assert name == names[min(range(6), key=lambda k: loss[k])]
+        assert told == pytest.approx(1 / sum(math.exp(min(loss) - v) for v in loss), rel=1e-4)
+    alike = language.Model(names[:2], np.ones((2, 1), np.int8), np.ones((2, 1)), weights[:, :1], bias[:1])
+    assert alike.predict([b"some words"])[0] == ["l0"]
+
+
+def test_quality_labels_of_other_documents_and_repeated_ids(spark, monkeypatch):
+    """Labels without a document here take no place in the sample, and an id that many rows share is one of it."""
+    good = [(i, " ".join(f"calm{(i + k) % 7} river stone" for k in range(8))) for i in range(40)]
+    bad = [(1000 + i, " ".join(f"buy{(i + k) % 7} now cheap" for k in range(8))) for i in range(40)]
+    docs = frame(spark, good + bad + [good[0]] * 2000 + [(1000, f"{bad[0][1]} {i}") for i in range(2000)])
+    labels = [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad] + [(10_000 + i, 1, 0) for i in range(5000)]
+    seen = []
+    monkeypatch.setattr(quality, "dense", lambda rows, width: seen.append(len(rows)) or dense(rows, width))
+    model = quality.train(docs, frame(spark, labels, "doc_id bigint, quality int, toxic int"), 60)
+    assert seen == [60]
+    got = quality.judge(frame(spark, good + bad), model).collect()
+    assert all(r["kept"] == (r["doc_id"] < 1000) for r in got if not r["base_failed"])
+    assert sum(not r["base_failed"] for r in got) > 70
+
+
+def test_character_grams_are_of_characters():
+    one, other = quality.features(["中文字典".encode(), "中文字典字".encode()])
+    # Two runs of three characters and one of four; a byte is no character.
+    width = 1 << quality.BITS
+    assert (one[2 * width : 3 * width] > 0).sum() == 2 and (one[3 * width :] > 0).sum() == 1
+    assert (other[2 * width : 3 * width] > 0).sum() == 3
+
+
 def test_sample_is_dealt_to_all_languages():
     assert language.dealt([1000] * 4, 400, 16_384) == 400 and language.dealt([1000] * 400, 400, 16_384) == 40
     assert language.dealt([5, 1000, 1000], 400, 100) == 47 and language.dealt([9] * 50, 400, 10) == 1
@@ -115,7 +197,7 @@ def test_sparse_fit_in_blocks():
 
     import numpy as np
 
-    from perron.llm.linear import Sparse, blocks, fit_logistic
+    from perron.llm.linear import blocks, fit_logistic
 
     x = np.random.default_rng(0).random((23, 30)).astype("f4") * (np.random.default_rng(1).random((23, 30)) < 0.3)
     places = [np.flatnonzero(r) for r in x]
