@@ -339,6 +339,13 @@ SQL = {
         select o_orderkey, date_trunc('minute', o_orderdate) as o_orderdate, o_orderpriority,
           left(o_orderpriority, 1)::bigint as priority_number
         from orders where left(o_orderpriority, 1)::bigint > 2""",
+    "file_versions": """
+        select week::int as week, true as loaded, false as loaded_again, count(*) as rows, sum(o_orderkey)::bigint as keys
+        from (values (1, 0, 2), (2, 3, 9), (3, 0, 9)) weeks(week, low, high)
+        join orders on left(o_orderpriority, 1)::bigint between low and high group by all""",
+    "star_releases": """
+        select operator_abbr, count(*) as calls, count(*) as trips_count from transport_fact
+        where not was_cancelled and operator_abbr in (select abbreviation from curated_operators) group by all""",
     "ids_over_reloads": """
         select n::bigint as load, case when n = 2 then 0 else (select count(*) from orders) end::bigint as rows,
           case when n = 2 then 0 else (select count(*) from orders) end::bigint as ids,

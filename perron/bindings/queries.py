@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.bindings.shapes import Shapes, write_cells, write_documents
+from perron.bindings.shapes import Shapes, rename_parts, write_cells, write_documents
 from perron.functions import casts, nested, text
 from perron.model.datasets import Delimited
 from perron.model.tables import CONSUMPTION, CURATED, Field, fields
@@ -391,10 +391,25 @@ def file_pickup(t: Shapes) -> DataFrame:
     dataset = Delimited("raw_orders", "daily", _order_columns())
     write_cells(_orders(t), dataset, f"{root}/landing/daily", {})
     warehouse = scratch_warehouse(t.spark, "pickup")
-    pick_up(warehouse, dataset, f"{root}/landing", f"{root}/state")
+    pick_up(warehouse, dataset, f"{root}/landing")
     return warehouse.read("raw", dataset.table)
 
 
+@query
+def file_versions(t: Shapes) -> DataFrame:
+    """Three weeks of orders land under the same file names: every new content is picked up, once."""
+    root, dataset = scratch(t.spark, "versions"), Delimited("raw_orders", "daily", _order_columns())
+    warehouse = scratch_warehouse(t.spark, "versions")
+    loads = []
+    for week, part in enumerate((F.col("priority_number") <= 2, F.col("priority_number") > 2, F.lit(True)), 1):
+        write_cells(_orders(t).where(part), dataset, f"{root}/{week}", {})
+        rename_parts(t.spark, f"{root}/{week}", f"{root}/landing/daily/stops-")
+        news = [pick_up(warehouse, dataset, f"{root}/landing") for _ in range(2)]
+        told = warehouse.read("raw", dataset.table).agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys")).first()
+        loads.append((week, *news, told["rows"], told["keys"]))
+    return t.spark.createDataFrame(loads, "week int, loaded boolean, loaded_again boolean, rows bigint, keys bigint")
+
+
 @query
 def two_days(t: Shapes) -> DataFrame:
     """Two days of orders land in one folder, each loaded and purged: the second day alone is left."""
@@ -503,6 +518,33 @@ def published(t: Shapes, *dimensions: str) -> dict[str, DataFrame]:
     return {table: warehouse.read("consumption", table) for table in ("transport_fact", *dimensions)}
 
 
+@query
+def star_releases(t: Shapes) -> DataFrame:
+    """Two releases of the star and one that fails after the fact: calls and counted calls per operator are of the second."""
+    warehouse = scratch_warehouse(t.spark, "releases")
+    running = curate(t, "curated_transport").where("not was_cancelled")
+
+    def source(table: str) -> DataFrame:
+        return running if table == "curated_transport" else curate(t, table)
+
+    publish_star(warehouse, lambda table: curate(t, table), ["operators_dim"])
+    publish_star(warehouse, source, ["operators_dim"])
+
+    def lost(table: str) -> DataFrame:
+        if table == "curated_operators":
+            raise LookupError(table)
+        return source(table).where("transit")
+
+    try:
+        publish_star(warehouse, lost, ["operators_dim"])
+    except LookupError:
+        pass
+    star = warehouse.released("consumption", ["transport_fact", "operators_dim"])
+    calls = aggregates.count_per_key(star["transport_fact"].select("operator_abbr"), "operator_abbr", "calls")
+    counted = star["operators_dim"].select("abbreviation", "trips_count").distinct()
+    return sized_join(calls, counted, "operator_abbr", "abbreviation", "inner", unique_left=True).drop("abbreviation")
+
+
 for _table in CURATED:
     QUERIES[_table] = lambda spark, folder, _table=_table: curate(Shapes(spark, folder), _table)
 

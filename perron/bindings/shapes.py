@@ -15,6 +15,7 @@ from perron.model.tables import RAW
 from perron.operators.projection import conform
 from perron.session import scratch
 from perron.sources.delimited import FORMAT
+from perron.sources.files import landed
 
 STOP_BASE = 8_500_000
 FEATURES_PER_DOCUMENT = 500
@@ -335,3 +336,14 @@ def write_documents(features: DataFrame, key: str, folder: str) -> None:
     document = F.struct(F.collect_list("feature").alias("features"))
     lines = features.groupBy(F.floor(F.col(key) / FEATURES_PER_DOCUMENT)).agg(F.to_json(document).alias("value"))
     lines.select("value").write.text(folder)
+
+
+def rename_parts(spark: SparkSession, folder: str, names: str) -> None:
+    """Moves the files that Spark wrote to a folder to names of our own, `<names>0.csv` and so on, over what lies there."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for number, path in enumerate(sorted(landed(spark, folder))):
+        target = files.Path(f"{names}{number}.csv")
+        system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(target.getParent())
+        system.delete(target, False)
+        system.rename(files.Path(path), target)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from perron.model.datasets import Delimited, Document
 from perron.model.tables import RAW
 from perron.operators.keys import with_row_id
@@ -16,15 +18,26 @@ def landing_folder(dataset: Delimited | Document, landing: str) -> str:
     return f"{landing.rstrip('/')}/{dataset.folder}"
 
 
-def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[str]) -> None:
-    """Replace a raw table by files or folders; rows that cannot be read go to its rejects."""
+def load_files(
+    warehouse: Warehouse,
+    dataset: Delimited | Document,
+    paths: list[str],
+    files: DataFrame | None = None,
+    since: frozenset[str] | None = None,
+) -> None:
+    """Replace a raw table by files or folders; rows that cannot be read go to its rejects.
+
+    `files` are the versions that the table has taken from then on, see `pick_up`; `since` is the version of the table
+    that the load began with.
+    """
     spark = warehouse.spark
+    since = warehouse.version(layers.RAW, dataset.table) if since is None else since
     if isinstance(dataset, Document):
         documents = read_documents(spark, paths, dataset.layout)
         warehouse.replace_checked(layers.RAW, dataset.staging, documents, RAW[dataset.staging])
         staged = warehouse.read(layers.RAW, dataset.staging)
         features = check_features(staged, dataset.paths, dataset.sizes, warehouse.name(layers.RAW, dataset.staging))
-        warehouse.replace_checked(layers.RAW, dataset.table, features, dataset.schema)
+        warehouse.replace_checked(layers.RAW, dataset.table, features, dataset.schema, files=files, since=since)
         return
     cells = read_delimited(spark, paths, dataset.columns, dataset.multi_line)
     checked = positional_copy(cells, dataset.columns)
@@ -33,7 +46,7 @@ def load_files(warehouse: Warehouse, dataset: Delimited | Document, paths: list[
         # Ids go on from the rows that a reload replaces.
         first = warehouse.next_id(layers.RAW, dataset.table, dataset.id_column)
         checked = with_row_id(checked, dataset.id_column, first)
-    warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema, first)
+    warehouse.replace_checked(layers.RAW, dataset.table, checked, dataset.schema, first, files, since)
 
 
 def load_dataset(warehouse: Warehouse, dataset: Delimited | Document, landing: str, purge: bool = False) -> None:

@@ -71,20 +71,21 @@ def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)
 def publish_star(
     warehouse: Warehouse, source: Callable[[str], DataFrame], dimensions: Iterable[str] = tuple(DIMENSIONS)
 ) -> None:
-    """Publish the fact, then dimensions, from curated tables given by name.
+    """Publish the fact and dimensions, from curated tables given by name, as one release.
 
-    Usage counts are those of the new fact. Its ids go on from the fact that it replaces.
+    Usage counts are those of the new fact. Its ids go on from the fact that it replaces. Readers see all tables of one
+    release or all of the next; a failure leaves the last.
     """
     first = warehouse.next_id(layers.CONSUMPTION, "transport_fact", "id")
-    fact = consumption.transport_fact(source("curated_transport"), first)
-    warehouse.replace(layers.CONSUMPTION, "transport_fact", fact, CONSUMPTION["transport_fact"], first)
-    written = warehouse.read(layers.CONSUMPTION, "transport_fact")
+    with warehouse.release(layers.CONSUMPTION, ["transport_fact", *dimensions]) as release:
+        fact = consumption.transport_fact(source("curated_transport"), first)
+        release.write("transport_fact", fact, CONSUMPTION["transport_fact"], first)
+        written = release.read("transport_fact")
 
-    def publish(table: str) -> None:
-        frame = consumption.dimension(table, source, written)
-        warehouse.replace(layers.CONSUMPTION, table, frame, CONSUMPTION[table])
+        def publish(table: str) -> None:
+            release.write(table, consumption.dimension(table, source, written), CONSUMPTION[table])
 
-    at_once(warehouse.spark, publish, dimensions)
+        at_once(warehouse.spark, publish, dimensions)
 
 
 def refresh_consumption(warehouse: Warehouse) -> None:
@@ -93,7 +94,8 @@ def refresh_consumption(warehouse: Warehouse) -> None:
 
 
 def published(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {table: warehouse.read(layers.CONSUMPTION, table) for table in CONSUMPTION}
+    """The star, all tables of one release."""
+    return warehouse.released(layers.CONSUMPTION, list(CONSUMPTION))
 
 
 def run_all(warehouse: Warehouse, landing: str, purge: bool = True) -> None:

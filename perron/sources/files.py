@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 # The columns of Spark's binary file source. Content that is not selected is not read.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+# A file as it was at a time: the same path with other content is another version. `modified` is in milliseconds.
+VERSION = "path string, length bigint, modified bigint"
 
 
 def literal(path: str) -> str:
@@ -26,16 +31,66 @@ def landed(spark: SparkSession, folder: str) -> list[str]:
     return [row["path"] for row in spark.read.format("binaryFile").load(folder).select("path").collect()]
 
 
+def versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The files in a folder as they are now, see `VERSION`; none if there is no such folder. No content is read."""
+    if not _file(spark, folder)[1].exists(_file(spark, folder)[0]):
+        return spark.createDataFrame([], VERSION)
+    files = spark.read.format("binaryFile").schema(BINARY_FILE).load(folder)
+    return files.select("path", "length", F.unix_millis("modificationTime").alias("modified"))
+
+
+def _file(spark: SparkSession, path: str):
+    """A path and its file system."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return file, file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Deletes files, in whatever file system they are. One that is gone already is no error."""
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    settings = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        file = files.Path(path)
-        file.getFileSystem(settings).delete(file, False)
+        file, system = _file(spark, path)
+        system.delete(file, False)
+
+
+def clear(spark: SparkSession, files: list[Row], archive: str | None = None) -> None:
+    """Deletes files of given versions, or moves them to the folder `archive`. A file that has changed since stays."""
+    for version in files:
+        file, system = _file(spark, version["path"])
+        if not system.exists(file):
+            continue
+        status = system.getFileStatus(file)
+        if (status.getLen(), status.getModificationTime()) != (version["length"], version["modified"]):
+            continue
+        if archive is None:
+            system.delete(file, False)
+            continue
+        folder, _ = _file(spark, archive)
+        system.mkdirs(folder)
+        # Other content under the same name is another file there.
+        place, _ = _file(spark, f"{archive.rstrip('/')}/{version['modified']}-{file.getName()}")
+        system.rename(file, place)
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file unless there is one; whether it did. Of several that try at once one does, where the file system
+    creates files in one step (local disks and HDFS do)."""
+    file, system = _file(spark, path)
+    system.mkdirs(file.getParent())
+    if system.getUri().getScheme() == "file":
+        return bool(spark.sparkContext._jvm.java.io.File(file.toUri().getPath()).createNewFile())
+    try:
+        system.create(file, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
-def arriving_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """A stream of the paths of files that come into a folder."""
-    files = spark.readStream.format("binaryFile").schema(BINARY_FILE).options(**options).load(folder)
-    return files.select("path")
+def ages(spark: SparkSession, folder: str) -> dict[str, float]:
+    """The names of the files in a folder, and how many seconds ago each was written."""
+    file, system = _file(spark, folder)
+    if not system.exists(file):
+        return {}
+    now = time.time()
+    return {s.getPath().getName(): now - s.getModificationTime() / 1000 for s in system.listStatus(file)}

@@ -1,63 +1,49 @@
-"""Files that arrive in a landing folder replace their raw table.
+"""Files that arrive in a landing folder replace their raw table, each version of a file once.
 
-A run handles all files that have come since the last one as a single batch, which must hold the whole
-snapshot, and then ends. Without new files no batch starts and the table stays as it is. A file is known
-by its path: once loaded it is not loaded again, so new content must come under a new name.
+A run takes all that has come since the last one as a single batch, which must hold the whole snapshot. A file is
+known by its path, length and time of change, so new content under an old name is new. Which versions a table has taken is a
+table of its own that is published with the snapshot, in one step: a run that fails, before or after that, leaves
+either both or none. Without new versions the table stays as it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from perron.model.datasets import DATASETS, Delimited, Document
 from perron.plans.raw import landing_folder, load_files
+from perron.sinks import warehouse as layers
 from perron.sinks.warehouse import Warehouse
-from perron.sources.files import arriving_files, literal, remove
+from perron.sources.files import VERSION, clear, literal, versions
+
+_KEY = [field.split()[0] for field in VERSION.split(", ")]
 
 
 def pick_up(
-    warehouse: Warehouse,
-    dataset: Delimited | Document,
-    landing: str,
-    state: str,
-    archive: str | None = None,
-    purge: bool = False,
+    warehouse: Warehouse, dataset: Delimited | Document, landing: str, archive: str | None = None, purge: bool = False
 ) -> bool:
     """One run over the landing folder of a dataset; whether it loaded anything.
 
-    `state` keeps which files are done and must outlive the run. With `archive`, loaded files are
-    moved there when a later run loads new ones. With `purge` they are deleted at the end of the run, after the state
-    says that they are done. The stream carries the names of the files alone; the load itself is that of a batch.
+    With `purge`, versions that the table has taken are deleted, with `archive` they are moved there; also those that an
+    earlier run took and did not come to delete. What has changed since it was taken stays for the next run. The names of
+    files come to the driver, as they do in any listing.
     """
-    options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
-    loaded: set[str] = set()
-
-    def load(batch: DataFrame, _: int) -> None:
-        # The stream itself takes names as patterns, and so names a file twice that such a pattern fits.
-        paths = {row["path"] for row in batch.collect()}
-        if paths:
-            load_files(warehouse, dataset, sorted(map(literal, paths)))
-            loaded.update(paths)
-
-    query = (
-        arriving_files(warehouse.spark, landing_folder(dataset, landing), **options)
-        .writeStream.option("checkpointLocation", f"{state.rstrip('/')}/{dataset.table}")
-        .trigger(availableNow=True)
-        .foreachBatch(load)
-        .start()
-    )
-    query.awaitTermination()
-    if purge:
-        remove(warehouse.spark, sorted(loaded))
-    return any(progress["numInputRows"] > 0 for progress in query.recentProgress)
+    spark, folder = warehouse.spark, landing_folder(dataset, landing)
+    since = warehouse.version(layers.RAW, dataset.table)
+    lying = versions(spark, folder).collect()
+    found = spark.createDataFrame(lying, VERSION)
+    taken = warehouse.files(layers.RAW, dataset.table)
+    fresh = found.join(taken, _KEY, "left_anti").collect()
+    if fresh:
+        # Versions that lie here no more cannot come again, so they need not be remembered.
+        load_files(warehouse, dataset, sorted(literal(row["path"]) for row in fresh), files=found, since=since)
+    if purge or archive:
+        clear(spark, lying, archive)
+    return bool(fresh)
 
 
 def pick_up_all(
-    warehouse: Warehouse, landing: str, frequency: str, state: str, archive: str | None = None
+    warehouse: Warehouse, landing: str, frequency: str, archive: str | None = None, purge: bool = False
 ) -> list[str]:
     """Pick up what has come of every dataset of a frequency; the tables that were replaced."""
     return [
-        dataset.table
-        for dataset in DATASETS[frequency]
-        if pick_up(warehouse, dataset, landing, state, archive)
+        dataset.table for dataset in DATASETS[frequency] if pick_up(warehouse, dataset, landing, archive, purge)
     ]

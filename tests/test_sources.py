@@ -2,6 +2,7 @@
 
 import gzip
 import json
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 import pytest
@@ -13,9 +14,10 @@ from perron.model.datasets import BY_TABLE, DATASETS, Delimited
 from perron.model.tables import RAW, fields
 from perron.plans.curated import accessibility, line_data, occupancy, parking, stop_data
 from perron.plans.raw import load_dataset
-from perron.sinks.warehouse import Warehouse
+from perron.sinks.warehouse import Conflict, Warehouse
 from perron.sources.delimited import broken_files, positional_copy, read_delimited
 from perron.sources.documents import _feature_documents, check_features, flatten_features, read_documents
+from perron.sources.files import create_new
 from perron.sources.rejects import accepted, rejects
 from perron.streaming.pickup import pick_up, pick_up_all
 
@@ -329,7 +331,7 @@ def test_pickup_equals_batch(spark, warehouse, tmp_path):
     dataset = BY_TABLE["raw_transport"]
     load_dataset(warehouse, dataset, files)
     batch, bad = rows(warehouse.read("raw", dataset.table).drop("id")), warehouse.rejects("raw", dataset.table).count()
-    assert pick_up(warehouse, dataset, files, str(tmp_path / "state"))
+    assert pick_up(warehouse, dataset, files)
     assert rows(warehouse.read("raw", dataset.table).drop("id")) == batch
     assert warehouse.rejects("raw", dataset.table).count() == bad
 
@@ -340,7 +342,7 @@ def test_pickup_loads_each_file_once(spark, warehouse, tmp_path):
     folder.mkdir()
 
     def run():
-        return pick_up(warehouse, dataset, str(tmp_path), str(tmp_path / "state"), str(done))
+        return pick_up(warehouse, dataset, str(tmp_path), str(done))
 
     (folder / "1.csv").write_text("h\n1;;x;\n2;;x;\n")
     assert run() and not run()
@@ -351,13 +353,13 @@ def test_pickup_loads_each_file_once(spark, warehouse, tmp_path):
     (folder / "3.csv").write_text("h\n4;;x;\n")
     assert run()
     assert rows(warehouse.read("raw", "raw_small"), "a") == [(4,)]
-    assert "1.csv" in {path.name for path in done.rglob("*.csv")} and not (folder / "1.csv").exists()
+    assert {path.name.split("-")[1] for path in done.rglob("*.csv")} == {"1.csv", "2.csv", "3.csv"} and not list(folder.glob("*.csv"))
 
 
 def test_pickup_of_a_frequency(spark, warehouse, tmp_path):
-    files, state = landing.write(tmp_path / "landing"), str(tmp_path / "state")
-    assert pick_up_all(warehouse, files, "monthly", state) == [d.table for d in DATASETS["monthly"]]
-    assert pick_up_all(warehouse, files, "monthly", state) == []
+    files = landing.write(tmp_path / "landing")
+    assert pick_up_all(warehouse, files, "monthly") == [d.table for d in DATASETS["monthly"]]
+    assert pick_up_all(warehouse, files, "monthly") == []
     assert warehouse.read("raw", "raw_bike_parking_data").count() == 5
     assert warehouse.read("raw", "raw_parking_data").count() == 3
 
@@ -408,10 +410,10 @@ def test_names_are_taken_as_they_stand(spark, warehouse, tmp_path):
     folder.mkdir(parents=True)
     (folder / "b[2].csv").write_text("a;b\nx;1\n")
     (folder / "b2.csv").write_text("a;b\ny;2\n")
-    assert pick_up(warehouse, dataset, str(tmp_path / "landing"), str(tmp_path / "state"))
+    assert pick_up(warehouse, dataset, str(tmp_path / "landing"))
     assert rows(warehouse.read("raw", "raw_x")) == [("x", 1), ("y", 2)]
     (folder / "c*.csv").write_text('a;b\n"z\nz";3\n')
-    assert pick_up(warehouse, dataset, str(tmp_path / "landing"), str(tmp_path / "state"))
+    assert pick_up(warehouse, dataset, str(tmp_path / "landing"))
     assert rows(warehouse.read("raw", "raw_x")) == [("z\nz", 3)]
 
 
@@ -450,6 +452,235 @@ def test_a_failed_load_purges_nothing(spark, warehouse, tmp_path, monkeypatch):
         with pytest.raises(ZeroDivisionError):
             load_dataset(warehouse, dataset, str(tmp_path), purge=True)
     assert (tmp_path / "daily" / "a.csv").exists()
-    assert pick_up(warehouse, dataset, str(tmp_path), str(tmp_path / "state"), purge=True)
+    assert pick_up(warehouse, dataset, str(tmp_path), purge=True)
     assert rows(warehouse.read("raw", "raw_days")) == [(1, "x")] and not (tmp_path / "daily" / "a.csv").exists()
-    assert not pick_up(warehouse, dataset, str(tmp_path), str(tmp_path / "state"), purge=True)
+    assert not pick_up(warehouse, dataset, str(tmp_path), purge=True)
+
+
+def small(warehouse):
+    return rows(warehouse.read("raw", "raw_small"), "a")
+
+
+def test_new_content_under_an_old_name(spark, warehouse, tmp_path):
+    dataset, folder = Delimited("raw_small", "in", COLUMNS), tmp_path / "in"
+    folder.mkdir()
+    for week in (1, 2, 3):
+        (folder / "stops.csv").write_text(f"h\n{week};;x;\n" + f"{week};;y;\n" * week)
+        assert pick_up(warehouse, dataset, str(tmp_path)) and not pick_up(warehouse, dataset, str(tmp_path))
+        assert small(warehouse) == [(week,)] * (week + 1)
+    # Only the file as it lies there now is remembered.
+    assert warehouse.files("raw", "raw_small").count() == 1
+    (folder / "stops.csv").unlink()
+    assert not pick_up(warehouse, dataset, str(tmp_path), purge=True) and small(warehouse) == [(3,)] * 4
+
+
+def test_a_kill_between_publish_and_purge(spark, warehouse, tmp_path, monkeypatch):
+    dataset, folder = Delimited("raw_small", "in", COLUMNS), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("h\n1;;x;\n")
+    with monkeypatch.context() as patch:
+        patch.setattr("perron.streaming.pickup.clear", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pick_up(warehouse, dataset, str(tmp_path), purge=True)
+    snapshots = warehouse.version("raw", "raw_small")
+    assert (folder / "a.csv").exists() and small(warehouse) == [(1,)]
+    assert not pick_up(warehouse, dataset, str(tmp_path), purge=True)
+    assert warehouse.version("raw", "raw_small") == snapshots and not (folder / "a.csv").exists()
+
+
+def test_a_kill_before_the_publish_takes_nothing(spark, warehouse, tmp_path, monkeypatch):
+    dataset, folder = Delimited("raw_small", "in", COLUMNS), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("h\n1;;x;\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_view", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pick_up(warehouse, dataset, str(tmp_path), purge=True)
+    assert (folder / "a.csv").exists() and warehouse.files("raw", "raw_small").count() == 0
+    assert pick_up(warehouse, dataset, str(tmp_path), purge=True) and small(warehouse) == [(1,)]
+
+
+def test_a_file_that_changes_while_it_is_loaded_stays(spark, warehouse, tmp_path, monkeypatch):
+    from perron.streaming import pickup
+
+    dataset, folder = Delimited("raw_small", "in", COLUMNS), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("h\n1;;x;\n")
+    load = pickup.load_files
+
+    def slow(*args, **options):
+        load(*args, **options)
+        (folder / "a.csv").write_text("h\n2;;x;\n3;;x;\n")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pickup, "load_files", slow)
+        assert pick_up(warehouse, dataset, str(tmp_path), purge=True)
+    assert (folder / "a.csv").exists() and small(warehouse) == [(1,)]
+    assert pick_up(warehouse, dataset, str(tmp_path), purge=True) and small(warehouse) == [(2,), (3,)]
+
+
+def test_batch_loads_and_additions_keep_what_was_taken(spark, warehouse, tmp_path):
+    dataset, folder = Delimited("raw_small", "in", COLUMNS), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("h\n1;;x;\n")
+    assert pick_up(warehouse, dataset, str(tmp_path))
+    load_dataset(warehouse, dataset, str(tmp_path))
+    warehouse.append("raw", "raw_small", warehouse.read("raw", "raw_small"), dataset.schema)
+    assert small(warehouse) == [(1,), (1,)] and not pick_up(warehouse, dataset, str(tmp_path))
+
+
+def test_a_folder_that_is_not_there(spark, warehouse, tmp_path):
+    assert not pick_up(warehouse, Delimited("raw_small", "none", COLUMNS), str(tmp_path), purge=True)
+
+
+def test_purge_of_a_frequency(spark, warehouse, tmp_path):
+    files = landing.write(tmp_path / "landing")
+    assert len(pick_up_all(warehouse, files, "monthly", purge=True)) == 4
+    assert not [p for p in (tmp_path / "landing" / "monthly").rglob("*.*") if p.suffix in (".csv", ".json")]
+
+
+# Loads of one table at the same time
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "a bigint")
+
+
+@pytest.mark.parametrize("second", ["replace", "append"])
+def test_one_of_two_interleaved_loads_wins(spark, warehouse, second):
+    """The first has written its snapshot, the second publishes, then the first wants to publish."""
+    warehouse.replace("raw", "t", numbers(spark, 0), "a bigint")
+    with pytest.raises(Conflict):
+        with warehouse._load("raw", "t", None) as (snapshot, publish):
+            warehouse._write("raw", "t", numbers(spark, 1), snapshot=snapshot)
+            getattr(warehouse, second)("raw", "t", numbers(spark, 2), "a bigint")
+            # The winner has dropped nothing of the load in flight.
+            assert rows(warehouse.read("raw", snapshot)) == [(1,)]
+            publish(lambda: None)
+    assert rows(warehouse.read("raw", "t")) == ([(2,)] if second == "replace" else [(0,), (2,)])
+    # The loser has left nothing, and may try again.
+    assert not warehouse.exists("raw", snapshot)
+    warehouse.replace("raw", "t", numbers(spark, 3), "a bigint")
+    assert rows(warehouse.read("raw", "t")) == [(3,)]
+
+
+def test_a_load_that_began_before_another_is_told(spark, warehouse):
+    warehouse.replace("raw", "t", numbers(spark, 0), "a bigint")
+    since = warehouse.version("raw", "t")
+    warehouse.append("raw", "t", numbers(spark, 1), "a bigint")
+    with pytest.raises(Conflict):
+        warehouse.append("raw", "t", numbers(spark, 2), "a bigint", since=since)
+    assert rows(warehouse.read("raw", "t")) == [(0,), (1,)]
+
+
+def test_loads_at_once_lose_no_row(spark, warehouse):
+    """Additions from several threads, each tried again until it is published."""
+    warehouse.replace("raw", "t", numbers(spark, 0), "a bigint")
+
+    def add(value):
+        while True:
+            try:
+                return warehouse.append("raw", "t", numbers(spark, value), "a bigint")
+            except Conflict:
+                pass
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, range(1, 7)))
+    assert rows(warehouse.read("raw", "t")) == [(n,) for n in range(7)]
+
+
+def test_claims_of_killed_loads_run_out(spark, warehouse, monkeypatch):
+    snapshot = warehouse._claim("raw", "t")
+    warehouse._write("raw", "t", numbers(spark, 1), snapshot=snapshot)
+    warehouse.replace("raw", "t", numbers(spark, 2), "a bigint")
+    assert warehouse.exists("raw", snapshot)
+    monkeypatch.setattr("perron.sinks.warehouse.CLAIMED", 0)
+    warehouse.replace("raw", "t", numbers(spark, 3), "a bigint")
+    assert not warehouse.exists("raw", snapshot)
+
+
+def test_the_lock_of_a_killed_load_is_broken(spark, warehouse, monkeypatch):
+    monkeypatch.setattr("perron.sinks.warehouse.LOCKED", -1)
+    create_new(spark, warehouse._claims("raw") + "_locks/t.lock")
+    warehouse.replace("raw", "t", numbers(spark, 2), "a bigint")
+    assert rows(warehouse.read("raw", "t")) == [(2,)]
+
+
+# Releases
+
+
+def star(warehouse):
+    """Each table's number, by single reads, by SQL and as a release: they must be the same."""
+    tables = ["fact", "dim_a", "dim_b"]
+    single = [warehouse.read("consumption", t).first()["a"] for t in tables]
+    both = warehouse.spark.sql("select " + ", ".join(f"(select max(a) from {warehouse.name('consumption', t)})" for t in tables))
+    assert single == list(both.first()) == [f.first()["a"] for f in warehouse.released("consumption", tables).values()]
+    return single
+
+
+def publish(warehouse, number, tables=("fact", "dim_a", "dim_b"), fail=None):
+    with warehouse.release("consumption", list(tables)) as release:
+        for place, table in enumerate(tables):
+            if place == fail:
+                raise ZeroDivisionError
+            release.write(table, numbers(warehouse.spark, number), "a bigint")
+        if fail == len(tables):
+            raise ZeroDivisionError
+
+
+def test_a_release_is_seen_at_once(spark, warehouse, monkeypatch):
+    publish(warehouse, 1)
+    assert star(warehouse) == [1, 1, 1]
+    publish(warehouse, 2)
+    assert star(warehouse) == [2, 2, 2]
+    for fail in range(4):
+        with pytest.raises(ZeroDivisionError):
+            publish(warehouse, 3, fail=fail)
+        assert star(warehouse) == [2, 2, 2]
+    # A failure at any of the switches: each view names what it shows in the next release, then one row is switched.
+    view = Warehouse._view
+    for good in range(4):
+        calls = iter([True] * good)
+        with monkeypatch.context() as patch:
+            patch.setattr(Warehouse, "_view", lambda *a: view(*a) if next(calls, False) else 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                publish(warehouse, 4)
+        assert star(warehouse) == [2, 2, 2]
+    publish(warehouse, 5)
+    assert star(warehouse) == [5, 5, 5]
+    names = [r["tableName"] for r in spark.sql(f"show tables in {warehouse.database('consumption')}").collect()]
+    assert sum("__" in n for n in names) == 6
+
+
+def test_a_release_of_some_tables(spark, warehouse):
+    warehouse.replace("consumption", "dim_b", numbers(spark, 7), "a bigint")
+    publish(warehouse, 1, ("fact", "dim_a"))
+    assert star(warehouse) == [1, 1, 7]
+    publish(warehouse, 2)
+    assert star(warehouse) == [2, 2, 2]
+    publish(warehouse, 3, ("fact",))
+    publish(warehouse, 4, ("fact", "dim_a"))
+    assert star(warehouse) == [4, 4, 2]
+    warehouse.replace("consumption", "dim_b", numbers(spark, 8), "a bigint")
+    assert star(warehouse) == [4, 4, 8]
+    publish(warehouse, 5)
+    assert star(warehouse) == [5, 5, 5]
+
+
+def test_one_release_reads_one_snapshot(spark, warehouse):
+    publish(warehouse, 1)
+    publish(warehouse, 2)
+    plan = warehouse.read("consumption", "fact")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Filter" not in plan.replace("Filters", "")
+
+
+def test_one_of_two_releases_wins(spark, warehouse):
+    publish(warehouse, 1)
+    with pytest.raises(Conflict):
+        with warehouse.release("consumption", ["fact"]) as release:
+            release.write("fact", numbers(spark, 3), "a bigint")
+            publish(warehouse, 2)
+    assert star(warehouse) == [2, 2, 2]
+    before = warehouse.released("consumption", ["fact", "dim_a"])
+    publish(warehouse, 4)
+    assert [f.first()["a"] for f in before.values()] == [2, 2] and star(warehouse) == [4, 4, 4]
