@@ -326,6 +326,10 @@ SQL = {
         select p_partkey as id, cast(cast(p_retailprice as varchar) as decimal(38,0))::bigint as price,
           p_size::bigint as size, null::bigint as other_size, 2::bigint as tags
         from part""",
+    "json_one_document": """
+        select p_partkey as id, cast(cast(p_retailprice as varchar) as decimal(38,0))::bigint as price,
+          p_size::bigint as size, null::bigint as other_size, 2::bigint as tags
+        from part""",
     "reject_rows": """
         select 'orders' as source_file, 'priority' as reasons, o_orderkey || '|' || o_orderpriority as cells
         from orders where o_orderstatus <> 'F'""",

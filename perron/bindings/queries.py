@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.bindings.shapes import Shapes, rename_parts, write_cells, write_documents
+from perron.bindings.shapes import Shapes, rename_parts, write_cells, write_documents, write_one_document
 from perron.functions import casts, nested, text
 from perron.model.datasets import Delimited
 from perron.model.tables import CONSUMPTION, CURATED, Field, fields
@@ -320,25 +320,38 @@ def array_get(t: Shapes) -> DataFrame:
 @query
 def json_document(t: Shapes) -> DataFrame:
     """Documents written from parts, read back and flattened."""
+    folder = scratch(t.spark, "json-document")
+    write_documents(_part_features(t), "key", folder)
+    return flatten_features(accepted(read_documents(t.spark, folder, "lines")), _PART_PATHS, sizes=("tags",))
+
+
+@query
+def json_one_document(t: Shapes) -> DataFrame:
+    """All parts in one document over many lines, read in splits."""
+    folder = scratch(t.spark, "json-one-document")
+    write_one_document(_part_features(t), "key", folder)
+    return flatten_features(accepted(read_documents(t.spark, folder, split_from=0)), _PART_PATHS, sizes=("tags",))
+
+
+_PART_PATHS = {
+    "id": "$.properties.id",
+    "price": "$.properties.price",
+    "size": "$.properties.capacities[0].total",
+    "other_size": "$.properties.capacities[1].total",
+    "tags": "$.properties.tags",
+}
+
+
+def _part_features(t: Shapes) -> DataFrame:
     properties = F.struct(
         F.col("p_partkey").alias("id"),
         F.col("p_retailprice").alias("price"),
         F.array(F.struct(F.col("p_size").alias("total"))).alias("capacities"),
         F.array("p_brand", "p_type").alias("tags"),
     )
-    features = t.table("part").select(
+    return t.table("part").select(
         F.col("p_partkey").alias("key"), F.struct(properties.alias("properties")).alias("feature")
     )
-    folder = scratch(t.spark, "json-document")
-    write_documents(features, "key", folder)
-    paths = {
-        "id": "$.properties.id",
-        "price": "$.properties.price",
-        "size": "$.properties.capacities[0].total",
-        "other_size": "$.properties.capacities[1].total",
-        "tags": "$.properties.tags",
-    }
-    return flatten_features(accepted(read_documents(t.spark, folder, "lines")), paths, sizes=("tags",))
 
 
 # Landing files

@@ -347,3 +347,17 @@ def rename_parts(spark: SparkSession, folder: str, names: str) -> None:
         system.mkdirs(target.getParent())
         system.delete(target, False)
         system.rename(files.Path(path), target)
+
+
+def write_one_document(features: DataFrame, key: str, folder: str) -> None:
+    """Write features as one document in one file, a line for each, in the order of their keys."""
+    first = features.agg(F.min(key).alias("first"))
+    lines = features.join(F.broadcast(first)).select(
+        F.lit(1).alias("place"), key,
+        F.concat(F.when(F.col(key) == F.col("first"), "").otherwise(", "), F.to_json("feature")).alias("value"),
+    )
+    around = features.sparkSession.createDataFrame(
+        [(0, None, '{"type": "FeatureCollection", "links": [{"features": [{}]}], "features": ['), (2, None, ']}')],
+        f"place int, {key} bigint, value string",
+    )
+    lines.unionByName(around).repartition(1).sortWithinPartitions("place", key).select("value").write.text(folder)

@@ -32,11 +32,15 @@ LOOKED_AT = 10_000
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
+def size_in_bytes(setting: str) -> int:
+    """A size as Spark's settings write it, `10m` or `128MB`."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) * _UNITS[unit]
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """`spark.sql.autoBroadcastJoinThreshold` in bytes; 0 or less means: do not broadcast."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", text).groups()
-    return int(number) * _UNITS[unit]
+    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def fits_broadcast(frame: DataFrame, limit: int | None = None) -> bool:

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.functions.nested import explode_path, size_at, unreadable_at, whole_at
+from perron.operators.joins import size_in_bytes
+from perron.sources.collections import split_documents
+from perron.sources.files import literal
 from perron.sources.rejects import CELLS, REASONS, REJECTED, SOURCE, accepted
 
 
 BYTE_ORDER_MARK = "\ufeff"
+# The ends of names of files that are read as one stream.
+COMPRESSED = (".gz", ".bz2", ".deflate", ".snappy", ".lz4", ".zst")
 
 
 def _bracketed(text: Column) -> Column:
@@ -61,11 +66,35 @@ def parse_documents(texts: DataFrame, layout: str = "document") -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str], layout: str = "document") -> DataFrame:
+def read_documents(
+    spark: SparkSession, paths: str | list[str], layout: str = "document", split_from: int | None = None
+) -> DataFrame:
     """The documents of files or folders, see `parse_documents`.
 
-    With layout `document` a file is read whole by one task; `lines` lets it be split among tasks.
+    With layout `document` a file is read whole by one task, unless it is not compressed and longer than `split_from` bytes (by
+    default a split of Spark's readers): then its features are read by as many tasks as it has splits, with a row for each, from
+    which `flatten_features` reads the same. A file that `split_documents` cannot read so is read whole after all.
+    `lines` lets any file be split among tasks.
     """
+    paths = [paths] if isinstance(paths, str) else paths
+    if layout != "document":
+        return _read_texts(spark, paths, layout)
+    limit = size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) if split_from is None else split_from
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias(SOURCE), "path", "length")
+    files = {row[SOURCE]: (literal(row["path"]), row["length"]) for row in listed.collect()}
+    large = [uri for uri, (path, length) in files.items() if length > limit and not path.endswith(COMPRESSED)]
+    if not large:
+        return _read_texts(spark, paths, layout)
+    features, others = split_documents(spark, [files[uri][0] for uri in large])
+    split = features.select(
+        "json_data", F.lit(False).alias(REJECTED), F.lit(None).cast("array<string>").alias(REASONS),
+        F.lit(None).cast("array<string>").alias(CELLS), F.lit(None).cast("string").alias(SOURCE),
+    )
+    whole = [path for uri, (path, _) in files.items() if uri not in large or uri in others]
+    return split.unionByName(_read_texts(spark, whole, layout)) if whole else split
+
+
+def _read_texts(spark: SparkSession, paths: list[str], layout: str) -> DataFrame:
     texts = spark.read.text(paths, wholetext=layout == "document")
     return parse_documents(texts.select("value", F.col("_metadata.file_path").alias(SOURCE)), layout)
 

@@ -4,6 +4,7 @@ import gzip
 import json
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from perron.model.tables import RAW, fields
 from perron.plans.curated import accessibility, line_data, occupancy, parking, stop_data
 from perron.plans.raw import load_dataset
 from perron.sinks.warehouse import Conflict, Warehouse
+from perron.sources.collections import _pieces, split_documents
 from perron.sources.delimited import broken_files, positional_copy, read_delimited
 from perron.sources.documents import _feature_documents, check_features, flatten_features, read_documents
-from perron.sources.files import create_new
+from perron.sources.files import create_new, literal
 from perron.sources.rejects import accepted, rejects
 from perron.streaming.pickup import pick_up, pick_up_all
 
@@ -107,7 +109,7 @@ def test_files_with_line_breaks_are_read_in_splits(spark, tmp_path):
         cell = [f"x{i}", f"a{i}\nb", f'p{i}""\n\nq', f"long{i}\n" * 9][i % 4]
         text += f'{i};;"{cell}";1\n' if i % 4 else f"{i};;{cell};1\n"
         wanted.append((i, cell.replace('""', '"'), True))
-    with conf(spark, "spark.sql.files.maxPartitionBytes", "700"), conf(spark, "spark.sql.files.openCostInBytes", "0"):
+    with conf(spark, "spark.sql.files.maxPartitionBytes", "700"), conf(spark, "spark.sql.files.openCostInBytes", "1"):
         got = read(spark, tmp_path, text)
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
         assert sorted(rows(accepted(got))) == wanted and rejects(got).isEmpty()
@@ -684,3 +686,60 @@ def test_one_of_two_releases_wins(spark, warehouse):
     before = warehouse.released("consumption", ["fact", "dim_a"])
     publish(warehouse, 4)
     assert [f.first()["a"] for f in before.values()] == [2, 2] and star(warehouse) == [4, 4, 4]
+
+
+# One document read by many tasks
+
+PROPERTIES = ['a}b', "x{", '"q"', "back\\", "[[", '\\"}', "é}", '],"features":[', ""]
+FEATURES = [
+    {"type": "Feature", "properties": {"uic": i, "name": PROPERTIES[i % 9], "features": [1, {"features": [2]}], "in": [{"b": [{"c": i}]}]}}
+    for i in range(150)
+]
+COLLECTION = {"type": "FeatureCollection", "crs": {"n": {"features": []}}, "links": [{"a": 1}, {"b": "]"}], "features": FEATURES,
+              "after": {"x": [{"y": 1}], "features": [3]}, "more": [{"z": "}"}]}
+PATHS = {"uic": "$.properties.uic", "c": "$.properties.in[0].b[0].c"}
+FLAT = json.dumps(COLLECTION)
+READ_SPLIT = {
+    "pretty": json.dumps(COLLECTION, indent=2), "flat": FLAT, "list": json.dumps([COLLECTION], indent=1) + "\n",
+    "mark": "﻿" + json.dumps(COLLECTION, ensure_ascii=False), "blanks": FLAT + " \r\n\t", "dense": FLAT.replace(" ", ""),
+    "one": json.dumps({"features": FEATURES[:1]}), "empty_objects": json.dumps({"features": [{}, {}]}),
+}
+READ_WHOLE = {
+    "cut": FLAT[:-1], "two": json.dumps([COLLECTION, COLLECTION]), "no_comma": FLAT.replace('}, {"type"', '} {"type"', 1),
+    "comma": FLAT.replace('"features": [{"type"', '"features": [, {"type"', 1), "lines": FLAT + "\n" + FLAT, "none": '{"features": []}',
+    "other": '{"a": 1}', "numbers": '{"features": [1, 2]}', "trailing": FLAT + " x", "twice": FLAT[:-1] + ', "features": [{"a": 1}]}',
+    "mixed": '{"features": [{"a": 1}, 2]}', "quote": FLAT.replace("FeatureC", 'Feature"C'), "nothing": "", "word": "no json",
+}
+
+
+@contextmanager
+def short_splits(spark, size):
+    with conf(spark, "spark.sql.files.maxPartitionBytes", str(size)), conf(spark, "spark.sql.files.openCostInBytes", "1"):
+        yield
+
+
+def test_one_document_in_splits(spark, tmp_path):
+    for name, text in {**READ_SPLIT, **READ_WHOLE}.items():
+        (tmp_path / f"{name}[1].json").write_text(text, encoding="utf-8")
+
+    def told(**options):
+        read = read_documents(spark, str(tmp_path), **options)
+        return rows(flatten_features(accepted(read), PATHS)), rejects(read).count()
+
+    expected = told(split_from=1 << 30)
+    with short_splits(spark, 1500):
+        _, others = split_documents(spark, [literal(str(path)) for path in tmp_path.iterdir()])
+        assert {unquote(uri).rsplit("/", 1)[1] for uri in others} == {f"{name}[1].json" for name in READ_WHOLE if READ_WHOLE[name]}
+        assert told(split_from=0) == expected
+    assert expected[0].count((149, 149)) >= len(READ_SPLIT) - 2 and expected[1] > 5
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "a.json").write_text(READ_SPLIT["dense"])
+    (tmp_path / "b.json").write_text(json.dumps({"features": FEATURES[:2]}))
+    with short_splits(spark, 1500):
+        read_by = _pieces(spark, [str(tmp_path / "a.json")]).groupBy(F.spark_partition_id()).count().collect()
+        assert len(read_by) > 10 and max(r["count"] for r in read_by) < 150
+        # The setting decides which files are split: one of the two is.
+        documents = read_documents(spark, str(tmp_path))
+        assert documents.count() == 150 + 1 and flatten_features(accepted(documents), PATHS).count() == 152
