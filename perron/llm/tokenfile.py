@@ -165,8 +165,9 @@ _DIGEST = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n_tokens", "i
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            bounds, levels = row["bounds"], (row["chunks"], row["bitmaps"], row["ranks"])
-            crcs = [zlib.crc32(access_range(*levels, a, b).astype("<u4")) for a, b in zip(bounds, bounds[1:])]
+            bounds = row["bounds"]
+            ids = access_range(row["chunks"], row["bitmaps"], row["ranks"], 0, row["n"]).astype("<u4")
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
             starts = [row["start"] + a for a in bounds[:-1]]
             counts = [b - a for a, b in zip(bounds, bounds[1:])]
             columns = [pa.array(c, pa.int64()) for c in (row["doc_ids"], starts, counts, crcs)]
