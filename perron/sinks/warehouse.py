@@ -348,8 +348,16 @@ class Warehouse:
         return f"select {', '.join(f'`{name}`' for name in columns)} from {self.name(layer, source)}"
 
     def _view(self, layer: str, view: str, select: str, first_id: int | None = None) -> None:
-        properties = "" if first_id is None else f"tblproperties ('{FIRST_ID}' = '{first_id}') "
-        self.spark.sql(f"create or replace view {self.name(layer, view)} {properties}as {select}")
+        """Points a view at something else in one step; replacing it would take it away for a moment."""
+        name = self.name(layer, view)
+        if not self.exists(layer, view):
+            properties = "" if first_id is None else f"tblproperties ('{FIRST_ID}' = '{first_id}') "
+            self.spark.sql(f"create or replace view {name} {properties}as {select}")
+            return
+        if first_id is not None:
+            # Before the rows are seen: ids may only go up.
+            self.spark.sql(f"alter view {name} set tblproperties ('{FIRST_ID}' = '{first_id}')")
+        self.spark.sql(f"alter view {name} as {select}")
 
     def _drop_old(self, layer: str, table: str, snapshot: str, before: set[str]) -> None:
         """What was seen before the new snapshot stays for readers that have begun, and as part of what is appended to.
