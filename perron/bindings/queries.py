@@ -13,11 +13,12 @@ from perron.model.datasets import Delimited
 from perron.model.tables import CONSUMPTION, CURATED, Field, fields
 from perron.operators import aggregates, keys, projection, quality
 from perron.operators.joins import sized_join, star_join
+from perron.operators.summaries import settled
 from perron.plans import consumption, curated
 from perron.plans.raw import load_dataset
 from perron.plans.refresh import DIMENSIONS, publish_star
 from perron.session import scratch
-from perron.sinks.warehouse import Warehouse
+from perron.sinks.warehouse import Tables, Warehouse
 from perron.sources.delimited import positional_copy
 from perron.sources.documents import flatten_features, read_documents
 from perron.sources.rejects import SOURCE, accepted, rejects
@@ -50,15 +51,17 @@ def star_join_revenue(t: Shapes) -> DataFrame:
 def revenue_by(t: Shapes, *groups: str) -> DataFrame:
     regions = t.table("region").select("r_regionkey", "r_name")
     nations = star_join(t.table("nation").select("n_nationkey", "n_regionkey"), [("n_regionkey", regions, "r_regionkey")])
+    # What joins give is computed once, and what is known of it since then lays out the joins above.
+    nations, of_nations = settled(nations.select("n_nationkey", "r_name"), "nations", "n_nationkey")
     customers = star_join(
-        t.table("customer").select("c_custkey", "c_nationkey"),
-        [("c_nationkey", nations.select("n_nationkey", "r_name"), "n_nationkey")],
+        t.table("customer").select("c_custkey", "c_nationkey"), [("c_nationkey", nations, "n_nationkey", of_nations)]
     )
+    customers, of_customers = settled(customers.select("c_custkey", "r_name"), "customers", "c_custkey")
     # Orders meet customers first, so that the fact meets only keys of its own.
     orders = star_join(
-        t.table("orders").select("o_orderkey", "o_custkey"),
-        [("o_custkey", customers.select("c_custkey", "r_name"), "c_custkey")],
+        t.table("orders").select("o_orderkey", "o_custkey"), [("o_custkey", customers, "c_custkey", of_customers)]
     )
+    orders, of_orders = settled(orders.select("o_orderkey", "r_name"), "orders", "o_orderkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)") * (
         F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
     ).cast("decimal(4,2)")
@@ -67,7 +70,7 @@ def revenue_by(t: Shapes, *groups: str) -> DataFrame:
         [
             ("l_partkey", t.table("part").select("p_partkey", "p_brand"), "p_partkey"),
             ("l_suppkey", t.table("supplier").select("s_suppkey", "s_nationkey"), "s_suppkey"),
-            ("l_orderkey", orders.select("o_orderkey", "r_name"), "o_orderkey"),
+            ("l_orderkey", orders, "o_orderkey", of_orders),
         ],
     )
     return flat.groupBy(*groups).agg(
@@ -524,11 +527,11 @@ def fact(t: Shapes) -> DataFrame:
     return consumption.transport_fact(curate(t, "curated_transport"))
 
 
-def published(t: Shapes, *dimensions: str) -> dict[str, DataFrame]:
+def published(t: Shapes, *dimensions: str) -> Tables:
     """The fact and some dimensions as tables, which is how they are read in use."""
     warehouse = scratch_warehouse(t.spark, "star")
     publish_star(warehouse, lambda table: curate(t, table), dimensions)
-    return {table: warehouse.read("consumption", table) for table in ("transport_fact", *dimensions)}
+    return warehouse.released("consumption", ["transport_fact", *dimensions])
 
 
 @query
@@ -604,6 +607,7 @@ def calls_by_surroundings(t: Shapes) -> DataFrame:
             "municipality_dim": ["municipality"],
             "parking_dim": ["capacity_bike"],
         },
+        tables.known,
     )
     return flat.groupBy(
         F.col("business_types_dim_business_type_de").alias("business_type"),

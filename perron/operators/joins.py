@@ -15,20 +15,18 @@ can miss it in some pieces; those unmatched copies are known by their piece numb
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_ROWS = 1_000_000
+from perron.operators.summaries import HOT_ROWS, KEPT, LOOKED_AT, Summary
 
 # Pieces per fair share of rows: small ones, of which several may meet in a partition by chance.
 PIECES = 4
 
-# Rows of a just hot key that the look for hot keys comes across.
-LOOKED_AT = 10_000
-
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -43,11 +41,14 @@ def broadcast_limit(spark: SparkSession) -> int:
     return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
-def fits_broadcast(frame: DataFrame, limit: int | None = None) -> bool:
-    """Measures whether the rows stay below `limit` bytes as a hash table, in one pass over them."""
+def fits_broadcast(frame: DataFrame, limit: int | None = None, known: Summary | None = None) -> bool:
+    """Whether the rows stay below `limit` bytes as a hash table: by their summary, else measured in one pass over them."""
     limit = broadcast_limit(frame.sparkSession) if limit is None else limit
     if limit <= 0:
         return False
+    size = known.size(frame.columns) if known else None
+    if size is not None:
+        return size <= limit
     fixed = 24 + 8 * len(frame.columns)
     widths = [_width(field) for field in frame.schema if not _is_fixed(field.dataType)]
     if not widths:
@@ -68,15 +69,21 @@ def _width(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(column) + F.lit(8), F.lit(0))
 
 
-def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
+def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS, known: Summary | None = None) -> dict:
     """Keys with more rows than a fair share of a shuffle partition, and how often to cut each.
 
     At most as many keys as there are shuffle partitions can exceed that share, which bounds the
     answer. NULL is listed like any key. Counts are estimates: the answer says how to lay a join out
     and never what is in it, so some of the keys are enough to tell, about ten thousand for a key
-    that just counts as hot.
+    that just counts as hot. With a summary that can tell, nothing is read.
     """
     partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if known:
+        if known.rows <= hot_rows:
+            return {}
+        fair = max(hot_rows, known.rows / partitions)
+        if key in known.keys and fair >= known.rows / KEPT:
+            return {value: math.ceil(rows / fair * PIECES) for value, rows in known.keys[key].items() if rows > fair}
     part = min(1.0, LOOKED_AT / hot_rows)
     keys = frame.select(F.col(key).alias("key"))
     looked_at = keys.sample(part, seed=17) if part < 1 else keys
@@ -136,13 +143,16 @@ def sized_join(
     measure: bool = True,
     left_like: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    left_known: Summary | None = None,
+    right_known: Summary | None = None,
 ) -> DataFrame:
     """Join on one key; `how` is inner, left, full or left_anti. Gives all columns of both sides.
 
     `unique_left` and `unique_right` say that a side has one row per key and needs no look for hot
     keys. `measure=False` skips the look at the size of the right side, for one that is costly to
     compute twice. `left_like` is a cheaper frame in which the left key is spread alike, to look for
-    hot keys in. None of them changes the result. Column names must differ between the sides.
+    hot keys in. The summaries are those of the left side, or of what is like it, and of the right side as they were written;
+    a side that has one is not read to be measured. None of them changes the result. Column names must differ between the sides.
     """
     if how not in ("inner", "left", "full", "left_anti"):
         raise ValueError(f"unknown join: {how}")
@@ -159,7 +169,7 @@ def sized_join(
 
     on = F.col(left_key) == F.col(right_key)
     if how != "full" and measure:
-        if fits_broadcast(right):
+        if fits_broadcast(right, known=right_known):
             return left.join(F.broadcast(right), on, how)
         # Else the planner may broadcast it after all, by the size of its compressed files.
         right = right.hint("merge")
@@ -167,8 +177,9 @@ def sized_join(
     if how == "left_anti":
         right, unique_right = right.distinct(), True
         right = right.hint("merge") if measure else right
-    hot_left = {} if unique_left else hot_keys(left if left_like is None else left_like, left_key, hot_rows)
-    hot_right = {} if unique_right else hot_keys(right, right_key, hot_rows)
+    looked_at = left if left_like is None else left_like
+    hot_left = {} if unique_left else hot_keys(looked_at, left_key, hot_rows, left_known)
+    hot_right = {} if unique_right else hot_keys(right, right_key, hot_rows, right_known)
     # NULL keys that stay in the result need a place. What stands for the left side may have fewer.
     cut_left = bool(hot_left) or how == "full" or (how == "left" and left_like is not None)
     cut_right = bool(hot_right) or how == "full"
@@ -198,15 +209,21 @@ def sized_join(
 
 
 def star_join(
-    fact: DataFrame, edges: list[tuple[str, DataFrame, str]], hot_rows: int = HOT_ROWS
+    fact: DataFrame,
+    edges: list[tuple[str, DataFrame, str] | tuple[str, DataFrame, str, Summary | None]],
+    hot_rows: int = HOT_ROWS,
+    known: Summary | None = None,
 ) -> DataFrame:
-    """The fact left-joined to each dimension; an edge is (fact column, dimension, dimension key).
+    """The fact left-joined to each dimension; an edge is (fact column, dimension, dimension key[, dimension summary]).
 
     A column that a dimension has brought in can lead on to the next. Hot keys of the fact's own
-    columns are looked for in the fact as it came, not behind the joins before.
+    columns are looked for in the fact as it came, not behind the joins before. `known` is the summary of the fact.
     """
     joined = fact
-    for column, dimension, key in edges:
-        own = fact if column in fact.columns and joined is not fact else None
-        joined = sized_join(joined, dimension, column, key, "left", left_like=own, hot_rows=hot_rows)
+    for column, dimension, key, *summary in edges:
+        own = column in fact.columns
+        joined = sized_join(
+            joined, dimension, column, key, "left", left_like=fact if own and joined is not fact else None,
+            hot_rows=hot_rows, left_known=known if own else None, right_known=summary[0] if summary else None,
+        )
     return joined

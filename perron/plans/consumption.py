@@ -12,7 +12,7 @@ from perron.operators.joins import HOT_ROWS, star_join
 from perron.operators.keys import with_row_id
 from perron.operators.projection import conform, drop_null_keys
 from perron.operators.quality import constraint_report
-from perron.session import scratch
+from perron.operators.summaries import Summary, settled
 
 # Dimensions that are their curated table less the rows without a key.
 PLAIN_DIMENSIONS = {
@@ -65,19 +65,24 @@ def violations(published: dict[str, DataFrame]) -> DataFrame:
     return constraint_report(published, PRIMARY_KEYS, UNIQUE_KEYS, FOREIGN_KEYS)
 
 
-def flat_view(published: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+def flat_view(
+    published: dict[str, DataFrame], columns: dict[str, list[str]], known: dict[str, Summary | None] | None = None
+) -> DataFrame:
     """The fact with columns of the dimensions around it, along the declared foreign keys.
 
     `columns` lists what to take from each dimension; the result calls them `<dimension>_<column>`.
     Dimensions of dimensions are joined to these first, so the fact is joined to four at most. Such a join is
-    written to the shared folder once, as its size, its hot keys and the fact all ask for it.
+    written to the shared folder once. `known` are summaries of the tables, as `Tables` has them: a table that has one is
+    read only by the join itself, one without is read before to be measured.
     """
+    known = known or {}
 
-    def edges(child: str) -> list[tuple[str, DataFrame, str]]:
+    def edges(child: str) -> list[tuple[str, DataFrame, str, Summary | None]]:
         found = []
         for table, key, parent, parent_key in FOREIGN_KEYS:
             if table == child and wanted(parent):
-                found.append((column_of(child, key), extended(parent), f"__{parent}_key"))
+                dimension, summary = extended(parent)
+                found.append((column_of(child, key), dimension, f"__{parent}_key", summary))
         return found
 
     def wanted(table: str) -> bool:
@@ -87,20 +92,20 @@ def flat_view(published: dict[str, DataFrame], columns: dict[str, list[str]]) ->
     def column_of(table: str, key: str) -> str:
         return key if table == "transport_fact" else f"__{table}_{key}_fk"
 
-    def extended(table: str) -> DataFrame:
+    def extended(table: str) -> tuple[DataFrame, Summary | None]:
         frame = published[table]
         keys = [key for child, key, parent, _ in FOREIGN_KEYS if child == table and wanted(parent)]
-        picked = frame.select(
-            frame[PRIMARY_KEYS[table]].alias(f"__{table}_key"),
-            *[frame[key].alias(column_of(table, key)) for key in dict.fromkeys(keys)],
-            *[frame[name].alias(f"{table}_{name}") for name in columns.get(table, [])],
-        )
+        key = f"__{table}_key"
+        names = {key: PRIMARY_KEYS[table]}
+        names |= {column_of(table, name): name for name in keys}
+        names |= {f"{table}_{name}": name for name in columns.get(table, [])}
+        picked = frame.select(*[frame[old].alias(new) for new, old in names.items()])
+        summary = known.get(table)
+        summary = summary and summary.renamed(names)
         below = edges(table)
         if not below:
-            return picked
-        spark, folder = picked.sparkSession, scratch(picked.sparkSession, table)
-        star_join(picked, below).write.parquet(folder)
-        return spark.read.parquet(folder)
+            return picked, summary
+        return settled(star_join(picked, below, known=summary), table, key)
 
-    flat = star_join(published["transport_fact"], edges("transport_fact"))
+    flat = star_join(published["transport_fact"], edges("transport_fact"), known=known.get("transport_fact"))
     return flat.select(*[name for name in flat.columns if not name.startswith("__")])

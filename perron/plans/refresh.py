@@ -10,17 +10,24 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from perron.model.datasets import DATASETS
-from perron.model.tables import CONSUMPTION, CURATED, RAW
+from perron.model.tables import CONSUMPTION, CURATED, FOREIGN_KEYS, PRIMARY_KEYS, RAW
 from perron.plans import consumption, curated
 from perron.plans.raw import load_dataset
 from perron.sinks import warehouse as layers
-from perron.sinks.warehouse import Warehouse
+from perron.sinks.warehouse import Tables, Warehouse
 
 T = TypeVar("T")
 
 DIMENSIONS = [table for table in CONSUMPTION if table != "transport_fact"]
 
 
+def join_keys(table: str) -> list[str]:
+    """The columns by which a published table is joined: what refers to others, and what others refer to."""
+    above = [key for child, key, _, _ in FOREIGN_KEYS if child == table]
+    referred = [parent_key for _, _, parent, parent_key in FOREIGN_KEYS if parent == table]
+    return list(dict.fromkeys(above + referred))
+
+
 def at_once(spark: SparkSession, work: Callable[[T], None], tables: Iterable[T], jobs: int = 4) -> None:
     """Tables that do not depend on each other, a few at a time; the first failure is raised.
 
@@ -79,11 +86,12 @@ def publish_star(
     first = warehouse.next_id(layers.CONSUMPTION, "transport_fact", "id")
     with warehouse.release(layers.CONSUMPTION, ["transport_fact", *dimensions]) as release:
         fact = consumption.transport_fact(source("curated_transport"), first)
-        release.write("transport_fact", fact, CONSUMPTION["transport_fact"], first)
+        release.write("transport_fact", fact, CONSUMPTION["transport_fact"], first, join_keys("transport_fact"))
         written = release.read("transport_fact")
 
         def publish(table: str) -> None:
-            release.write(table, consumption.dimension(table, source, written), CONSUMPTION[table])
+            frame = consumption.dimension(table, source, written)
+            release.write(table, frame, CONSUMPTION[table], keys=join_keys(table))
 
         at_once(warehouse.spark, publish, dimensions)
 
@@ -93,8 +101,8 @@ def refresh_consumption(warehouse: Warehouse) -> None:
     publish_star(warehouse, lambda table: warehouse.read(layers.CURATED, table))
 
 
-def published(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """The star, all tables of one release."""
+def published(warehouse: Warehouse) -> Tables:
+    """The star, all tables of one release, with what is known of them."""
     return warehouse.released(layers.CONSUMPTION, list(CONSUMPTION))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from perron.operators.keys import next_id
 from perron.operators.projection import conform, layout
-from perron.sources.files import VERSION, ages, create_new, remove
+from perron.operators.summaries import Summary, merged, write_summarised
+from perron.sources.files import VERSION, ages, create_new, read_text, remove, write_text
 from perron.sources.rejects import REJECT_COLUMNS, REJECTED
 
 RAW, CURATED, CONSUMPTION = "raw", "curated", "consumption"
@@ -232,6 +233,7 @@ class Warehouse:
     def _drop(self, layer: str, snapshot: str) -> None:
         for name in (snapshot, snapshot + FILES):
             self.spark.sql(f"drop table if exists {self.name(layer, name)}")
+        remove(self.spark, [self._summary(layer, snapshot)])
 
     @contextmanager
     def release(self, layer: str, tables: list[str]) -> Iterator[Release]:
@@ -261,16 +263,31 @@ class Warehouse:
         for table, (snapshot, _) in release.written.items():
             self._drop_old(layer, table, snapshot, kept[table])
 
-    def released(self, layer: str, tables: list[str]) -> dict[str, DataFrame]:
+    def released(self, layer: str, tables: list[str]) -> Tables:
         """Tables of one and the same release, also if another is published meanwhile."""
         while True:
             number = self._release_number(layer)
             texts = {table: self._branches(layer, table) for table in tables}
             if all(number in branches or not branches for branches in texts.values()):
-                return {
-                    table: self.spark.sql(branches[number]) if branches else self.read(layer, table)
+                found = Tables(
+                    (table, self.spark.sql(branches[number]) if branches else self.read(layer, table))
                     for table, branches in texts.items()
+                )
+                found.known = {
+                    table: self._known(layer, table, branches[number]) for table, branches in texts.items() if branches
                 }
+                return found
+
+    def _summary(self, layer: str, snapshot: str) -> str:
+        return f"{self.root}/_summaries/{self.database(layer)}/{snapshot}"
+
+    def _known(self, layer: str, table: str, select: str) -> Summary | None:
+        """The summary of all rows of the snapshots that a text names."""
+        texts = [
+            read_text(self.spark, self._summary(layer, snapshot))
+            for snapshot in re.findall(rf"\b{re.escape(table)}__\d+", select)
+        ]
+        return merged([text and Summary.from_json(text) for text in texts])
 
     def _release_number(self, layer: str) -> int:
         if not self.exists(layer, RELEASE):
@@ -382,12 +399,31 @@ class Release:
         self.written: dict[str, tuple[str, int | None]] = {}
         self.published = False
 
-    def write(self, table: str, frame: DataFrame, schema: str, first_id: int | None = None) -> None:
-        """The rows are the content of the table in this release, matched to `schema` by name; `first_id` as for `replace`."""
-        snapshot = self.warehouse._claim(self.layer, table)
+    def write(
+        self, table: str, frame: DataFrame, schema: str, first_id: int | None = None, keys: Iterable[str] = ()
+    ) -> None:
+        """The rows are the content of the table in this release, matched to `schema` by name; `first_id` as for `replace`.
+
+        What is known of them afterwards is kept beside the snapshot, see `write_summarised`; `keys` are the columns by
+        which the table is joined.
+        """
+        warehouse, layer = self.warehouse, self.layer
+        snapshot = warehouse._claim(layer, table)
         self.written[table] = snapshot, first_id
-        self.warehouse._write(self.layer, table, conform(frame, schema), snapshot=snapshot)
+
+        def write(rows: DataFrame) -> DataFrame:
+            warehouse._write(layer, table, rows, snapshot=snapshot)
+            return self.read(table)
+
+        _, known = write_summarised(conform(frame, schema), write, keys)
+        write_text(warehouse.spark, warehouse._summary(layer, snapshot), known.to_json())
 
     def read(self, table: str) -> DataFrame:
         """The table as this release has it."""
         return self.warehouse.read(self.layer, self.written[table][0])
+
+
+class Tables(dict[str, DataFrame]):
+    """Tables by name, and what has been known of them since they were written, where that was kept."""
+
+    known: dict[str, Summary | None] = {}

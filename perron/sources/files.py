@@ -87,6 +87,28 @@ def create_new(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with a text, in place of any that is there."""
+    file, system = _file(spark, path)
+    stream = system.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is no such file."""
+    file, system = _file(spark, path)
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def ages(spark: SparkSession, folder: str) -> dict[str, float]:
     """The names of the files in a folder, and how many seconds ago each was written."""
     file, system = _file(spark, folder)
