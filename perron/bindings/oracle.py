@@ -368,6 +368,9 @@ SQL = {
         select * replace (trim(final_destination) as final_destination)
         from (select * replace ('L' || (substr(slnid, 12)::bigint // 2) as line_id) from curated_line_data)
         qualify row_number() over (partition by line_id order by slnid) = 1""",
+    "calls_of_a_month": """
+        select date, operator_abbr, count(*) as calls, count(*) filter (was_cancelled) as cancelled from transport_fact
+        where date between date '1998-03-01' and date '1998-03-31' group by all""",
     "calls_by_surroundings": """
         select business_type_de as business_type, t.international, m.municipality, count(*) as calls,
           count(*) filter (f.was_cancelled) as cancelled, sum(p.capacity_bike)::bigint as bike_places

@@ -592,6 +592,15 @@ def constraint_violations(t: Shapes) -> DataFrame:
     return consumption.violations(published(t, *DIMENSIONS))
 
 
+@query
+def calls_of_a_month(t: Shapes) -> DataFrame:
+    """Stop calls per day and operator in one month of the published fact, which lies in ranges of days."""
+    calls = published(t)["transport_fact"].where("date between date'1998-03-01' and date'1998-03-31'")
+    return calls.groupBy("date", "operator_abbr").agg(
+        F.count(F.lit(1)).alias("calls"), F.count_if("was_cancelled").alias("cancelled")
+    )
+
+
 @query
 def calls_by_surroundings(t: Shapes) -> DataFrame:
     """Stop calls counted by what the dimensions around them say."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from perron.model.datasets import DATASETS
 from perron.model.tables import CONSUMPTION, CURATED, FOREIGN_KEYS, PRIMARY_KEYS, RAW
+from perron.operators.ranges import in_ranges
 from perron.plans import consumption, curated
 from perron.plans.raw import load_dataset
 from perron.sinks import warehouse as layers
@@ -81,11 +82,12 @@ def publish_star(
     """Publish the fact and dimensions, from curated tables given by name, as one release.
 
     Usage counts are those of the new fact. Its ids go on from the fact that it replaces. Readers see all tables of one
-    release or all of the next; a failure leaves the last.
+    release or all of the next; a failure leaves the last. The fact lies in ranges of day and stop, so that a query of some
+    days, or of a day's stops, reads those.
     """
     first = warehouse.next_id(layers.CONSUMPTION, "transport_fact", "id")
     with warehouse.release(layers.CONSUMPTION, ["transport_fact", *dimensions]) as release:
-        fact = consumption.transport_fact(source("curated_transport"), first)
+        fact = in_ranges(consumption.transport_fact(source("curated_transport"), first), ["date", "stop_id"], ["id"])
         release.write("transport_fact", fact, CONSUMPTION["transport_fact"], first, join_keys("transport_fact"))
         written = release.read("transport_fact")
 
