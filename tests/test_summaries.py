@@ -1,5 +1,7 @@
 """What is known of written rows, and joins that are laid out by it without reading."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,11 +132,8 @@ def test_a_wrong_summary_costs_no_row(spark, no_broadcast):
 def test_broadcast_by_summary(spark, jobs):
     small, large = Summary(10, {"b": 0}), Summary(10**7, {"b": 0})
     left, right = spark.range(10).withColumnRenamed("id", "a"), spark.range(10).withColumnRenamed("id", "b")
-    plans = [
-        sized_join(left, right, "a", "b", "left", unique_left=True, right_known=known)._jdf.queryExecution().optimizedPlan().toString()
-        for known in (small,)
-    ]
-    assert "strategy=broadcast" in plans[0] and jobs() == 0
+    joined = sized_join(left, right, "a", "b", "left", unique_left=True, right_known=small)
+    assert "strategy=broadcast" in joined._jdf.queryExecution().optimizedPlan().toString() and jobs() == 0
     assert not fits_broadcast(right, known=large) and jobs() == 0
 
 
@@ -179,7 +178,6 @@ def test_released_tables_are_known_and_read_once(spark, warehouse, jobs):
     # What is known of a snapshot goes with it: those of this release and the last are left.
     _star(warehouse, spark, 1)
     folder = f"{warehouse.root}/_summaries/{warehouse.database('consumption')}"
-    import os
     assert sum(not name.startswith(".") for name in os.listdir(folder)) == 6
 
 
