@@ -383,6 +383,8 @@ SQL = {
         left join parking_dim p on p.stop_id = s.stop_id
         group by all""",
     "constraint_violations": _violations(),
+    "violations_after_addition": _violations(),
+    "calls_after_addition": "select * from vehicles_dim",
     **{
         "load_" + table.removeprefix("raw_"):
             f"select * {'exclude (id)' if table == 'raw_transport' else ''} from {table} where {LOADED.get(table, 'true')}"

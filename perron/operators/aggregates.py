@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perron.operators.joins import HOT_ROWS, sized_join
+from perron.operators.tallies import Tally
 
 
 def count_per_key(frame: DataFrame, key: str, name: str) -> DataFrame:
@@ -39,9 +40,16 @@ def dim_with_count(
     fact_key: str,
     name: str,
     hot_rows: int = HOT_ROWS,
+    tally: Tally | None = None,
 ) -> DataFrame:
-    """The dimension with its number of facts; a key without facts keeps NULL, not 0."""
-    counts = count_per_key(facts.select(F.col(fact_key).alias("__fact_key")), "__fact_key", name)
+    """The dimension with its number of facts; a key without facts keeps NULL, not 0.
+
+    With a tally of the facts that has counted their key, the facts themselves are not read.
+    """
+    if tally and fact_key in tally.counted:
+        counts = tally.per_value(fact_key, facts.schema[fact_key].dataType, "__fact_key", name)
+    else:
+        counts = count_per_key(facts.select(F.col(fact_key).alias("__fact_key")), "__fact_key", name)
     # The counts are one row per key. Measuring them would read the facts twice; the adaptive
     # planner sees their size after the aggregation and broadcasts them if it can.
     joined = sized_join(

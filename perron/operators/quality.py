@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perron.operators.joins import HOT_ROWS, sized_join
+from perron.operators.tallies import Tally
 
 
 def pk_violations(frame: DataFrame, *keys: str, nullable: bool = False) -> DataFrame:
@@ -37,10 +38,12 @@ def constraint_report(
     primary: dict[str, str],
     unique: dict[str, str],
     foreign: list[tuple[str, str, str, str]],
+    tallies: dict[str, Tally | None] | None = None,
 ) -> DataFrame:
     """One row per declared constraint: how many keys and how many rows violate it.
 
-    Each table is read once. A domain is a declared key with all columns that refer to it; a row gives every domain
+    Each table is read once; columns that a table's tally tells of are taken from there, and a table whose tally tells of
+    all is not read. A domain is a declared key with all columns that refer to it; a row gives every domain
     it is in the value it has there. Rows are counted per value before the one shuffle, so a value that many rows share,
     or NULL, is one row of a task in it, and what a value violates is told from its counts. Values are compared as text,
     so a key and what refers to it must be of one type.
@@ -60,8 +63,11 @@ def constraint_report(
         members.append((table, key))
 
     numbers = {domain: number for number, domain in enumerate(domains)}
-    counts = _values(tables, domains).groupBy("domain", "value").agg(
-        *[F.count_if(F.col("member") == m).alias(f"rows{m}") for m in range(max(map(len, domains.values())))]
+    counts = _values(tables, domains, tallies or {}).groupBy("domain", "value").agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("member") == m, F.col("rows"))), F.lit(0)).alias(f"rows{m}")
+            for m in range(max(map(len, domains.values())))
+        ]
     )
     faults = [
         F.when(
@@ -84,19 +90,35 @@ def constraint_report(
     )
 
 
-def _values(tables: dict[str, DataFrame], domains: dict[tuple[str, str], list[tuple[str, str]]]) -> DataFrame:
-    """A row per row and domain it is in: the domain, which member of it the column is, and the value."""
-    wanted: dict[str, list] = {}
+def _values(
+    tables: dict[str, DataFrame],
+    domains: dict[tuple[str, str], list[tuple[str, str]]],
+    tallies: dict[str, Tally | None],
+) -> DataFrame:
+    """The domain, which member of it a column is, a value, and how many rows have it: a row per row of a table that is
+    read, or per row of a tally."""
+
+    def place(number: int, member: int, value: Column, rows: Column) -> Column:
+        return F.struct(
+            F.lit(number).alias("domain"), F.lit(member).alias("member"), value.alias("value"), rows.alias("rows")
+        )
+
+    read: dict[str, list[Column]] = {}
+    told: dict[str, list[Column]] = {}
     for number, members in enumerate(domains.values()):
         for member, (table, column) in enumerate(members):
-            value = F.struct(
-                F.lit(number).alias("domain"), F.lit(member).alias("member"), F.col(column).cast("string").alias("value")
-            )
-            wanted.setdefault(table, []).append(value)
-    return reduce(
-        DataFrame.unionByName,
-        [tables[table].select(F.inline(F.array(*values))) for table, values in wanted.items()],
-    )
+            tally = tallies.get(table)
+            if tally and tally.tells(column, alone=len(members) == 1):
+                counted = place(number, member, F.col("value"), F.col("rows"))
+                told.setdefault(table, []).append(F.when(F.col("column") == column, counted))
+            else:
+                value = F.col(column).cast("string")
+                read.setdefault(table, []).append(place(number, member, value, F.lit(1).cast("bigint")))
+    parts = [tables[table].select(F.inline(F.array(*places))) for table, places in read.items()]
+    parts += [
+        tallies[table].counts.select(F.inline(F.array_compact(F.array(*places)))) for table, places in told.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _violated(kind: str, member: int) -> Column:

@@ -13,6 +13,7 @@ from perron.operators.keys import with_row_id
 from perron.operators.projection import conform, drop_null_keys
 from perron.operators.quality import constraint_report
 from perron.operators.summaries import Summary, settled
+from perron.operators.tallies import Tally
 
 # Dimensions that are their curated table less the rows without a key.
 PLAIN_DIMENSIONS = {
@@ -36,33 +37,42 @@ def plain_dimension(table: str, curated: DataFrame) -> DataFrame:
     return conform(drop_null_keys(curated, PRIMARY_KEYS[table]), CONSUMPTION[table])
 
 
-def operators_dim(curated_operators: DataFrame, fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def operators_dim(
+    curated_operators: DataFrame, fact: DataFrame, hot_rows: int = HOT_ROWS, tally: Tally | None = None
+) -> DataFrame:
     """Operators with their number of stop calls. Rows without an abbreviation stay."""
     counted = dim_with_count(
-        curated_operators, "abbreviation", fact, "operator_abbr", "trips_count", hot_rows
+        curated_operators, "abbreviation", fact, "operator_abbr", "trips_count", hot_rows, tally
     )
     return conform(counted, CONSUMPTION["operators_dim"])
 
 
-def vehicles_dim(curated_vehicles: DataFrame, fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def vehicles_dim(
+    curated_vehicles: DataFrame, fact: DataFrame, hot_rows: int = HOT_ROWS, tally: Tally | None = None
+) -> DataFrame:
     """Vehicles with their number of stop calls."""
     keyed = drop_null_keys(curated_vehicles, PRIMARY_KEYS["vehicles_dim"])
-    counted = dim_with_count(keyed, "vehicle_id", fact, "vehicle_id", "vehicle_trips_count", hot_rows)
+    counted = dim_with_count(keyed, "vehicle_id", fact, "vehicle_id", "vehicle_trips_count", hot_rows, tally)
     return conform(counted, CONSUMPTION["vehicles_dim"])
 
 
-def dimension(table: str, curated: Callable[[str], DataFrame], fact: DataFrame) -> DataFrame:
-    """A dimension by name, from curated tables given by name."""
+def dimension(
+    table: str, curated: Callable[[str], DataFrame], fact: DataFrame, tally: Tally | None = None
+) -> DataFrame:
+    """A dimension by name, from curated tables given by name; `tally` is that of the fact."""
     if table == "operators_dim":
-        return operators_dim(curated("curated_operators"), fact)
+        return operators_dim(curated("curated_operators"), fact, tally=tally)
     if table == "vehicles_dim":
-        return vehicles_dim(curated("curated_vehicles"), fact)
+        return vehicles_dim(curated("curated_vehicles"), fact, tally=tally)
     return plain_dimension(table, curated(PLAIN_DIMENSIONS[table]))
 
 
-def violations(published: dict[str, DataFrame]) -> DataFrame:
-    """Every declared primary, unique and foreign key with what violates it."""
-    return constraint_report(published, PRIMARY_KEYS, UNIQUE_KEYS, FOREIGN_KEYS)
+def violations(published: dict[str, DataFrame], tallies: dict[str, Tally | None] | None = None) -> DataFrame:
+    """Every declared primary, unique and foreign key with what violates it.
+
+    `tallies` are those of the tables, as `Tables` has them: what they tell of is not read.
+    """
+    return constraint_report(published, PRIMARY_KEYS, UNIQUE_KEYS, FOREIGN_KEYS, tallies)
 
 
 def flat_view(

@@ -76,31 +76,47 @@ def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)
     at_once(warehouse.spark, rebuild, tables)
 
 
+def by_day(calls: DataFrame) -> DataFrame:
+    """Calls in ranges of day and stop."""
+    return in_ranges(calls, ["date", "stop_id"], ["id"])
+
+
 def publish_star(
-    warehouse: Warehouse, source: Callable[[str], DataFrame], dimensions: Iterable[str] = tuple(DIMENSIONS)
+    warehouse: Warehouse,
+    source: Callable[[str], DataFrame],
+    dimensions: Iterable[str] = tuple(DIMENSIONS),
+    add: bool = False,
 ) -> None:
     """Publish the fact and dimensions, from curated tables given by name, as one release.
 
     Usage counts are those of the new fact. Its ids go on from the fact that it replaces. Readers see all tables of one
     release or all of the next; a failure leaves the last. The fact lies in ranges of day and stop, so that a query of some
     days, or of a day's stops, reads those.
+
+    With `add` the calls come to those of the last release, which are neither read nor written again: the keys of calls are
+    counted when they are published, and usage counts are taken from these counts. Dimensions are always written whole.
     """
-    first = warehouse.next_id(layers.CONSUMPTION, "transport_fact", "id")
-    with warehouse.release(layers.CONSUMPTION, ["transport_fact", *dimensions]) as release:
-        fact = in_ranges(consumption.transport_fact(source("curated_transport"), first), ["date", "stop_id"], ["id"])
-        release.write("transport_fact", fact, CONSUMPTION["transport_fact"], first, join_keys("transport_fact"))
-        written = release.read("transport_fact")
+    fact = "transport_fact"
+    first = warehouse.next_id(layers.CONSUMPTION, fact, "id")
+    with warehouse.release(layers.CONSUMPTION, [fact, *dimensions]) as release:
+        calls = consumption.transport_fact(source("curated_transport"), first)
+        told = {"first_id": first, "keys": join_keys(fact), "counted": join_keys(fact), "alone": [PRIMARY_KEYS[fact]]}
+        if add:
+            release.append(fact, calls, CONSUMPTION[fact], **told, arrange=by_day)
+        else:
+            release.write(fact, by_day(calls), CONSUMPTION[fact], **told)
+        written, tally = release.read(fact), release.tally(fact)
 
         def publish(table: str) -> None:
-            frame = consumption.dimension(table, source, written)
+            frame = consumption.dimension(table, source, written, tally)
             release.write(table, frame, CONSUMPTION[table], keys=join_keys(table))
 
         at_once(warehouse.spark, publish, dimensions)
 
 
-def refresh_consumption(warehouse: Warehouse) -> None:
-    """Publish everything from the curated tables as they are."""
-    publish_star(warehouse, lambda table: warehouse.read(layers.CURATED, table))
+def refresh_consumption(warehouse: Warehouse, add: bool = False) -> None:
+    """Publish everything from the curated tables as they are; with `add` the curated calls are new ones, see `publish_star`."""
+    publish_star(warehouse, lambda table: warehouse.read(layers.CURATED, table), add=add)
 
 
 def published(warehouse: Warehouse) -> Tables:

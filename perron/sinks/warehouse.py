@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from perron.operators.keys import next_id
 from perron.operators.projection import conform, layout
 from perron.operators.summaries import Summary, merged, write_summarised
+from perron.operators.tallies import Tally, added, read_tally, write_tally
 from perron.sources.files import VERSION, ages, create_new, read_text, remove, write_text
 from perron.sources.rejects import REJECT_COLUMNS, REJECTED
 
@@ -42,6 +43,8 @@ CLAIMED = 24 * 3600
 LOCKED = 600
 # Ends the name of the table of file versions that a snapshot has taken.
 FILES = "_files"
+# Ends the name of the table with the tally of a snapshot.
+COUNTS = "_counts"
 # The view whose one row names the published release of a layer.
 RELEASE = "current_release"
 
@@ -231,9 +234,9 @@ class Warehouse:
             remove(self.spark, [f"{folder}/{lock}"])
 
     def _drop(self, layer: str, snapshot: str) -> None:
-        for name in (snapshot, snapshot + FILES):
+        for name in (snapshot, snapshot + FILES, snapshot + COUNTS):
             self.spark.sql(f"drop table if exists {self.name(layer, name)}")
-        remove(self.spark, [self._summary(layer, snapshot)])
+        remove(self.spark, [self._summary(layer, name) for name in (snapshot, snapshot + COUNTS)])
 
     @contextmanager
     def release(self, layer: str, tables: list[str]) -> Iterator[Release]:
@@ -273,9 +276,9 @@ class Warehouse:
                     (table, self.spark.sql(branches[number]) if branches else self.read(layer, table))
                     for table, branches in texts.items()
                 )
-                found.known = {
-                    table: self._known(layer, table, branches[number]) for table, branches in texts.items() if branches
-                }
+                shown = {table: branches[number] for table, branches in texts.items() if branches}
+                found.known = {table: self._known(layer, table, select) for table, select in shown.items()}
+                found.tallies = {table: self._tally(layer, table, select) for table, select in shown.items()}
                 return found
 
     def _summary(self, layer: str, snapshot: str) -> str:
@@ -289,6 +292,16 @@ class Warehouse:
         ]
         return merged([text and Summary.from_json(text) for text in texts])
 
+    def _tally(self, layer: str, table: str, select: str) -> Tally | None:
+        """The tally of all rows of the snapshots that a text names."""
+        parts = []
+        for snapshot in re.findall(rf"\b{re.escape(table)}__\d+", select):
+            text = read_text(self.spark, self._summary(layer, snapshot + COUNTS))
+            if text is None:
+                return None
+            parts.append(read_tally(self.read(layer, snapshot + COUNTS), text))
+        return added(parts)
+
     def _release_number(self, layer: str) -> int:
         if not self.exists(layer, RELEASE):
             return 0
@@ -298,7 +311,10 @@ class Warehouse:
         """What the view of a table shows, by the number of the release; empty for a table that is not released."""
         text = self._text(layer, table) if self.exists(layer, table) else ""
         seen = re.escape(self._seen(layer))
-        return {int(n): select for select, n in re.findall(rf"(?:^| union all )(select (?:(?! union all ).)*?) where {seen} = (\d+)", text)}
+        shown: dict[int, list[str]] = {}
+        for select, n in re.findall(rf"(?:^| union all )(select (?:(?! union all ).)*?) where {seen} = (\d+)", text):
+            shown.setdefault(int(n), []).append(select)
+        return {n: " union all ".join(selects) for n, selects in shown.items()}
 
     def _seen(self, layer: str) -> str:
         return f"(select release from {self.name(layer, RELEASE)})"
@@ -323,9 +339,12 @@ class Warehouse:
             if table in release.written:
                 snapshot, ids = release.written[table]
                 then = self._select(layer, snapshot, self.read(layer, snapshot).columns)
+                if table in release.additions:
+                    then = f"{now} union all {then}"
                 first_id = [ids] if ids is not None else first_id
             shown = [(now, number), (then, number + 1)] if now else [(then, number + 1)]
-            self._view(layer, table, " union all ".join(f"{s} where {self._seen(layer)} = {n}" for s, n in shown), *first_id)
+            parts = [f"{part} where {self._seen(layer)} = {n}" for text, n in shown for part in text.split(" union all ")]
+            self._view(layer, table, " union all ".join(parts), *first_id)
         return kept
 
     def _switch(self, layer: str, table: str) -> str:
@@ -397,33 +416,85 @@ class Release:
     def __init__(self, warehouse: Warehouse, layer: str, since: dict[str, frozenset[str]]) -> None:
         self.warehouse, self.layer, self.since = warehouse, layer, since
         self.written: dict[str, tuple[str, int | None]] = {}
+        self.additions: dict[str, Tables] = {}
         self.published = False
 
     def write(
-        self, table: str, frame: DataFrame, schema: str, first_id: int | None = None, keys: Iterable[str] = ()
+        self,
+        table: str,
+        frame: DataFrame,
+        schema: str,
+        first_id: int | None = None,
+        keys: Iterable[str] = (),
+        counted: Iterable[str] = (),
+        alone: Iterable[str] = (),
     ) -> None:
         """The rows are the content of the table in this release, matched to `schema` by name; `first_id` as for `replace`.
 
         What is known of them afterwards is kept beside the snapshot, see `write_summarised`; `keys` are the columns by
-        which the table is joined.
+        which the table is joined. With `counted` or `alone` so is a tally of these columns, see `write_tally`.
         """
         warehouse, layer = self.warehouse, self.layer
+        counted, alone = list(counted), list(alone)
         snapshot = warehouse._claim(layer, table)
         self.written[table] = snapshot, first_id
 
         def write(rows: DataFrame) -> DataFrame:
             warehouse._write(layer, table, rows, snapshot=snapshot)
-            return self.read(table)
+            return warehouse.read(layer, snapshot)
+
+        def write_counts(rows: DataFrame) -> None:
+            warehouse._write(layer, table, rows, snapshot=snapshot + COUNTS)
 
-        _, known = write_summarised(conform(frame, schema), write, keys)
+        stored, known = write_summarised(conform(frame, schema), write, keys)
         write_text(warehouse.spark, warehouse._summary(layer, snapshot), known.to_json())
+        if counted or alone:
+            text = write_tally(stored, write_counts, counted, alone)
+            write_text(warehouse.spark, warehouse._summary(layer, snapshot + COUNTS), text)
+
+    def append(
+        self,
+        table: str,
+        frame: DataFrame,
+        schema: str,
+        first_id: int | None = None,
+        keys: Iterable[str] = (),
+        counted: Iterable[str] = (),
+        alone: Iterable[str] = (),
+        arrange: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> None:
+        """As `write`, but the rows come to what the last release has in the table. Only they are written and counted.
+
+        They are a snapshot of their own, with the columns of the others. A table without a release before, and one of `PARTS`
+        additions, is written whole. `arrange` lays out what is written.
+        """
+        warehouse = self.warehouse
+        before = warehouse.released(self.layer, [table]) if warehouse.exists(self.layer, table) else Tables()
+        if table not in before:
+            pass
+        elif table not in before.known or len(self.since[table]) >= PARTS:
+            frame = conform(before[table], schema).unionByName(conform(frame, schema))
+        elif [(f.name, f.dataType) for f in before[table].schema] != [(f.name, f.dataType) for f in layout(schema)]:
+            raise ValueError(f"{warehouse.name(self.layer, table)} has other columns")
+        else:
+            self.additions[table] = before
+        self.write(table, arrange(conform(frame, schema)), schema, first_id, keys, counted, alone)
 
     def read(self, table: str) -> DataFrame:
         """The table as this release has it."""
-        return self.warehouse.read(self.layer, self.written[table][0])
+        rows = self.warehouse.read(self.layer, self.written[table][0])
+        return self.additions[table][table].unionByName(rows) if table in self.additions else rows
+
+    def tally(self, table: str) -> Tally | None:
+        """The tally of the table as this release has it, if all its parts have one."""
+        name = self.written[table][0]
+        own = self.warehouse._tally(self.layer, table, name)
+        return added([self.additions[table].tallies[table], own]) if table in self.additions else own
 
 
 class Tables(dict[str, DataFrame]):
-    """Tables by name, and what has been known of them since they were written, where that was kept."""
+    """Tables by name, what has been known of them since they were written, and how many rows have each value of their
+    keys, where these were kept."""
 
     known: dict[str, Summary | None] = {}
+    tallies: dict[str, Tally | None] = {}
