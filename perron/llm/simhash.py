@@ -10,6 +10,10 @@ root, and each keeps only the bits that the node above does not have. A search g
 differences; a node with more than `max_bits` so far is dropped with all below it. So is a node whose entries are known
 to be linked to the one searched for, which keeps dense groups from making all their pairs. Tasks give a link per entry,
 and components of the links are found in Spark.
+
+No task holds a group of any size. One of more than `CROWD` entries is cut by the bits in which its entries may differ: these
+are `max_bits + 1` further blocks, of which two linked entries agree on one. What is still as large, such as a family of copies
+that have few bits of their own, is cut into pieces by a hash, and every two pieces meet in a task.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perron.llm.arrow import slices, small_batches, texts
@@ -31,8 +35,10 @@ SHINGLE = 4
 MAX_BITS = 4
 FAN = 16
 SEED = 42
-# Entries that a task indexes at once, if no group is larger, and (entry, node) pairs that a search may hold.
+# Entries that a task indexes at once, and (entry, node) pairs that a search may hold.
 INDEXED = 1 << 18
+# Entries from which on a group is cut.
+CROWD = 1 << 18
 FRONTIER = 1 << 22
 
 
@@ -162,16 +168,15 @@ def _links(max_bits: int):
         return pa.record_batch([pa.array(prints[a]), pa.array(prints[b])], _LINKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by pair of blocks and value; groups are kept whole."""
+        """Rows come sorted by pair of blocks, value and piece; groups are kept whole."""
         groups, prints, held, base, open_ = [], [], 0, 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pair = batch.column("pair").to_numpy()
-            value = batch.column("value").to_numpy()
-            fresh = np.r_[open_ != (pair[0], value[0]), (pair[1:] != pair[:-1]) | (value[1:] != value[:-1])]
+            key = np.stack([batch.column(name).to_numpy().astype(np.int64) for name in ("pair", "value", "piece")])
+            fresh = np.r_[open_ is None or (open_ != key[:, 0]).any(), (key[:, 1:] != key[:, :-1]).any(axis=0)]
             number = base + np.cumsum(fresh)
-            base, open_ = int(number[-1]), (pair[-1], value[-1])
+            base, open_ = int(number[-1]), key[:, -1]
             groups.append(number)
             prints.append(batch.column("print").to_numpy())
             held += batch.num_rows
@@ -194,10 +199,59 @@ def pair_masks(max_bits: int) -> list[int]:
     return [a | b for a, b in combinations(blocks, 2)]
 
 
+def finer_masks(mask: int, max_bits: int) -> list[int]:
+    """The bits of a mask with each of `max_bits + 1` blocks of the others."""
+    free = [bit for bit in range(64) if not mask >> bit & 1]
+    return [mask | sum(1 << int(bit) for bit in part) for part in np.array_split(free, max_bits + 1)]
+
+
 def _signed(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
+def met_in_groups(entries: DataFrame, max_bits: int, crowd: int = CROWD) -> DataFrame:
+    """Entries (`print`) by the groups in which they meet: `pair`, `value`, `piece`.
+
+    Every two that differ in at most `max_bits` bits have a group in common, and a group has not many more than twice `crowd`.
+    """
+    masks = pair_masks(max_bits)
+    met = _masked(entries.select("print"), F.array(*[F.lit(_signed(m)) for m in masks]))
+    if entries.count() <= crowd:
+        return met.withColumn("piece", F.lit(0).cast("bigint"))
+    key = ["pair", "value"]
+
+    def crowded(groups: DataFrame) -> DataFrame:
+        return groups.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > crowd)
+
+    calm = met.join(crowded(met), key, "left_anti").withColumn("piece", F.lit(0).cast("bigint"))
+    finer = F.array(*[F.array(*[F.lit(_signed(m)) for m in finer_masks(mask, max_bits)]) for mask in masks])
+    cut = _masked(
+        met.join(crowded(met), key, "left_semi").select("print", F.col("pair").alias("of")),
+        F.element_at(finer, F.col("of") + 1),
+        # Pairs of blocks with a further one are numbered after the pairs.
+        (F.col("of") + 1) * F.lit(len(masks)),
+    )
+    pieces = F.coalesce(F.ceil(F.col("rows") / F.lit(crowd)), F.lit(1).cast("bigint"))
+    own, other = F.pmod(F.xxhash64("print"), F.col("pieces")), F.col("other")
+    pieced = (
+        cut.join(crowded(cut), key, "left")
+        .select(*key, "print", pieces.alias("pieces"))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("other"))
+        .select(*key, "print", (F.least(own, other) * F.col("pieces") + F.greatest(own, other)).alias("piece"))
+    )
+    return calm.unionByName(pieced)
+
+
+def _masked(entries: DataFrame, masks: Column, first: Column | None = None) -> DataFrame:
+    """Entries once for each mask, numbered from `first`, with the bits that it leaves."""
+    first = F.lit(0) if first is None else first
+    return entries.select("print", first.alias("first"), F.posexplode(masks).alias("number", "mask")).select(
+        (F.col("first") + F.col("number")).cast("int").alias("pair"),
+        F.col("print").bitwiseAND(F.col("mask")).alias("value"),
+        "print",
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -206,6 +260,7 @@ def near_duplicates(
     id: str = "doc_id",
     text: str = "text",
     uid: str | None = None,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """One row per document: `uid`, `doc_id`, `fingerprint` (hex), `component_id`, `keep_uid`.
 
@@ -228,13 +283,9 @@ def near_duplicates(
     prints.groupBy("print").agg(first).write.parquet(f"{folder}/entries")
     entries = spark.read.parquet(f"{folder}/entries")
 
-    masks = F.array(*[F.lit(_signed(m)) for m in pair_masks(max_bits)])
-    met = entries.select("print", F.posexplode(masks).alias("pair", "mask")).select(
-        F.col("pair").cast("int").alias("pair"), F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print"
-    )
-    links = met.repartition("pair", "value").sortWithinPartitions("pair", "value").mapInArrow(
-        _links(max_bits), "a bigint, b bigint"
-    )
+    met = met_in_groups(entries, max_bits, crowd)
+    groups = "pair", "value", "piece"
+    links = met.repartition(*groups).sortWithinPartitions(*groups).mapInArrow(_links(max_bits), "a bigint, b bigint")
     component = connected_components(links)
     labelled = entries.join(component, entries["print"] == component["node"], "left").select(
         "print", "first", F.coalesce("component", "print").alias("component")

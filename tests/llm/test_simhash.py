@@ -85,6 +85,45 @@ def test_every_close_pair_meets_in_a_pair_of_blocks():
         assert any(difference & m == 0 for m in masks)
 
 
+def test_every_close_pair_meets_in_a_finer_block():
+    rng = random.Random(2)
+    for mask in simhash.pair_masks(4):
+        finer = simhash.finer_masks(mask, 4)
+        assert len(finer) == 5 and all(m & mask == mask != m for m in finer)
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(200):
+            difference = sum(1 << b for b in rng.sample(free, 4))
+            assert any(difference & m == 0 for m in finer)
+
+
+def family(rng, n):
+    """Fingerprints that differ in few bits, and others."""
+    near = [0x0F0F_1234_5678_9ABC ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4))) for _ in range(n)]
+    return sorted({p - (1 << 64) if p >> 63 else p for p in near + [rng.getrandbits(64) for _ in range(n // 3)]})
+
+
+@pytest.mark.parametrize("crowd", [1, 7, 60, 1000])
+def test_crowded_groups_lose_no_link(spark, crowd):
+    prints = family(random.Random(crowd), 240)
+    entries = frame(spark, [(p,) for p in prints], "print bigint")
+    met = {}
+    for r in simhash.met_in_groups(entries, 4, crowd).collect():
+        met.setdefault((r["pair"], r["value"], r["piece"]), []).append(r["print"])
+    together = {(a, b) for held in met.values() for a in held for b in held}
+    assert all((a, b) in together for a in prints for b in prints if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4)
+    assert all(len(set(held)) == len(held) for held in met.values())
+    # Pieces are as even as their hash.
+    assert crowd < 60 or max(map(len, met.values())) <= 3 * crowd
+
+
+@pytest.mark.parametrize("crowd", [1, 5])
+def test_crowded_groups_have_the_same_components(spark, crowd):
+    docs = frame(spark, near_rows())
+    want = [(r["uid"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()]
+    got = [(r["uid"], r["component_id"]) for r in simhash.near_duplicates(docs, crowd=crowd).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7), (2000, 1999)]
     got = {r["node"]: r["component"] for r in connected_components(frame(spark, links, "a bigint, b bigint")).collect()}
