@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from perron.operators.keys import next_id
 from perron.operators.projection import conform, layout
 from perron.operators.summaries import Summary, merged, write_summarised
-from perron.operators.tallies import Tally, added, read_tally, write_tally
-from perron.sources.files import VERSION, ages, create_new, read_text, remove, write_text
+from perron.operators.tallies import TALLY, Tally, added, read_tally, write_tally
+from perron.sources.files import VERSION, ages, create_new, read_text, remove, remove_folder, write_text
 from perron.sources.rejects import REJECT_COLUMNS, REJECTED
 
 RAW, CURATED, CONSUMPTION = "raw", "curated", "consumption"
@@ -43,8 +43,8 @@ CLAIMED = 24 * 3600
 LOCKED = 600
 # Ends the name of the table of file versions that a snapshot has taken.
 FILES = "_files"
-# Ends the name of the table with the tally of a snapshot.
-COUNTS = "_counts"
+# The file that completes the folder with the tally of a snapshot.
+TALLIED = "_tally.json"
 # The view whose one row names the published release of a layer.
 RELEASE = "current_release"
 
@@ -234,9 +234,10 @@ class Warehouse:
             remove(self.spark, [f"{folder}/{lock}"])
 
     def _drop(self, layer: str, snapshot: str) -> None:
-        for name in (snapshot, snapshot + FILES, snapshot + COUNTS):
+        for name in (snapshot, snapshot + FILES):
             self.spark.sql(f"drop table if exists {self.name(layer, name)}")
-        remove(self.spark, [self._summary(layer, name) for name in (snapshot, snapshot + COUNTS)])
+        remove(self.spark, [self._summary(layer, snapshot)])
+        remove_folder(self.spark, self._tallied(layer, snapshot))
 
     @contextmanager
     def release(self, layer: str, tables: list[str]) -> Iterator[Release]:
@@ -284,6 +285,9 @@ class Warehouse:
     def _summary(self, layer: str, snapshot: str) -> str:
         return f"{self.root}/_summaries/{self.database(layer)}/{snapshot}"
 
+    def _tallied(self, layer: str, snapshot: str) -> str:
+        return f"{self.root}/_tallies/{self.database(layer)}/{snapshot}"
+
     def _known(self, layer: str, table: str, select: str) -> Summary | None:
         """The summary of all rows of the snapshots that a text names."""
         texts = [
@@ -296,10 +300,11 @@ class Warehouse:
         """The tally of all rows of the snapshots that a text names."""
         parts = []
         for snapshot in re.findall(rf"\b{re.escape(table)}__\d+", select):
-            text = read_text(self.spark, self._summary(layer, snapshot + COUNTS))
+            folder = self._tallied(layer, snapshot)
+            text = read_text(self.spark, f"{folder}/{TALLIED}")
             if text is None:
                 return None
-            parts.append(read_tally(self.read(layer, snapshot + COUNTS), text))
+            parts.append(read_tally(self.spark.read.schema(TALLY).parquet(folder), text))
         return added(parts)
 
     def _release_number(self, layer: str) -> int:
@@ -443,14 +448,12 @@ class Release:
             warehouse._write(layer, table, rows, snapshot=snapshot)
             return warehouse.read(layer, snapshot)
 
-        def write_counts(rows: DataFrame) -> None:
-            warehouse._write(layer, table, rows, snapshot=snapshot + COUNTS)
-
         stored, known = write_summarised(conform(frame, schema), write, keys)
         write_text(warehouse.spark, warehouse._summary(layer, snapshot), known.to_json())
         if counted or alone:
-            text = write_tally(stored, write_counts, counted, alone)
-            write_text(warehouse.spark, warehouse._summary(layer, snapshot + COUNTS), text)
+            folder = warehouse._tallied(layer, snapshot)
+            text = write_tally(stored, lambda counts: counts.write.parquet(folder), counted, alone)
+            write_text(warehouse.spark, f"{folder}/{TALLIED}", text)
 
     def append(
         self,

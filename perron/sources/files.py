@@ -52,6 +52,12 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         system.delete(file, False)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with all that is in it; one that is gone already is no error."""
+    folder, system = _file(spark, path)
+    system.delete(folder, True)
+
+
 def clear(spark: SparkSession, files: list[Row], archive: str | None = None) -> None:
     """Deletes files of given versions, or moves them to the folder `archive`. A file that has changed since stays."""
     for version in files:

@@ -1,5 +1,7 @@
 """Counts of key values that add up over the parts of a table, and what is told by them without reading it."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +155,8 @@ def test_additions_to_the_star(spark, warehouse, monkeypatch):
     assert text[max(text)].count("transport_fact__") == 1
     publish_star(warehouse, star(spark, ("A",), calls=[("A", 6)]))
     assert counts(warehouse) == [("A", 1)] and published(warehouse)["transport_fact"].count() == 1
+    # Tallies go with their snapshots: those of this release and the last are left.
+    assert len(os.listdir(f"{warehouse.root}/_tallies/{warehouse.database('consumption')}")) == 2
 
 
 def test_an_addition_alone_is_written(spark, warehouse):
