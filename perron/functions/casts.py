@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# More characters than any text has.
+_END = 2**31 - 1
+
+
 def to_flag(text: Column) -> Column:
     """true/t/yes/y/on/1 and false/f/no/n/off/0, in any case."""
     word = F.lower(F.trim(text))
@@ -34,13 +38,14 @@ def to_float(text: Column) -> Column:
 
 
 def _rearranged(text: Column, clock: str) -> Column:
-    """`31.12.2024` and a clock time as ISO text; any other text becomes `--`, which no cast reads.
+    """`31.12.2024` and a clock time as ISO text; any other text becomes NULL.
 
     The result is cast straight to a zone-free type. A detour over a timestamp with a zone would shift
     the hour that daylight saving skips, by the zone of the session.
     """
-    pattern = r"(?s)^(?:(\d{2})\.(\d{2})\.(\d{4})(" + clock + r")|.*)$"
-    return F.regexp_replace(text, pattern, "$3-$2-$1$4")
+    fits = text.rlike(r"^\d{2}\.\d{2}\.\d{4}" + clock + "$")
+    day, month, year, rest = text.substr(1, 2), text.substr(4, 2), text.substr(7, 4), F.substring(text, 11, _END)
+    return F.when(fits, F.concat(year, F.lit("-"), month, F.lit("-"), day, rest))
 
 
 def to_day(text: Column) -> Column:

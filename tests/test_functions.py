@@ -101,3 +101,24 @@ def test_elements(spark):
         (6, None), (None, None), (None, None)]
     assert [tuple(r) for r in nested.explode_array(frame.withColumn("k", F.lit("x")), "a", "i", "v").collect()] == [
         ("x", 0, 5), ("x", 1, 6)]
+
+
+def test_days_and_times_need_no_replacement(spark):
+    """What a regular expression with groups gave, to the line break at the end, without building a text by it."""
+    from perron.functions import casts
+
+    def before(text, clock):
+        pattern = r"(?s)^(?:(\d{2})\.(\d{2})\.(\d{4})(" + clock + r")|.*)$"
+        return F.regexp_replace(text, pattern, "$3-$2-$1$4")
+
+    days = ["31.12.2024", "29.02.2023", "1.12.2024", "31.12.24", "٣١.١٢.٢٠٢٤", "+1.12.2024", "31-12-2024", "2024-12-31", "", " ", None]
+    ends = ["", " 23:59", " 24:00", " 23:59:59", " 23:59:60", "\n", "\r\n", "\u0085", "\n\n", " 23:59\n", " 23:59:59\r", "x", " "]
+    texts = [None if day is None else day + end for day in days for end in ends]
+    text, kinds = F.col("t"), (("", "date", casts.to_day), (r" \d{2}:\d{2}", "timestamp_ntz", casts.to_minute),
+                               (r" \d{2}:\d{2}:\d{2}", "timestamp_ntz", casts.to_second))
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for clock, kind, read in kinds:
+        pairs = frame.select("t", before(text, clock).try_cast(kind).alias("then"), read(text).alias("now")).collect()
+        assert [r for r in pairs if r["then"] != r["now"]] == [] and any(r["now"] for r in pairs)
+    plan = frame.select(casts.to_second(text))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan

@@ -743,3 +743,17 @@ def test_one_document_is_read_by_many_tasks(spark, tmp_path):
         # The setting decides which files are split: one of the two is.
         documents = read_documents(spark, str(tmp_path))
         assert documents.count() == 150 + 1 and flatten_features(accepted(documents), PATHS).count() == 152
+
+
+def test_lines_that_end_within_quotes_by_one_look(spark):
+    """The look that finds files agrees with the state of quotes, on all lines of few signs."""
+    from itertools import product
+
+    from perron.sources import delimited
+
+    lines = ["".join(signs) for n in range(9) for signs in product('";a', repeat=n)] + ['"a' + ';"b"' * 5000, 'x;' * 5000 + '"\x01']
+    found = spark.createDataFrame([(line,) for line in lines], "value string").select(
+        F.col("value").rlike(delimited._OPEN_LINE).alias("now"),
+        delimited._ends_open(delimited._single_quotes(F.col("value"))).alias("then"),
+    )
+    assert found.where("now").count() > 1000 and found.where("now <> then").count() == 0
