@@ -19,6 +19,8 @@ from perron.sources.files import landed
 
 STOP_BASE = 8_500_000
 FEATURES_PER_DOCUMENT = 500
+# Landing files are packed ones of a bounded number of rows: one is read by one task.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "100000"}
 
 
 class Shapes:
@@ -251,7 +253,8 @@ class Shapes:
         if isinstance(dataset, Document):
             write_documents(_FEATURES[raw_table](self), "key", f"{folder}/{dataset.folder}")
         else:
-            write_cells(self[raw_table], dataset, f"{folder}/{dataset.folder}", _BAD_CELLS.get(raw_table, {}))
+            bad = _BAD_CELLS.get(raw_table, {})
+            write_cells(self[raw_table], dataset, f"{folder}/{dataset.folder}", bad, PACKED)
         return dataset, folder
 
     def parking_features(self) -> DataFrame:
@@ -311,7 +314,7 @@ def _text(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def write_cells(frame: DataFrame, dataset: Delimited, folder: str, bad: dict) -> None:
+def write_cells(frame: DataFrame, dataset: Delimited, folder: str, bad: dict, options: dict[str, str] | None = None) -> None:
     """Write a frame as `;` separated files with its columns at the positions of the dataset."""
     by_position = {f.ordinal: f for f in dataset.columns}
 
@@ -328,7 +331,8 @@ def write_cells(frame: DataFrame, dataset: Delimited, folder: str, bad: dict) ->
 
     last = max(by_position)
     cells = frame.select(*[cell(i).alias(f"c{i}") for i in range(1, last + 1)])
-    cells.write.options(sep=FORMAT["sep"], header=True, quote='"', escape='"').csv(folder, mode="append")
+    written = {"sep": FORMAT["sep"], "header": "true", "quote": '"', "escape": '"', **(options or {})}
+    cells.write.options(**written).csv(folder, mode="append")
 
 
 def write_documents(features: DataFrame, key: str, folder: str) -> None:

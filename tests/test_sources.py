@@ -757,3 +757,18 @@ def test_lines_that_end_within_quotes_by_one_look(spark):
         delimited._ends_open(delimited._single_quotes(F.col("value"))).alias("then"),
     )
     assert found.where("now").count() > 1000 and found.where("now <> then").count() == 0
+
+
+def test_landing_files_are_packed_and_bounded(spark, tmp_path):
+    from perron.bindings import shapes
+    from perron.sources.files import landed
+
+    columns = fields("1 n whole")
+    shapes.write_cells(
+        spark.range(250_000).coalesce(1).select(F.col("id").alias("n")), Delimited("raw_n", "n", columns), str(tmp_path / "n"), {},
+        shapes.PACKED,
+    )
+    paths = [path for path in landed(spark, str(tmp_path / "n")) if "part-" in path]
+    assert len(paths) == 3 and all(path.endswith(".csv.gz") for path in paths)
+    got = accepted(positional_copy(read_delimited(spark, [str(tmp_path / "n")], columns), columns))
+    assert got.agg(F.count("n"), F.sum("n")).first() == (250_000, 31_249_875_000)
