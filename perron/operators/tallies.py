@@ -46,6 +46,16 @@ class Tally:
         found = self.counts.where(F.col("column") == column).groupBy("value").agg(F.sum("rows").alias(rows))
         return found.select(F.col("value").cast(kind).alias(key), rows)
 
+    def shared(self, kinds: dict[str, T.DataType], least: float) -> dict[str, dict]:
+        """Of counted columns, given with their types, the values that more than `least` rows have, with their rows."""
+        found: dict[str, dict] = {name: {} for name in kinds}
+        counts = self.counts.where(F.col("column").isin(list(kinds)))
+        counts = counts.groupBy("column", "value").agg(F.sum("rows").alias("rows"))
+        for name, value, rows in counts.where(F.col("rows") > least).collect():
+            whole = value is not None and isinstance(kinds[name], T.IntegralType)
+            found[name][int(value) if whole else value] = rows
+        return found
+
 
 def write_tally(
     frame: DataFrame, write: Callable[[DataFrame], DataFrame], counted: Iterable[str], alone: Iterable[str] = ()
@@ -53,7 +63,7 @@ def write_tally(
     """Counts rows that are stored already, reading the columns wanted; the text that `read_tally` needs beside them.
 
     `write` is given the tally and writes it. Columns are texts, or whole numbers; `alone`, those of which only faults are kept,
-    must be whole numbers. Values are counted per task before they are shuffled.
+    must be whole numbers. Each column is read and counted by itself, in its own type, so a task holds values of one.
     """
     counted, alone = list(dict.fromkeys(counted)), list(dict.fromkeys(alone))
     alone = [name for name in alone if name not in counted]
@@ -61,20 +71,39 @@ def write_tally(
     for name in counted + alone:
         if not isinstance(kinds[name], T.IntegralType) and (name in alone or not isinstance(kinds[name], T.StringType)):
             raise TypeError(f"{name} is {kinds[name].simpleString()}")
-    rows = frame.select(*[F.col(f"`{name}`") for name in counted + alone])
-    pairs = [
-        F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").cast("string").alias("value")) for name in counted + alone
-    ]
-    counts = rows.select(F.inline(F.array(*pairs))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    kept = F.col("column").isin(counted) | (F.col("rows") > 1) | F.col("value").isNull()
-    write(counts.where(kept) if alone else counts)
-    ranges = {}
-    if alone:
-        ends = [F.struct(F.min(f"`{name}`"), F.max(f"`{name}`")) for name in alone]
-        ranges = {name: [tuple(r)] if r[0] is not None else [] for name, r in zip(alone, rows.agg(*ends).first())}
+    parts, ranges = [_counts(frame, name) for name in counted], {}
+    for name in alone:
+        ranges[name], faulty = _range(frame, name)
+        if faulty:
+            parts.append(_counts(frame, name).where((F.col("rows") > 1) | F.col("value").isNull()))
+    write(reduce(DataFrame.unionByName, parts or [frame.sparkSession.createDataFrame([], TALLY)]))
     return json.dumps({"counted": counted, "faults": ranges})
 
 
+def _counts(frame: DataFrame, name: str) -> DataFrame:
+    """The rows of a tally for one column."""
+    counts = frame.select(F.col(f"`{name}`").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(F.lit(name).alias("column"), F.col("value").cast("string").alias("value"), "rows")
+
+
+def _range(frame: DataFrame, name: str) -> tuple[list[tuple[int, int]], bool]:
+    """The least and the largest of whole numbers, if there are any, and whether one is repeated or NULL.
+
+    Numbers meet in blocks of 64, each a count and a bit per number: a repeated one leaves fewer bits than rows. Where numbers are
+    mostly different, counting each before the shuffle would only fill memory.
+    """
+    number = F.col(f"`{name}`").cast("bigint")
+    numbers = frame.select(number.alias("number"), F.shiftright(number, 6).alias("block")).repartition("block")
+    bit = F.expr("shiftleft(1L, cast(number & 63 as int))")
+    blocks = numbers.groupBy("block").agg(
+        F.min("number").alias("least"), F.max("number").alias("largest"),
+        (F.count(F.lit(1)) != F.bit_count(F.bit_or(bit))).alias("repeated"),
+    )
+    faulty = F.count_if(F.col("block").isNull() | F.col("repeated"))
+    least, largest, faults = blocks.agg(F.min("least"), F.max("largest"), faulty).first()
+    return [] if least is None else [(least, largest)], faults > 0
+
+
 def read_tally(counts: DataFrame, text: str) -> Tally:
     found = json.loads(text)
     faults = {name: [tuple(r) for r in ranges] for name, ranges in found["faults"].items()}

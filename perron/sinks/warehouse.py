@@ -17,13 +17,14 @@ import re
 import time
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.operators.keys import next_id
 from perron.operators.projection import conform, layout
-from perron.operators.summaries import Summary, merged, write_summarised
+from perron.operators.summaries import HOT_ROWS, KEPT, Summary, merged, write_summarised
 from perron.operators.tallies import TALLY, Tally, added, read_tally, write_tally
 from perron.sources.files import VERSION, ages, create_new, read_text, remove, remove_folder, write_text
 from perron.sources.rejects import REJECT_COLUMNS, REJECTED
@@ -32,6 +33,8 @@ RAW, CURATED, CONSUMPTION = "raw", "curated", "consumption"
 
 # Accepted and rejected rows are written side by side, where Spark would sort each task's rows first.
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+# How snapshots are packed: about a third less than with Spark's default, at no more time.
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 # The property of a table that tells where the ids of its last load begin.
 FIRST_ID = "perron.first_id"
 # Names the view that a checked table and its rejects look at.
@@ -379,7 +382,7 @@ class Warehouse:
 
     def _write(self, layer: str, table: str, frame: DataFrame, *partitions: str, snapshot: str | None = None) -> str:
         snapshot = snapshot or f"{table}__{time.time_ns():020d}"
-        writer = frame.write.format("parquet")
+        writer = frame.write.format("parquet").options(**PACKED)
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.saveAsTable(f"{self.database(layer)}.{snapshot}")
@@ -437,10 +440,11 @@ class Release:
         """The rows are the content of the table in this release, matched to `schema` by name; `first_id` as for `replace`.
 
         What is known of them afterwards is kept beside the snapshot, see `write_summarised`; `keys` are the columns by
-        which the table is joined. With `counted` or `alone` so is a tally of these columns, see `write_tally`.
+        which the table is joined. With `counted` or `alone` so is a tally of these columns, see `write_tally`; it tells which
+        of the counted keys many rows share, and only others are looked at.
         """
         warehouse, layer = self.warehouse, self.layer
-        counted, alone = list(counted), list(alone)
+        keys, counted, alone = list(keys), list(counted), list(alone)
         snapshot = warehouse._claim(layer, table)
         self.written[table] = snapshot, first_id
 
@@ -448,12 +452,16 @@ class Release:
             warehouse._write(layer, table, rows, snapshot=snapshot)
             return warehouse.read(layer, snapshot)
 
-        stored, known = write_summarised(conform(frame, schema), write, keys)
-        write_text(warehouse.spark, warehouse._summary(layer, snapshot), known.to_json())
+        stored, known = write_summarised(conform(frame, schema), write, [key for key in keys if key not in counted])
         if counted or alone:
             folder = warehouse._tallied(layer, snapshot)
-            text = write_tally(stored, lambda counts: counts.write.parquet(folder), counted, alone)
+            text = write_tally(stored, lambda counts: counts.write.options(**PACKED).parquet(folder), counted, alone)
             write_text(warehouse.spark, f"{folder}/{TALLIED}", text)
+            if known.rows > HOT_ROWS:
+                kinds = {key: stored.schema[key].dataType for key in keys if key in counted}
+                shared = warehouse._tally(layer, table, snapshot).shared(kinds, known.rows / KEPT)
+                known = replace(known, keys=known.keys | shared)
+        write_text(warehouse.spark, warehouse._summary(layer, snapshot), known.to_json())
 
     def append(
         self,

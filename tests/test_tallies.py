@@ -174,3 +174,44 @@ def test_an_addition_alone_is_written(spark, warehouse):
         release.append("municipality_dim", spark.createDataFrame([(4,)], "municipality_id long"), "municipality_id bigint")
     got = warehouse.released("consumption", ["municipality_dim"])["municipality_dim"]
     assert rows(got, "municipality_id") == [(1,), (2,), (3,)]
+
+
+def test_columns_are_counted_one_by_one(spark, tmp_path, parts):
+    """No aggregate holds values of several columns, and none is keyed by the ids, of which only blocks are counted."""
+    plans = []
+
+    def write(counts):
+        plans.append(counts._jdf.queryExecution().optimizedPlan().toString())
+        counts.write.parquet(str(tmp_path / "t"))
+
+    frame = spark.range(-500, 500).select("id", F.lit("a").alias("k"))
+    text = write_tally(frame, write, ["k"], ["id"])
+    tally = read_tally(spark.read.parquet(str(tmp_path / "t")), text)
+    assert "Generate" not in plans[0] and rows(tally.counts, "column", "value", "rows") == [("k", "a", 1000)]
+    assert tally.faults == {"id": [(-500, 499)]} and tally.tells("id", alone=True)
+
+
+def test_repeated_numbers_are_found_at_the_ends(spark, tmp_path):
+    ends = [-(2**63), -(2**63), -1, 0, 63, 64, 64, 64, 2**63 - 1, 2**63 - 1, None]
+    frame = spark.createDataFrame([(n, None) for n in ends], "id long, k string")
+    tally = tallied(spark, frame, tmp_path / "t", [])
+    want = [(None, 1), ("-9223372036854775808", 2), ("64", 3), ("9223372036854775807", 2)]
+    assert rows(tally.counts, "value", "rows") == want and tally.faults == {"id": [(-(2**63), 2**63 - 1)]}
+
+
+def test_shared_keys_are_told_by_the_tally(spark, warehouse, monkeypatch):
+    monkeypatch.setattr("perron.sinks.warehouse.HOT_ROWS", 10)
+    monkeypatch.setattr("perron.operators.summaries.shared_keys", lambda *_: pytest.fail("looked at"))
+    create_tables(warehouse)
+    publish_star(warehouse, star(spark, calls=[("A", 1), ("A", 1), ("C", 2), (None, 3)] * 5), [])
+    known = published(warehouse).known["transport_fact"]
+    assert known.rows == 20 and known.keys["operator_abbr"] == {"A": 10, "C": 5, None: 5}
+    assert known.keys["stop_id"] == {None: 20}
+
+
+def test_snapshots_and_tallies_are_packed(spark, warehouse):
+    create_tables(warehouse)
+    publish_star(warehouse, star(spark, calls=[("A", 1)]), [])
+    for folder in (f"{warehouse.root}/_tallies", f"{warehouse.root}/consumption"):
+        names = [n for _, _, files in os.walk(folder) for n in files if n.endswith(".parquet")]
+        assert names and all(".zstd." in name for name in names)
