@@ -19,6 +19,9 @@ from perron.sinks.warehouse import Tables, Warehouse
 
 T = TypeVar("T")
 
+# Calls that one task sorts, some 300 MB.
+SORTED = 1_000_000
+
 DIMENSIONS = [table for table in CONSUMPTION if table != "transport_fact"]
 
 
@@ -78,7 +81,7 @@ def refresh_curated(warehouse: Warehouse, tables: Iterable[str] = tuple(CURATED)
 
 def by_day(calls: DataFrame) -> DataFrame:
     """Calls in ranges of day and stop."""
-    return in_ranges(calls, ["date", "stop_id"], ["id"])
+    return in_ranges(calls, ["date", "stop_id"], ["id"], SORTED)
 
 
 def publish_star(

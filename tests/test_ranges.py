@@ -58,3 +58,11 @@ def test_nothing_is_lost(spark):
     frame = spark.createDataFrame([(None, 1), (2, None), (2, None), (1, 1)], "d int, s int")
     assert rows(in_ranges(frame, ["d"], ["s"])) == rows(frame)
     assert in_ranges(frame.limit(0), ["d"], ["s"]).count() == 0
+
+
+def test_ranges_are_more_if_rows_are_many(spark):
+    frame = spark.range(0, 40_000, 1, 8).select((F.col("id") % 7).alias("d"), "id")
+    sizes = in_ranges(frame, ["d"], ["id"], 4_000).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 8_000
+    assert rows(in_ranges(frame, ["d"], ["id"], 4_000).groupBy("d").count()) == rows(frame.groupBy("d").count())
+    assert in_ranges(frame.limit(0), ["d"], ["id"], 10).count() == 0
