@@ -310,9 +310,11 @@ def first_of_groups(
     """The rows of `docs` that stand for their group, with all their columns: `near_duplicates` says which.
 
     A row is known by a hash of its id and text, with the id, so no numbered copy is needed. Of rows that are equal in
-    both, one stays.
+    both, one stays. Only the keys of rows that go or are repeated are joined to the texts; texts move and are sorted
+    only if these keys are too many to broadcast.
     """
-    key, number = f"__key_{len(docs.columns)}", f"__id_{len(docs.columns)}"
+    spark = docs.sparkSession
+    key, number, stays = (f"__{name}_{len(docs.columns)}" for name in ("key", "id", "stays"))
     own_id, own_text = F.col(f"`{id}`"), F.col(f"`{text}`")
     keyed = docs.withColumns(
         {
@@ -321,9 +323,16 @@ def first_of_groups(
         }
     )
     looked_at = keyed.select(F.col(key).alias("row"), own_id.alias("id"), own_text.alias("text"))
-    stay = near_duplicates(looked_at, shingle, max_bits, id="id", uid="row").where("uid = keep_uid").select(
+    marked = scratch(spark, "simhash-marked")
+    near_duplicates(looked_at, shingle, max_bits, id="id", uid="row").groupBy(
         F.col("uid").alias(key), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias(number)
-    )
-    # The join and the choice among equal rows need the same partitioning: the texts move once.
-    chosen = keyed.join(stay, [key, number], "left_semi").dropDuplicates([key, number])
+    ).agg(F.max(F.col("uid") == F.col("keep_uid")).alias(stays), F.count(F.lit(1)).alias("rows")).where(
+        f"not {stays} or rows > 1"
+    ).select(key, number, stays).write.parquet(marked)
+    marks = spark.read.schema(f"{key} bigint, {number} bigint, {stays} boolean").parquet(marked)
+    chosen = keyed.join(marks, [key, number], "left_anti")
+    repeated = marks.where(stays)
+    if not repeated.isEmpty():
+        # The join and the choice among equal rows need the same partitioning: the texts move once.
+        chosen = chosen.unionByName(keyed.join(repeated, [key, number], "left_semi").dropDuplicates([key, number]))
     return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])

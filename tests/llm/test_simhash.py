@@ -143,3 +143,42 @@ def test_a_column_named_uid_says_nothing(spark, uid):
     assert len(got) == len(rows) == len({r["uid"] for r in got})
     first = simhash.first_of_groups(docs)
     assert first.columns == docs.columns and first.count() == sum(r["uid"] == r["keep_uid"] for r in got)
+
+
+def moved(plan):
+    """The columns that an executed plan's exchanges move, broadcast ones too."""
+    nodes, names = [plan], set()
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() in ("ShuffleExchangeExec", "BroadcastExchangeExec"):
+            names |= {node.output().apply(i).name() for i in range(node.output().size())}
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            nodes.append(node.initialPlan())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return names
+
+
+def test_first_of_groups_moves_no_texts_for_few_near_rows(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i * 40 + j}" for j in range(40))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1].upper()) for i in range(5)]
+    frame(spark, rows).write.parquet(str(tmp_path / "docs"))
+    first = simhash.first_of_groups(spark.read.parquet(str(tmp_path / "docs")))
+    assert sorted(r["doc_id"] for r in first.collect()) == list(range(200))
+    names = moved(first._jdf.queryExecution().executedPlan())
+    assert names and "text" not in names
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_first_of_groups_keeps_one_of_equal_rows(spark, tmp_path, threshold):
+    text = [" ".join(f"w{i * 40 + j}" for j in range(40)) for i in range(6)]
+    rows = [(1, text[0])] * 7 + [(2, text[0])] * 3 + [(None, text[1])] * 4 + [(0, text[1])] * 2
+    rows += [(None, None)] * 5 + [(None, "")] + [(5, text[2]), (6, text[3])] + [(None, text[4])] * 2
+    frame(spark, rows).write.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = simhash.first_of_groups(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in got)
+    assert kept == sorted([("1", text[0]), ("0", text[1]), ("None", ""), ("5", text[2]), ("6", text[3]), ("None", text[4])])
